@@ -49,3 +49,17 @@ m AS (SELECT conv_id, n_copies, len(turns) AS n_turns FROM g WHERE turns NOT IN
 SELECT m.conv_id, turn // 1024 AS part, n_turns, n_copies, string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '' ORDER BY turn, role, text) AS text
 FROM m JOIN t USING (conv_id) GROUP BY ALL
 """
+
+# base32 of the SHA-1: each group of five bits, most significant first
+OP6 = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+l AS (SELECT hex, max(page_id) AS largest FROM p GROUP BY hex),
+b AS (SELECT hex, largest, CAST(CAST(from_hex(hex) AS BIT) AS VARCHAR) AS bits FROM l)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 160, 5), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST(16 * CAST(substr(bits, i + 1, 1) AS INT) + 8 * CAST(substr(bits, i + 2, 1) AS INT) + 4 * CAST(substr(bits, i + 3, 1) AS INT)
+           + 2 * CAST(substr(bits, i + 4, 1) AS INT) + CAST(substr(bits, i + 5, 1) AS INT) + 1 AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> largest THEN largest END AS refers_to
+FROM p JOIN b USING (hex)
+"""

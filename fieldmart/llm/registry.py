@@ -4,17 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, mixing, oracle
+from . import chat, decontaminate, mixing, oracle, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(_table(spark, sf_dir, "pages"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -24,13 +32,16 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op5_mixing": op5_mixing,
+    "op6_warc": op6_warc,
     "op8_decontamination": op8_decontamination,
     "op9_chat": op9_chat,
 }
 
 ORACLE_SQL = {
     "op5_mixing": oracle.OP5,
+    "op6_warc": oracle.OP6,
     "op8_decontamination": oracle.OP8,
     "op9_chat": oracle.OP9,
 }
