@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, mixing, oracle, toxicity, warc
+from . import chat, decontaminate, licenses, mixing, oracle, quality, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -33,6 +41,8 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op3_licenses": op3_licenses,
+    "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_warc": op6_warc,
     "op8_decontamination": op8_decontamination,
