@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, licenses, mixing, oracle, quality, toxicity, warc
+from . import chat, decontaminate, jaccard, licenses, mixing, oracle, quality, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.collapse(_table(spark, sf_dir, "conversations"))
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.clusters(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_licenses": op3_licenses,
@@ -47,6 +51,7 @@ QUERIES = {
     "op6_warc": op6_warc,
     "op8_decontamination": op8_decontamination,
     "op9_chat": op9_chat,
+    "op10_jaccard": op10_jaccard,
 }
 
 ORACLE_SQL = {
