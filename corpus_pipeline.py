@@ -4,12 +4,51 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from fieldmart.llm import decontaminate, jaccard, mixing, passages, toxicity
+from fieldmart.llm.common import stored
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go."""
+    return toxicity.clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that n-gram Jaccard links join, the one with the least doc_id stays."""
+    return jaccard.clean(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that other documents hold are cut from all but one."""
+    return passages.clean(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes words of, with how many."""
+    return mixing.mix(docs).filter("taken > 0")
+
+
+STAGES = [
+    ("toxicity", toxic),
+    ("n-gram Jaccard join", near_copies),
+    ("substring dedup", repeated_passages),
+    ("benchmark decontamination", benchmark_leaks),
+    ("mixing sources to target weights", mixture),
+]
+#: No SQL: the toxicity model and the passages are not expressible; the tests compare each stage with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the documents of sf_dir, each stored in the shared folder before the next reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = stored(docs, name.replace(" ", "-"))
     return docs

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,3 +70,24 @@ def documents_only(docs: DataFrame) -> DataFrame:
     """doc_id, text and source (null where absent) of a table with any further columns."""
     source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), source.alias("source"))
+
+
+SLOTS = 1 << 26
+
+
+def slot_bitmap(slots: DataFrame) -> np.ndarray:
+    """8 MB with a bit for each of SLOTS slots, set for the longs in the only column, which Spark makes in pieces of 4 KB.
+
+    Tasks use it to leave out most rows that no later join can want; the join itself stays exact.
+    """
+    slot = F.col(slots.columns[0]).bitwiseAND(F.lit(SLOTS - 1)) + 1
+    rows = slots.groupBy(F.bitmap_bucket_number(slot).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
+    out = np.zeros(SLOTS // 8, np.uint8)
+    for r in rows:
+        out[(r.piece - 1) * 4096 : r.piece * 4096] = np.frombuffer(r.bits, np.uint8)
+    return out
+
+
+def in_slots(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = keys & (SLOTS - 1)
+    return ((bitmap[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1).astype(bool)

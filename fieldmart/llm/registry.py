@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, jaccard, licenses, mixing, oracle, quality, toxicity, warc
+from . import chat, decontaminate, jaccard, licenses, mixing, oracle, passages, quality, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(_table(spark, sf_dir, "pages"))
 
 
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.report(_table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_warc": op6_warc,
+    "op7_passages": op7_passages,
     "op8_decontamination": op8_decontamination,
     "op9_chat": op9_chat,
     "op10_jaccard": op10_jaccard,
