@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, jaccard, licenses, mixing, oracle, passages, quality, toxicity, warc
+from . import chat, decontaminate, jaccard, licenses, mixing, oracle, passages, quality, scoring, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.scores(_table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -48,6 +52,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_scoring": op1_scoring,
     "op2_toxicity": op2_toxicity,
     "op3_licenses": op3_licenses,
     "op4_quality": op4_quality,
