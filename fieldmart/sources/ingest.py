@@ -53,12 +53,14 @@ def scan_text_table(spark: SparkSession, paths: str | list[str], columns: Sequen
 def read_many_isolated(spark: SparkSession, paths: list[str], columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Good rows of many files with their file_path, and the files (file_path) that gave a bad row or none."""
     schema = ", ".join([*(f"`{c}` string" for c in columns), f"{CORRUPT} string"])
-    raw = spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("ignoreCorruptFiles", "true").csv(paths).select("*", F.col("_metadata.file_path").alias("file_path"))
+    raw = spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("ignoreCorruptFiles", "true").option("columnPruning", "false").csv(paths).select("*", F.col("_metadata.file_path").alias("file_path"))
     good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     listed = spark.createDataFrame([(p,) for p in paths], "file_path string")
     bare = F.regexp_replace("file_path", "^file:/*", "/")
-    seen = good.select(bare.alias("file_path")).distinct()
-    bad = raw.filter(F.col(CORRUPT).isNotNull()).select(bare.alias("file_path")).distinct()
+    seen = good.filter(F.length(F.coalesce(F.col(columns[0]), F.lit(""))) >= 0).select(bare.alias("file_path")).distinct()
+    # Spark refuses to read the corrupt record alone
+    some = F.length(F.coalesce(F.col(columns[0]), F.lit(""))) >= 0
+    bad = raw.filter(F.col(CORRUPT).isNotNull() & some).select(bare.alias("file_path")).distinct()
     failures = listed.select(bare.alias("file_path")).join(seen, "file_path", "left_anti").unionByName(bad).distinct()
     return good.na.fill("", list(columns)), failures
 
