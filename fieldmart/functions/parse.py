@@ -12,6 +12,11 @@ from fieldmart import codes
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
+def _let(value: Column, body) -> Column:
+    """body(value) with value computed once: an expression that is named twice would be computed twice wherever a filter goes."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def number(text: Column) -> Column:
     """The double that the whole text spells, else null; 'nan' and '7d' are no numbers."""
     text = F.trim(text)
@@ -20,23 +25,19 @@ def number(text: Column) -> Column:
 
 def plain(text: Column) -> Column:
     """Trimmed text; a whole number without its fraction, leading zeros or exponent."""
-    value = number(text)
-    whole = F.when(value == F.floor(value), value.try_cast("bigint").cast("string"))
+    whole = _let(number(text), lambda v: F.when(v == F.floor(v), v.try_cast("bigint").cast("string")))
     return F.coalesce(whole, F.trim(text))
 
 
 def known_id(text: Column, skipped: int = codes.SKIPPED) -> Column:
     """plain(text), null where there is no id: blank, skipped or 'nan'."""
-    value = plain(text)
-    return F.when((value != "") & (value != str(skipped)) & (F.lower(value) != "nan"), value)
+    return _let(plain(text), lambda v: F.when((v != "") & (v != str(skipped)) & (F.lower(v) != "nan"), v))
 
 
 def phone(text: Column) -> Column:
     """Digits only, without the country code of a 12-digit or the 0 of a 10-digit number; null if none."""
     digits = F.regexp_replace(plain(text), "[^0-9]", "")
-    size = F.length(digits)
-    local = F.when((size == 12) & (digits.startswith("254") | digits.startswith("256")), F.substring(digits, 4, 9))
-    return F.nullif(local.when((size == 10) & digits.startswith("0"), F.substring(digits, 2, 9)).otherwise(digits), F.lit(""))
+    return _let(F.regexp_replace(digits, "^(254|256|0)(?=[0-9]{9}$)", ""), lambda v: F.when(v != "", v))
 
 
 def stamp(text: Column, pattern: str = codes.DATE_FORMAT) -> Column:
@@ -45,9 +46,9 @@ def stamp(text: Column, pattern: str = codes.DATE_FORMAT) -> Column:
 
 def birth_date(text: Column, as_of: datetime.date) -> Column:
     """A date; one after as_of that is plausible (10 to 110 years) a century earlier is taken as that."""
-    born, today = F.to_date(stamp(text)), F.lit(as_of)
-    earlier = F.add_months(born, -1200)
-    return F.when((born > today) & earlier.between(F.add_months(today, -1320), F.add_months(today, -120)), earlier).otherwise(born)
+    today = F.lit(as_of)
+    repaired = lambda d: F.when((d > today) & F.add_months(d, -1200).between(F.add_months(today, -1320), F.add_months(today, -120)), F.add_months(d, -1200)).otherwise(d)
+    return _let(F.to_date(stamp(text)), repaired)
 
 
 def facility_label(value: Column, country: str) -> Column:

@@ -88,7 +88,7 @@ def prepared(df: DataFrame, as_of: datetime.date) -> DataFrame:
     out = text.withColumns({
         "site": site(F.col("country"), df.columns), "expected_code": expected, "n_code": num("countrycode"), "n_age": num("respondants_age"), "n_sex": num("client_sex"), "n_consent": num("consent"),
         "n_fac_ke": num("health_facility_ke"), "n_fac_ug": num("health_facility_ug"), "subject": parse.known_id(F.col("subjid")), "tablet": F.nullif(parse.plain(F.col("tabletnum")), F.lit("")),
-        "phone": F.when(parse.plain(F.col("mobile_number")) != str(codes.SKIPPED), parse.phone(F.col("mobile_number"))), "name": F.nullif(F.lower(F.trim("participants_name")), F.lit("")),
+        "phone": F.when(F.coalesce(num("mobile_number") != codes.SKIPPED, F.lit(True)), parse.phone(F.col("mobile_number"))), "name": F.nullif(F.lower(F.trim("participants_name")), F.lit("")),
         "screening_text": F.trim("screening_id"), "screening_bad": ~F.trim("screening_id").rlike(r"^[A-Za-z0-9_\-]+$"), "screening_fits": fits,
         "start": parse.stamp(F.col("starttime")), "stop": parse.stamp(F.col("stoptime")), "born": parse.birth_date(F.col("dob"), as_of),
         "appt_3m": parse.stamp(F.col("next_appt_3m")), "appt_6m": parse.stamp(F.col("next_appt_6m")), "as_of": F.lit(as_of), "year_ago": F.add_months(F.lit(as_of), -12),
@@ -119,18 +119,24 @@ def row_issues(rows: DataFrame, columns: list[str], only: str | None = None) ->
     flags = [F.when(F.expr(p), F.struct(F.lit(code).alias("check"), F.lit(sev).alias("severity"), F.lit(field).alias("field"))) for code, sev, field, needs, p in ROW_CHECKS if set(needs) <= set(columns) and only in (None, code)]
     if not flags:
         return rows.limit(0).select(F.lit("").alias("check"), F.lit("").alias("severity"), F.lit("").alias("field"), *SCOPE, "row_id", "subject", "screening_text", "tablet")
-    long = rows.select(*SCOPE, "row_id", "subject", "screening_text", "tablet", F.explode(F.array_compact(F.array(*flags))).alias("f"))
+    # the outer form: the filter that Spark infers from a plain explode would be pushed below and parse everything twice
+    long = rows.select(*SCOPE, "row_id", "subject", "screening_text", "tablet", F.explode_outer(F.array_compact(F.array(*flags))).alias("f")).filter("f.check is not null")
     return long.select("f.*", *SCOPE, "row_id", "subject", "screening_text", "tablet")
 
 
-def count_issues(rows: DataFrame, code: str, columns: list[str], most: int | None = None) -> DataFrame:
-    """Rows whose key has more than ``most`` rows in its country and site."""
-    _, severity, field, needs, key, limit = next(c for c in COUNT_CHECKS if c[0] == code)
-    keyed = rows.select(*SCOPE, "row_id", "subject", "screening_text", "tablet", F.expr(key).alias("key")).filter("key is not null")
-    if not set(needs) <= set(columns):
-        keyed = keyed.limit(0)
-    counted = keyed.withColumn("n", F.count("*").over(Window.partitionBy(*SCOPE, "key"))).filter(F.col("n") > (limit if most is None else most))
-    return counted.select(F.lit(code).alias("check"), F.lit(severity).alias("severity"), F.lit(field).alias("field"), *SCOPE, "row_id", "subject", "screening_text", "tablet")
+def count_issues(rows: DataFrame, columns: list[str], only: str | None = None, most: int | None = None) -> DataFrame:
+    """Rows whose key has more rows in its country and site than its check allows; all checks share one shuffle."""
+    kinds = [
+        F.struct(F.lit(code).alias("check"), F.lit(severity).alias("severity"), F.lit(field).alias("field"), F.expr(key).cast("string").alias("key"), F.lit(limit if most is None else most).alias("most"))
+        for code, severity, field, needs, key, limit in COUNT_CHECKS
+        if set(needs) <= set(columns) and only in (None, code)
+    ]
+    if not kinds:
+        return row_issues(rows, [])
+    long = rows.select(*SCOPE, "row_id", "subject", "screening_text", "tablet", F.explode_outer(F.array(*kinds)).alias("k")).filter("k.key is not null")
+    long = long.select("k.*", *SCOPE, "row_id", "subject", "screening_text", "tablet")
+    counted = long.withColumn("n", F.count("*").over(Window.partitionBy(*SCOPE, "check", "key"))).filter("n > most")
+    return counted.select("check", "severity", "field", *SCOPE, "row_id", "subject", "screening_text", "tablet")
 
 
 def _fixed(df: DataFrame, check: str, severity: str, field: Column | str) -> DataFrame:
@@ -157,7 +163,7 @@ def similar_phone_pairs(rows: DataFrame) -> DataFrame:
     """
     phones = rows.filter("phone is not null").groupBy(*SCOPE, "phone").agg(F.count("*").alias("n"))
     holes = F.transform(F.sequence(F.lit(1), F.length("phone")), lambda i: F.concat(F.substring(F.col("phone"), F.lit(1), i - 1), F.lit("?"), F.substring(F.col("phone"), i + 1, F.length("phone"))))
-    keyed = phones.withColumn("hole", F.explode(holes))
+    keyed = phones.withColumn("hole", F.explode_outer(holes))
     a, b = keyed.alias("a"), keyed.alias("b")
     on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in SCOPE] + [F.col("a.hole") == F.col("b.hole"), F.col("a.phone") < F.col("b.phone")]
     return a.join(b, reduce(Column.__and__, on)).select("a.country", "a.site", F.col("a.phone").alias("phone_a"), F.col("b.phone").alias("phone_b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"))
@@ -224,16 +230,14 @@ def check(df: DataFrame, code: str, as_of: datetime.date, most: int | None = Non
     if code in special:
         return special[code]()
     if code in {c[0] for c in COUNT_CHECKS}:
-        return _reported(count_issues(rows, code, df.columns, most)).select(*REPORT)
+        return _reported(count_issues(rows, df.columns, code, most)).select(*REPORT)
     return _reported(row_issues(rows, df.columns, code)).select(*REPORT)
 
 
 def report(df: DataFrame, as_of: datetime.date) -> DataFrame:
     """Report rows of all checks."""
     rows = prepared(df, as_of)
-    flagged = row_issues(rows, df.columns)
-    for code, *_ in COUNT_CHECKS:
-        flagged = flagged.unionByName(count_issues(rows, code, df.columns))
+    flagged = row_issues(rows, df.columns).unionByName(count_issues(rows, df.columns))
     out = _reported(flagged).select(*REPORT)
     pairs = similar_names(rows, "dob" in df.columns).withColumns({"affected_subjids": F.lit(""), "affected_tablets": F.lit("")})
     for part in (missing_columns(rows, df.columns), duplicate_names(rows), similar_phones(rows), pairs, low_devices(rows), sparse_columns(df)):
