@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import in_slots, slot_bitmap, stored
 from .components import components
 from .text import SPACED, U, chunks, mixed, shingle_sets
 
@@ -27,9 +27,18 @@ PERCENT = 75
 FRAGMENTS = 16
 #: An n-gram found in so many documents of one batch is counted as common; the most common COMMON of them come last in
 #: the order. That bounds what goes to every task; the result doesn't depend on it.
-SEEN, COMMON = 8, 1 << 17
-#: Longs of the parity bitmap of a set; slots of the filter of candidate classes.
-PARITY, SLOTS = 16, 1 << 26
+SEEN, COMMON = 3, 1 << 18
+#: Longs of the parity bitmap of a set.
+PARITY = 16
+BITS = [f"p{i}" for i in range(PARITY)]
+
+
+#: The prefix is longer by 1 + n // LONGER, and so many n-grams of it are shared with any set that it links to (of the smaller n).
+LONGER = 10
+
+
+def _needed(n: Column) -> Column:
+    return 1 + F.floor(n / LONGER)
 
 
 def _wrapped_sums(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -46,22 +55,31 @@ def sets_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
         yield chunk.lo, chunk.hi, got, begin, _wrapped_sums(mixed(got ^ U(0x5851F42D4C957F2D)), begin), _wrapped_sums(mixed(got ^ U(0x14057B7EF767814F)), begin)
 
 
+def _parities(got: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """For each set, PARITY longs: whether an odd number of its n-grams falls on each bit."""
+    n = len(begin) - 1
+    bit = ((mixed(got) >> U(3)) & U(64 * PARITY - 1)).astype(np.int64)
+    odd = np.bincount(np.repeat(np.arange(n), np.diff(begin)) * 64 * PARITY + bit, minlength=n * 64 * PARITY).reshape(n, -1) & 1
+    return np.ascontiguousarray(np.packbits(odd.astype(np.uint8), axis=1, bitorder="little").view(np.int64).T)
+
+
 def summaries(docs: DataFrame) -> DataFrame:
-    """Rows of two kinds: (doc_id, n, k1, k2) of each document, and (null, count, hash, null) of n-grams common in a batch."""
+    """Rows of two kinds: (doc_id, n, k1, k2, parities) of each document, and (null, -count, hash) of n-grams common in a batch."""
+    names = ["doc_id", "n", "k1", "k2", *BITS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n", "k1", "k2"]
         for batch in batches:
             grams = []
             for lo, hi, got, begin, k1, k2 in sets_of(batch.column("text")):
-                yield pa.record_batch([batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(begin), pa.int64()), pa.array(k1), pa.array(k2)], names)
+                bits = [pa.array(x) for x in _parities(got, begin)]
+                yield pa.record_batch([batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(begin), pa.int64()), pa.array(k1), pa.array(k2), *bits], names)
                 grams.append(got)
             value, count = np.unique(np.concatenate(grams) if grams else np.zeros(0, np.uint64), return_counts=True)
             value, count = value[count >= SEEN].view(np.int64), count[count >= SEEN]
             none = pa.nulls(len(value), pa.int64())
-            yield pa.record_batch([none, pa.array(-count, pa.int64()), pa.array(value), none], names)
+            yield pa.record_batch([none, pa.array(-count, pa.int64()), pa.array(value), *[none] * (1 + PARITY)], names)
 
-    return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long")
+    return docs.mapInArrow(run, ", ".join(f"{x} long" for x in names))
 
 
 def _in_order(got: np.ndarray, begin: np.ndarray, common: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +106,7 @@ def prefixes(docs: DataFrame, common: np.ndarray, places: np.ndarray) -> DataFra
                     seen.add(key)
                 n = np.diff(begin)
                 ordered, _ = _in_order(got, begin, common, places)
-                length = np.where(new & (n > 0), n - (PERCENT * n + 99) // 100 + 1, 0)
+                length = np.where(new & (n > 0), np.minimum(n, n - (PERCENT * n + 99) // 100 + 1 + n // LONGER), 0)
                 at = np.arange(length.sum()) + np.repeat(begin[:-1] - np.concatenate([[0], np.cumsum(length)[:-1]]), length)
                 yield pa.record_batch([pa.array(ordered[at].view(np.int64)), pa.array(np.repeat(k1, length)), pa.array(np.repeat(k2, length))], ["gram", "k1", "k2"])
 
@@ -96,32 +114,30 @@ def prefixes(docs: DataFrame, common: np.ndarray, places: np.ndarray) -> DataFra
 
 
 def fragments(docs: DataFrame, slots: np.ndarray, common: np.ndarray, places: np.ndarray) -> DataFrame:
-    """k1, k2, doc_id, n, parity bitmap p0.., parts (the n-grams of each fragment) of documents whose slot is set."""
-    schema = ", ".join(["k1 long, k2 long, doc_id long, n long", *(f"p{i} long" for i in range(PARITY)), "parts array<array<bigint>>"])
+    """k1, k2, parts (the n-grams of each fragment) of the sets whose slot is set, a class once for each batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, got, begin, k1, k2 in sets_of(batch.column("text")):
-                ids = batch.column("doc_id").slice(lo, hi - lo)
-                slot = (k1 ^ ids.fill_null(0).to_numpy()) & (SLOTS - 1)
-                chosen = np.flatnonzero((slots[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
-                if not len(chosen):
+            seen: set[tuple[int, int]] = set()
+            for _, _, got, begin, k1, k2 in sets_of(batch.column("text")):
+                chosen = []
+                for i in np.flatnonzero(in_slots(slots, k1)).tolist():
+                    if (key := (int(k1[i]), int(k2[i]))) not in seen:
+                        seen.add(key)
+                        chosen.append(i)
+                if not chosen:
                     continue
                 n = np.diff(begin)[chosen]
                 inside = np.concatenate([[0], np.cumsum(n)])
                 at = np.arange(inside[-1]) + np.repeat(begin[chosen] - inside[:-1], n)
                 ordered, place = _in_order(got[at], inside, common, places)
                 owner = np.repeat(np.arange(len(chosen)), n)
-                bit = (mixed(ordered) >> U(3)) & U(64 * PARITY - 1)
-                parity = np.bincount(owner * 64 * PARITY + bit.astype(np.int64), minlength=len(chosen) * 64 * PARITY).reshape(len(chosen), -1) & 1
-                longs = np.packbits(parity.astype(np.uint8), axis=1, bitorder="little").view(np.int64)
                 part = np.where(place > 0, FRAGMENTS - 1, ((ordered >> U(32)).astype(np.int64) * (FRAGMENTS - 1)) >> 32)
                 cuts = np.concatenate([[0], np.cumsum(np.bincount(owner * FRAGMENTS + part, minlength=len(chosen) * FRAGMENTS))])
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(chosen) + 1) * FRAGMENTS, pa.int32()), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ordered.view(np.int64))))
-                arrays = [pa.array(k1[chosen]), pa.array(k2[chosen]), ids.take(pa.array(chosen)), pa.array(n, pa.int64()), *(pa.array(np.ascontiguousarray(longs[:, i])) for i in range(PARITY)), lists]
-                yield pa.record_batch(arrays, [f.split()[0] for f in schema.split(", ")])
+                yield pa.record_batch([pa.array(k1[chosen]), pa.array(k2[chosen]), lists], ["k1", "k2", "parts"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, "k1 long, k2 long, parts array<array<bigint>>")
 
 
 def _may_reach(a: str, b: str) -> Column:
@@ -131,9 +147,13 @@ def _may_reach(a: str, b: str) -> Column:
     return (100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)) & ((100 + PERCENT) * differ <= (100 - PERCENT) * (na + nb))
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, common: np.ndarray, places: np.ndarray) -> DataFrame:
     """The pairs (a, b, na, nb) that reach the threshold: overlaps are counted by fragment and summed for each pair."""
-    part = sets.select("c", F.posexplode("parts").alias("fragment", "grams")).filter(F.size("grams") > 0)
+    ends = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
+    ends = stored(ends.select("c.k1", "c.k2"), "ends")
+    sets = fragments(docs, slot_bitmap(ends.select("k1")), common, places).join(ends, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    part = sets.select(F.struct("k1", "k2").alias("c"), F.posexplode("parts").alias("fragment", "grams")).filter(F.size("grams") > 0)
+    part = stored(part, "fragments")
     left = pairs.join(part.select(F.col("c").alias("a"), "fragment", F.col("grams").alias("ga")), "a")
     both = left.join(part.select(F.col("c").alias("b"), "fragment", F.col("grams").alias("gb")), ["b", "fragment"])
     both = both.withColumn("overlap", F.size(F.array_intersect("ga", "gb")))
@@ -141,58 +161,55 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return total.filter(100 * F.col("overlap") >= PERCENT * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b")
 
 
-def _slots(keys: DataFrame) -> np.ndarray:
-    """A bitmap of SLOTS bits (8 MB), made by Spark in pieces of 4 KB."""
-    slot = F.col("k1").bitwiseXOR(F.col("rep")).bitwiseAND(F.lit(SLOTS - 1)) + 1
-    rows = keys.groupBy(F.bitmap_bucket_number(slot).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
-    out = np.zeros(SLOTS // 8, np.uint8)
-    for r in rows:
-        out[(r.piece - 1) * 4096 : r.piece * 4096] = np.frombuffer(r.bits, np.uint8)
-    return out
-
-
 def join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, n, k1, k2) and the root of every class that is linked to another (k1, k2, root)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = stored(summaries(texts), "sets")
     rows = known.filter("k2 is not null")
     counted = known.filter("k2 is null").groupBy("k1").agg(F.sum(-F.col("n")).alias("count"))
-    most = counted.orderBy(F.desc("count"), "k1").limit(COMMON).collect()  # COMMON rows at most
-    common = np.array([r.k1 for r in most], np.int64).view(np.uint64)
+    most = counted.orderBy(F.desc("count"), "k1").limit(COMMON).toArrow()  # COMMON rows at most
+    common = most["k1"].to_numpy().view(np.uint64)
     places = np.arange(len(common), 0, -1)
     order = np.argsort(common)
     common, places = common[order], places[order]
     index = prefixes(texts, common, places).repartition("gram")
-    least = F.min(F.struct("k1", "k2"))
-    shared = index.groupBy("gram").agg(least.alias("pivot"), F.max(F.struct("k1", "k2")).alias("last")).filter("pivot != last").drop("last")
+    shared = index.groupBy("gram").agg(F.min(F.struct("k1", "k2")).alias("pivot"), F.max(F.struct("k1", "k2")).alias("last")).filter("pivot != last").drop("last")
     postings = stored(index.join(shared, "gram").select("gram", F.struct("k1", "k2").alias("c"), "pivot").distinct(), "postings")
-    classes = rows.filter("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
-    wanted = stored(postings.select("c.k1", "c.k2").distinct().join(classes, ["k1", "k2"]), "wanted")
-    found = fragments(texts, _slots(wanted), common, places)
-    wanted = wanted.select("k1", "k2", F.col("rep").alias("doc_id"))
-    sets = found.join(wanted, ["k1", "k2", "doc_id"], "left_semi").dropDuplicates(["k1", "k2"])
-    sets = stored(sets.select(F.struct("k1", "k2").alias("c"), "n", *[f"p{i}" for i in range(PARITY)], "parts"), "fragments")
-    slim = sets.drop("parts")
+    near = stored(postings.select("c.k1", "c.k2").distinct(), "near")
+    slim = rows.join(near, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select(F.struct("k1", "k2").alias("c"), "n", *BITS)
+    # a set that links to a smaller one, of PERCENT of its size at least, shares what that one needs
+    enough = postings.groupBy("c").agg(F.count("*").alias("shared")).join(slim, "c").filter(F.col("shared") >= _needed(F.ceil(PERCENT * F.col("n") / 100)))
+    slim = stored(enough.drop("shared"), "near")
+    least = F.min("c").over(Window.partitionBy("gram"))
+    postings = stored(postings.drop("pivot").join(slim.select("c", "n"), "c").withColumn("pivot", least), "postings")
     pairs = postings.filter("c != pivot").select(F.col("pivot").alias("a"), F.col("c").alias("b")).distinct()
-    pairs = pairs.join(slim.alias("x"), F.col("a") == F.col("x.c")).select("a", "b", F.struct("x.*").alias("x"))
-    pairs = pairs.join(slim.alias("y"), (F.col("b") == F.col("y.c")) & _may_reach("x", "y")).select("a", "b", F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
-    links = stored(verified(pairs, sets), "links")
+    links = stored(verified(_close(pairs, slim), texts, common, places), "links")
     roots = stored(components(links), "roots")
     # buckets whose classes are in several components
-    placed = postings.select("gram", "c").join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    placed = postings.select("gram", "c", "n").join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     by_root = placed.groupBy("gram", "root").agg(F.count("*").alias("size"))
     main = by_root.groupBy("gram").agg(F.max(F.struct("size", "root"))["root"].alias("main"), F.count("*").alias("roots")).filter("roots > 1").drop("roots")
-    mixed_buckets = stored(placed.join(main, "gram").join(slim, "c"), "mixed")
-    x, y = mixed_buckets.filter("root != main").alias("x"), mixed_buckets.alias("y")
+    several = stored(placed.join(main, "gram"), "several")
+    x, y = several.filter("root != main").alias("x"), several.alias("y")
     once = (F.col("y.root") == F.col("y.main")) | (F.col("x.c") < F.col("y.c"))
-    more = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") != F.col("y.root")) & once & _may_reach("x", "y"))
-    more = more.select(F.col("x.c").alias("a"), F.col("y.c").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).distinct()
-    late = stored(verified(more, sets), "links")
-    if late.head(1):
-        roots = stored(components(links.unionByName(late)), "roots")
+    sizes = 100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n")
+    more = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") != F.col("y.root")) & once & sizes)
+    more = more.select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b"), F.least("x.n", "y.n").alias("n"))
+    more = more.groupBy("a", "b", "n").agg(F.count("*").alias("shared")).filter(F.col("shared") >= _needed(F.col("n"))).select("a", "b")
+    more = stored(_close(more.join(pairs, ["a", "b"], "left_anti"), slim), "late")
+    if more.head(1):
+        roots = stored(components(links.unionByName(verified(more, texts, common, places))), "roots")
     return rows, roots.select("node.k1", "node.k2", "root")
 
 
+def _close(pairs: DataFrame, slim: DataFrame) -> DataFrame:
+    """The pairs (a, b) that may reach the threshold, with their sizes na and nb."""
+    x = slim.select(F.col("c").alias("a"), F.struct("n", *BITS).alias("x"))
+    y = slim.select(F.col("c").alias("b"), F.struct("n", *BITS).alias("y"))
+    met = pairs.join(x, "a").join(y.withColumnRenamed("b", "yb"), (F.col("b") == F.col("yb")) & _may_reach("x", "y"))
+    return stored(met.select("a", "b", F.col("x.n").alias("na"), F.col("y.n").alias("nb")), "close")
+
+
 def clusters(docs: DataFrame) -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, component_id, the least doc_id that links reach.
 
