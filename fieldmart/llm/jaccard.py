@@ -180,8 +180,12 @@ def join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # a set that links to a smaller one, of PERCENT of its size at least, shares what that one needs
     enough = postings.groupBy("c").agg(F.count("*").alias("shared")).join(slim, "c").filter(F.col("shared") >= _needed(F.ceil(PERCENT * F.col("n") / 100)))
     slim = stored(enough.drop("shared"), "near")
-    least = F.min("c").over(Window.partitionBy("gram"))
-    postings = stored(postings.drop("pivot").join(slim.select("c", "n"), "c").withColumn("pivot", least), "postings")
+    # so many n-grams are shared with any set that one less of them may go: those that most sets have, in the same order everywhere
+    common_to = F.count("*").over(Window.partitionBy("gram"))
+    widest = F.row_number().over(Window.partitionBy("c").orderBy(F.desc("sets"), F.desc("gram")))
+    kept = postings.drop("pivot").join(slim.select("c", "n"), "c").withColumn("sets", common_to).withColumn("place", widest)
+    kept = kept.filter(F.col("place") >= _needed(F.ceil(PERCENT * F.col("n") / 100))).filter("sets > 1").drop("sets", "place")
+    postings = stored(kept.withColumn("pivot", F.min("c").over(Window.partitionBy("gram"))), "postings")
     pairs = postings.filter("c != pivot").select(F.col("pivot").alias("a"), F.col("c").alias("b")).distinct()
     links = stored(verified(_close(pairs, slim), texts, common, places), "links")
     roots = stored(components(links), "roots")
@@ -194,8 +198,7 @@ def join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     once = (F.col("y.root") == F.col("y.main")) | (F.col("x.c") < F.col("y.c"))
     sizes = 100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n")
     more = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") != F.col("y.root")) & once & sizes)
-    more = more.select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b"), F.least("x.n", "y.n").alias("n"))
-    more = more.groupBy("a", "b", "n").agg(F.count("*").alias("shared")).filter(F.col("shared") >= _needed(F.col("n"))).select("a", "b")
+    more = more.select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b")).distinct()
     more = stored(_close(more.join(pairs, ["a", "b"], "left_anti"), slim), "late")
     if more.head(1):
         roots = stored(components(links.unionByName(verified(more, texts, common, places))), "roots")
