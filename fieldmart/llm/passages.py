@@ -5,10 +5,10 @@ compact window (l, c, r): every run of shingles inside l..r that holds c has its
 least a passage are about two for each passage length. Passages that are alike have, for each function, a window with the same least
 shingle; the shingle ANCHOR places beside it, within any passage on one side at least, narrows the groups. Windows are
 grouped by function, shingle and anchor; each group meets its least member only, and what isn't like that one meets in
-the next of ROUNDS rounds, so that a passage that a third of all documents share makes as many pairs as documents. What is left then, members of groups that share
-less than a passage, is grouped by every run of the least length around its windows, whose members all are alike, so
-that no exact repeat is ever lost. Pairs of texts with
-windows in common for enough functions are verified shingle by shingle over the joined intervals.
+the next of ROUNDS rounds, so that a passage that a third of all documents share makes as many pairs as documents. Pairs of
+texts with windows in common for enough functions are verified shingle by shingle over the joined intervals. Beside that, all
+windows of shared groups, whether they met or not, are grouped by every run of the least length around them, whose
+members are equal, so that no exact repeat is ever lost.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import alnum_words, in_slots, slot_bitmap, stored
@@ -190,6 +190,10 @@ def _merged(hits: np.ndarray) -> list[tuple[int, int, int, int, list[int]]]:
     return sorted(((*x[:4], x[5]) for x in out), key=lambda x: x[0] - x[1])
 
 
+def _pair() -> list[Column]:
+    return [F.struct(F.col(f"{x}1").alias("k1"), F.col(f"{x}2").alias("k2")).alias(x) for x in "ab"]
+
+
 def verified(pairs: DataFrame, arrays: DataFrame, least: int) -> DataFrame:
     """a, b, spans (a0, a1, b0, b1 in words) of pairs with passages in common."""
     left = pairs.join(arrays.select(F.col("c").alias("a"), F.col("grams").alias("ga")), "a")
@@ -217,36 +221,97 @@ def verified(pairs: DataFrame, arrays: DataFrame, least: int) -> DataFrame:
             yield pa.Table.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema).combine_chunks().to_batches()[0] if rows else pa.record_batch([pa.array([], f.type) for f in schema], schema=schema)
 
     found = both.mapInArrow(run, "a1 long, a2 long, b1 long, b2 long, a0 int, a9 int, b0 int, b9 int")
-    pair = [F.struct(F.col(f"{x}1").alias("k1"), F.col(f"{x}2").alias("k2")).alias(x) for x in "ab"]
-    return found.select(*pair, "a0", "a9", "b0", "b9").distinct()
+    return found.select(*_pair(), "a0", "a9", "b0", "b9").distinct()
+
 
+def exact_runs(found: DataFrame, arrays: DataFrame, least: int) -> DataFrame:
+    """bucket, c, start of every run of ``least`` shingles whose min-hash stands at a found window's place: equal buckets are equal runs.
 
-def exact_runs(waiting: DataFrame, arrays: DataFrame, least: int) -> DataFrame:
-    """bucket, c, w of every run of ``least`` shingles that holds a waiting window's place: equal buckets are equal runs."""
+    The windows of one function will do: each run has one place, and equal runs have the same shingle and anchor there.
+    """
     places = sorted({*range(0, least, SHINGLE), least - 1})
     odd = mixed(np.arange(1, len(places) + 1, dtype=np.uint64)) | U(1)
-    rows = waiting.groupBy("c").agg(F.collect_set("w.c").alias("at")).join(arrays, "c").select("c.k1", "c.k2", "at", "grams")
+    first = found.filter(F.col("bucket").bitwiseAND(F.lit(3)) == 0)
+    rows = first.groupBy("c").agg(F.collect_set("w").alias("at")).join(arrays, "c").select("c.k1", "c.k2", "at", "grams")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 got = batch.column("grams")[i].values.to_numpy().view(np.uint64)
-                at = batch.column("at")[i].values.to_numpy().astype(np.int64)
-                start = np.unique((at[:, None] - np.arange(least)).ravel())
-                start = start[(start >= 0) & (start + least <= len(got))]
+                c, before, after = (batch.column("at")[i].values.field(x).to_numpy().astype(np.int64) for x in ("c", "before", "after"))
+                low, high = c - np.minimum(before, least - 1), np.minimum(c, c + after - least + 1)
+                n = np.maximum(high - low + 1, 0)
+                start = np.unique(np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum()))
                 with np.errstate(over="ignore"):
                     key = mixed((got[start[:, None] + np.array(places)] * odd).sum(1, dtype=np.uint64))
                 k1, k2 = (pa.array(np.full(len(start), batch.column(k)[i].as_py())) for k in ("k1", "k2"))
                 yield pa.record_batch([pa.array(key.view(np.int64)), k1, k2, pa.array(start.astype(np.int32))], ["bucket", "k1", "k2", "start"])
 
-    found = rows.mapInArrow(run, "bucket long, k1 long, k2 long, start int")
-    return found.select("bucket", F.struct("k1", "k2").alias("c"), F.struct(F.col("start").alias("c"), F.lit(0).alias("before"), F.lit(least - 1).alias("after")).alias("w"))
+    runs = rows.mapInArrow(run, "bucket long, k1 long, k2 long, start int")
+    return runs.select("bucket", F.struct("k1", "k2").alias("c"), "start")
+
+
+def _spans(start: np.ndarray, off: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """lo, hi, off of the runs at ``start`` joined along each offset, without those whose places on both sides others cover."""
+    order = np.lexsort((start, off))
+    start, off = start[order], off[order]
+    new = np.concatenate([[True], (np.diff(off) != 0) | (np.diff(start) > least)])
+    last = np.append(np.flatnonzero(new)[1:], len(start)) - 1
+    lo, hi, off = start[new], start[last] + least, off[new]
+    keep, reach, best = np.zeros(len(lo), bool), -1, -1
+    for i in np.lexsort((-hi, lo)).tolist():
+        if lo[i] > reach and best >= 0:
+            keep[best], reach, best = True, hi[best], -1
+        if lo[i] > reach:
+            keep[i], reach = True, hi[i]
+        elif hi[i] > (hi[best] if best >= 0 else reach):
+            best = i
+    if best >= 0:
+        keep[best] = True
+    base = int((lo - off).min())
+    there = np.zeros(int((hi - off).max()) - base, bool)
+    for i in np.flatnonzero(keep).tolist():
+        there[lo[i] - off[i] - base : hi[i] - off[i] - base] = True
+    for i in np.flatnonzero(~keep).tolist():
+        own = there[lo[i] - off[i] - base : hi[i] - off[i] - base]
+        if not own.all():
+            keep[i] = own[:] = True
+    return lo[keep], hi[keep], off[keep]
+
+
+def exact_passages(runs: DataFrame, least: int) -> DataFrame:
+    """a, b, spans (a0, a9, b0, b9 in words) of equal runs in several texts: every place of a run with its first place in the least text.
+
+    Runs that follow one another at the same offset are one passage. The least text's further places have it as a and b.
+    """
+    runs = runs.repartition("bucket")
+    own = F.struct("c", "start")
+    first = runs.groupBy("bucket").agg(F.min(own).alias("p"), F.max("c").alias("last")).filter("p.c != last").select("bucket", "p")
+    met = runs.join(first, "bucket").filter(own != F.col("p")).select(F.col("p.c").alias("a"), F.col("c").alias("b"), F.struct("start", (F.col("start") - F.col("p.start")).alias("off")).alias("at"))
+    met = met.groupBy("a", "b").agg(F.collect_list("at").alias("at")).select("a.k1", "a.k2", F.col("b.k1").alias("b1"), F.col("b.k2").alias("b2"), "at")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends, flat = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("at")).to_numpy())]), batch.column("at").flatten()
+            start, off = (flat.field(x).to_numpy().astype(np.int64) for x in ("start", "off"))
+            found = [_spans(start[i:j], off[i:j], least) for i, j in zip(ends[:-1], ends[1:], strict=True)]
+            if not found:
+                continue
+            row = pa.array(np.repeat(np.arange(len(found)), [len(x[0]) for x in found]))
+            lo, hi, shift = (np.concatenate(x) for x in zip(*found, strict=True))
+            hi = hi + SHINGLE - 1
+            places = [pa.array(x.astype(np.int32)) for x in (lo - shift, hi - shift, lo, hi)]
+            yield pa.record_batch([*(batch.column(i).take(row) for i in range(4)), *places], ["a1", "a2", "b1", "b2", "a0", "a9", "b0", "b9"])
+
+    spans = met.mapInArrow(run, "a1 long, a2 long, b1 long, b2 long, a0 int, a9 int, b0 int, b9 int")
+    return spans.select(*_pair(), "a0", "a9", "b0", "b9")
 
 
 def repeated(docs: DataFrame, least_words: int = LEAST_WORDS) -> tuple[DataFrame, DataFrame]:
     """Texts (doc_id, k1, k2) and passages (a, b, a0, a9, b0, b9): words b0..b9-1 of text b are like words a0..a9-1 of text a.
 
-    Text a has always the smaller hash, so that of any set of like passages the one in the text with the least hash is never a b.
+    Text a has the smaller hash, so that of any set of like passages the one in the text with the least hash is never a b;
+    where that text holds an exact repeat at several places, a and b are the same.
     """
     least = least_words - SHINGLE + 1
     texts = _texts(docs)
@@ -254,14 +319,12 @@ def repeated(docs: DataFrame, least_words: int = LEAST_WORDS) -> tuple[DataFrame
     text = F.struct("k1", "k2")
     shared = index.groupBy("bucket").agg(F.min(text).alias("first"), F.max(text).alias("last")).filter("first != last").select("bucket")
     found = index.join(shared, "bucket", "left_semi").select("bucket", text.alias("c"), F.struct("c", "before", "after").alias("w"))
-    waiting = stored(found.distinct(), "windows")
-    needed = stored(waiting.select("c.k1", "c.k2").distinct(), "needed")
+    waiting = found = stored(found.distinct(), "windows")
+    needed = stored(found.select("c.k1", "c.k2").distinct(), "needed")
     arrays = shingles(texts, slot_bitmap(needed.select("k1"))).join(needed, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     arrays = stored(arrays.select(text.alias("c"), "grams"), "shingles")
     parts = []
-    for turn in range(ROUNDS + 1):
-        if turn == ROUNDS:
-            waiting = exact_runs(waiting, arrays, least)
+    for _ in range(ROUNDS):
         pivots = waiting.groupBy("bucket").agg(F.min(F.struct("c", "w")).alias("p"), F.max("c").alias("last")).filter("p.c != last").select("bucket", "p")
         met = stored(waiting.join(pivots, "bucket").filter("c != p.c"), "met")
         if not met.head(1):
@@ -274,15 +337,18 @@ def repeated(docs: DataFrame, least_words: int = LEAST_WORDS) -> tuple[DataFrame
         pairs = pairs.filter(F.size(F.array_distinct(F.transform("hits", lambda h: h["f"]))) >= ENOUGH)
         part = stored(verified(pairs, arrays, least), "passages")
         parts.append(part)
-        if turn == ROUNDS:
-            break
         settled = part.select(F.col("a").alias("sa"), F.col("b").alias("sb"), "b0", "b9")
         inside = (F.col("w.c") >= F.col("b0")) & (F.col("w.c") + SHINGLE <= F.col("b9"))
         left = met.join(settled, (F.col("p.c") == F.col("sa")) & (F.col("c") == F.col("sb")) & inside, "left_anti")
         waiting = stored(left.select("bucket", "c", "w"), "windows")
-    passages = parts[0] if parts else docs.sparkSession.createDataFrame([], "a struct<k1:bigint,k2:bigint>, b struct<k1:bigint,k2:bigint>, a0 int, a9 int, b0 int, b9 int")
-    for part in parts[1:]:
+    exact = stored(exact_passages(exact_runs(found, arrays, least), least), "exact")
+    passages = exact.limit(0)
+    for part in parts:
         passages = passages.unionByName(part)
+    # of exact repeats within near ones of the same two texts the longer is enough
+    known = passages.select(*[F.col(x).alias(f"n{x}") for x in passages.columns])
+    inside = [F.col("na") == F.col("a"), F.col("nb") == F.col("b"), F.col("na0") <= F.col("a0"), F.col("na9") >= F.col("a9"), F.col("nb0") <= F.col("b0"), F.col("nb9") >= F.col("b9")]
+    passages = passages.unionByName(exact.join(known, inside, "left_anti"))
     return texts.select("doc_id", "k1", "k2"), passages.distinct()
 
 
@@ -320,7 +386,7 @@ def clean(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     some has n_chars, if there is that column, set to its new length. Rows without repeated words stay as they are.
     """
     _, passages = repeated(docs, least_words)
-    cuts = passages.groupBy("b").agg(F.sort_array(F.collect_set(F.struct("b0", "b9"))).alias("_cuts")).select("b.k1", "b.k2", "_cuts")
+    cuts = passages.filter("a != b").groupBy("b").agg(F.sort_array(F.collect_set(F.struct("b0", "b9"))).alias("_cuts")).select("b.k1", "b.k2", "_cuts")
     copies = _classes(docs, least_words).filter("n > 1").select("k1", "k2", F.col("rep").alias("_rep"))
     marks = cuts.join(copies, ["k1", "k2"], "full").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "_cuts", "_rep")
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))

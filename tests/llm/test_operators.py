@@ -207,6 +207,35 @@ def test_passages(docs):
     assert passages.report(docs.limit(0)).count() == 0
 
 
+def test_passages_exact_repeats_where_windows_settle_elsewhere(spark):
+    """Every place of every run of 50 words that several texts hold: a text that holds a bucket's shingles twice, and a chain of repeats."""
+    rng = random.Random(3)
+    body = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    texts = []
+    for _ in range(60):
+        line = body(40)
+        shared = [*body(5), *line, *body(5)]
+        texts += [[*body(200), *line, *body(400), *shared, *body(200)], [*body(200), *shared, *body(200)]]
+        u, v, w = body(20), body(40), body(20)
+        texts += [[*body(200), *u, *v, *body(200)], [*body(200), *u, *v, *w, *body(200)], [*body(200), *v, *w, *body(200)]]
+        u, v = body(60), body(20)
+        texts += [[*u, *v], [*body(30), *u, *body(5), *u], [*v, *body(9), *u]]
+    texts += [["again"] * 400, [*body(9), *["again"] * 300], [*texts[0], *["to", "and", "fro"] * 90], [*["to", "and", "fro"] * 40, *body(9)]]
+    df = spark.createDataFrame(list(enumerate(" ".join(t) for t in texts)), "doc_id long, text string")
+    runs = collections.defaultdict(set)
+    for i, w in enumerate(texts):
+        for s in range(len(w) - 49):
+            runs[tuple(w[s : s + 50])].add(i)
+    covered = collections.defaultdict(set)
+    for r in passages.report(df).collect():
+        a, b = texts[r.doc_id][r.start : r.end], texts[r.source_id][r.source_start : r.source_end]
+        x, y = ({tuple(z[i : i + 5]) for i in range(len(z) - 4)} for z in (a, b))
+        assert 100 * len(x & y) >= 75 * len(x | y) and min(len(a), len(b)) >= 50
+        covered[r.doc_id] |= set(range(r.start, r.end))
+    missing = [(i, s) for i, w in enumerate(texts) for s in range(len(w) - 49) if len(runs[tuple(w[s : s + 50])]) > 1 and not set(range(s, s + 50)) <= covered[i]]
+    assert not missing
+
+
 def test_passages_clean(docs):
     out = passages.clean(docs)
     assert out.columns == docs.columns
