@@ -1,7 +1,8 @@
 """Licence scans with a positional index of rare words.
 
 Templates are indexed by word: every word of a licence notice has postings (template, position). Of the licence words
-that a file holds, the ones rarest in the corpus are looked up; postings that agree on the position of the notice's
+that a file holds, the ones rarest in the corpus are looked up, and the rarest of each template, so many that a notice
+can't stand in the file without enough of them; postings that agree on the position of the notice's
 beginning vote for it; a place with enough votes is compared word by word, and its mandatory phrases must stand there.
 Fixed phrases are found everywhere and give labels of their own.
 """
@@ -87,6 +88,14 @@ class Scanner:
         for name, ids in self.templates.items():
             for place, i in enumerate(ids):
                 self.postings.setdefault(i, []).append((name, place))
+        #: Postings of each template's rarest words: more places, by VOTES, than may differ.
+        self.always: dict[int, list[tuple[str, int]]] = {}
+        for name, ids in self.templates.items():
+            covered, enough = 0, len(ids) - int(np.ceil(SHARE * len(ids) - 1e-9)) + VOTES
+            for i in sorted(set(ids), key=lambda i: self.rarity[i]):
+                if covered < enough:
+                    self.always.setdefault(i, []).extend((name, place) for place, j in enumerate(ids) if j == i)
+                    covered += ids.count(i)
         self.phrases = {tuple(number[w] for w in p.split()): label for p, label in PHRASES.items()}
 
     def notices(self, at: np.ndarray, which: np.ndarray) -> tuple[set[str], float]:
@@ -94,9 +103,9 @@ class Scanner:
         present = np.unique(which)
         rare = set(present[np.argsort(self.rarity[present])][:RAREST].tolist())
         votes: dict[tuple[str, int], int] = {}
-        chosen = np.flatnonzero(np.isin(which, list(rare)))
+        chosen = np.flatnonzero(np.isin(which, [*rare, *self.always]))
         for p, i in zip(at[chosen].tolist(), which[chosen].tolist(), strict=True):
-            for name, place in self.postings.get(i, ()):
+            for name, place in self.postings[i] if i in rare and i in self.postings else self.always.get(i, ()):
                 votes[name, p - place] = votes.get((name, p - place), 0) + 1
         places = [k for k, v in votes.items() if v >= VOTES]
         if not places:

@@ -121,6 +121,24 @@ def test_licenses(docs):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_licenses_of_files_with_several_notices(spark):
+    """All notices in one text, every two of them, and all with a word changed where a fifth may differ."""
+    notices, rng = {k: t for k, (t, _) in licenses.TEMPLATES.items()}, random.Random(2)
+    texts = [(set(notices), " filler words ".join(notices.values()))]
+    texts += [({a, b}, f"{notices[a]} filler words {notices[b]}") for a, b in itertools.combinations(notices, 2)]
+    for _ in range(20):
+        changed = []
+        for t, mandatory in licenses.TEMPLATES.values():
+            w = t.split()
+            at = [i for i in range(len(w)) if all(m in " ".join([*w[:i], "x", *w[i + 1 :]]) for m in mandatory)]
+            w[rng.choice(at)] = "x"
+            changed.append(" ".join(w))
+        texts.append((set(notices), " filler words ".join(changed)))
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    for r in licenses.scan(df).collect():
+        assert texts[r.doc_id][0] <= set(r.labels.split(","))
+
+
 def test_quality(docs, labels):
     rows, texts = quality.report(docs, labels).collect(), {r[0]: r[1] or "" for r in ROWS}
     assert len(rows) == len(ROWS)
