@@ -33,7 +33,7 @@ ANCHOR = 12
 PERCENT = 75
 #: Windows whose offsets differ by no more are joined to one interval: words that were put in or left out.
 DRIFT = 16
-#: Rounds with the groups' least members before the runs of the least length.
+#: Rounds with the groups' least members before what is left meets its whole groups.
 ROUNDS = 3
 _LEVELS = 6
 
@@ -307,6 +307,12 @@ def exact_passages(runs: DataFrame, least: int) -> DataFrame:
     return spans.select(*_pair(), "a0", "a9", "b0", "b9")
 
 
+def _intervals(windows: DataFrame) -> DataFrame:
+    """bucket, c, w with one window for all of a bucket and text that end at the same place."""
+    w = windows.groupBy("bucket", "c", (F.col("w.c") + F.col("w.after")).alias("hi")).agg(F.min(F.col("w.c") - F.col("w.before")).alias("lo"), F.min("w.c").alias("at"))
+    return w.select("bucket", "c", F.struct(F.col("at").alias("c"), (F.col("at") - F.col("lo")).alias("before"), (F.col("hi") - F.col("at")).alias("after")).alias("w"))
+
+
 def repeated(docs: DataFrame, least_words: int = LEAST_WORDS) -> tuple[DataFrame, DataFrame]:
     """Texts (doc_id, k1, k2) and passages (a, b, a0, a9, b0, b9): words b0..b9-1 of text b are like words a0..a9-1 of text a.
 
@@ -324,22 +330,34 @@ def repeated(docs: DataFrame, least_words: int = LEAST_WORDS) -> tuple[DataFrame
     arrays = shingles(texts, slot_bitmap(needed.select("k1"))).join(needed, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     arrays = stored(arrays.select(text.alias("c"), "grams"), "shingles")
     parts = []
-    for _ in range(ROUNDS):
-        pivots = waiting.groupBy("bucket").agg(F.min(F.struct("c", "w")).alias("p"), F.max("c").alias("last")).filter("p.c != last").select("bucket", "p")
-        met = stored(waiting.join(pivots, "bucket").filter("c != p.c"), "met")
+    members = found
+    for turn in range(ROUNDS + 1):
+        if turn < ROUNDS:
+            pivots = waiting.groupBy("bucket").agg(F.min(F.struct("c", "w")).alias("p"))
+        else:
+            # what is left meets everyone; windows of one text and bucket that end together overlap, so one interval does for them
+            pivots = _intervals(waiting).select("bucket", F.struct("c", "w").alias("p"))
+            members = _intervals(found.join(pivots.select("bucket").distinct(), "bucket", "left_semi"))
+        # who has settled is still a partner: only what is not settled needs another
+        met = stored(members.join(pivots, "bucket").filter("c != p.c"), "met")
         if not met.head(1):
             break
+        pivot_first = F.col("p.c") < F.col("c")
+        wa, wb = F.when(pivot_first, F.col("p.w")).otherwise(F.col("w")), F.when(pivot_first, F.col("w")).otherwise(F.col("p.w"))
+        sides = met.select("bucket", F.when(pivot_first, F.col("p.c")).otherwise(F.col("c")).alias("a"), F.when(pivot_first, F.col("c")).otherwise(F.col("p.c")).alias("b"), wa.alias("wa"), wb.alias("wb"))
         hit = F.struct(
-            (F.col("p.w.c") - F.col("p.w.before")).alias("a0"), (F.col("p.w.c") + F.col("p.w.after")).alias("a1"), (F.col("w.c") - F.col("w.before")).alias("b0"),
-            (F.col("w.c") + F.col("w.after")).alias("b1"), F.col("p.w.c").alias("ca"), F.col("w.c").alias("cb"), F.col("bucket").bitwiseAND(F.lit(3)).alias("f"),
+            (F.col("wa.c") - F.col("wa.before")).alias("a0"), (F.col("wa.c") + F.col("wa.after")).alias("a1"), (F.col("wb.c") - F.col("wb.before")).alias("b0"),
+            (F.col("wb.c") + F.col("wb.after")).alias("b1"), F.col("wa.c").alias("ca"), F.col("wb.c").alias("cb"), F.col("bucket").bitwiseAND(F.lit(3)).alias("f"),
         )
-        pairs = met.groupBy(F.col("p.c").alias("a"), F.col("c").alias("b")).agg(F.collect_set(hit).alias("hits"))
+        pairs = sides.groupBy("a", "b").agg(F.collect_set(hit).alias("hits"))
         pairs = pairs.filter(F.size(F.array_distinct(F.transform("hits", lambda h: h["f"]))) >= ENOUGH)
         part = stored(verified(pairs, arrays, least), "passages")
         parts.append(part)
-        settled = part.select(F.col("a").alias("sa"), F.col("b").alias("sb"), "b0", "b9")
-        inside = (F.col("w.c") >= F.col("b0")) & (F.col("w.c") + SHINGLE <= F.col("b9"))
-        left = met.join(settled, (F.col("p.c") == F.col("sa")) & (F.col("c") == F.col("sb")) & inside, "left_anti")
+        if turn == ROUNDS:
+            break
+        settled = part.select(F.col("a").alias("s"), F.col("b").alias("t"), F.col("b0").alias("t0"), F.col("b9").alias("t9")).unionByName(part.select(F.col("b").alias("s"), F.col("a").alias("t"), F.col("a0").alias("t0"), F.col("a9").alias("t9")))
+        inside = (F.col("w.c") >= F.col("t0")) & (F.col("w.c") + SHINGLE <= F.col("t9"))
+        left = waiting.join(pivots, "bucket").filter("c != p.c").join(settled, (F.col("p.c") == F.col("s")) & (F.col("c") == F.col("t")) & inside, "left_anti")
         waiting = stored(left.select("bucket", "c", "w"), "windows")
     exact = stored(exact_passages(exact_runs(found, arrays, least), least), "exact")
     passages = exact.limit(0)

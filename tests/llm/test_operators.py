@@ -254,6 +254,23 @@ def test_passages_exact_repeats_where_windows_settle_elsewhere(spark):
     assert not missing
 
 
+def test_passages_near_repeats_in_groups_of_unlike_ones(spark):
+    """Recall of near passages without an equal run of 50 words: pairs that all hold one phrase, and variants of one passage, alike to it only."""
+    rng = random.Random(5)
+    body = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    phrase, base, passages_ = body(48), body(60), []
+    for _ in range(60):
+        own, i = [*body(6), *phrase, *body(6)], rng.randrange(11, 49)
+        passages_ += [own, [*own[:i], "changed", *own[i + 1 :]]]
+    passages_ += [base, *[[*base[:i], f"other{i}", *base[i + 1 :]] for i in range(11, 49)]]
+    texts = [[*body(150), *p, *body(150)] for p in passages_]
+    df = spark.createDataFrame(list(enumerate(" ".join(t) for t in texts)), "doc_id long, text string")
+    sets = [{tuple(p[i : i + 5]) for i in range(56)} for p in passages_]
+    like = {i for i, x in enumerate(sets) if any(i != j and 100 * len(x & y) >= 75 * len(x | y) for j, y in enumerate(sets))}
+    found = {i for r in passages.report(df).collect() if r.doc_id != r.source_id and r.end > 155 and r.start < 205 for i in (r.doc_id, r.source_id)}
+    assert len(like) == len(texts) and len(found & like) >= 0.95 * len(like), len(found & like) / len(like)
+
+
 def test_passages_clean(docs):
     out = passages.clean(docs)
     assert out.columns == docs.columns
