@@ -27,6 +27,11 @@ def enrolment(silver: DataFrame, strict: bool = False) -> DataFrame:
     return silver.filter((_consent(strict) == 1) & F.col("subjid").isNotNull()).select(*columns)
 
 
+def all_marts(silver: DataFrame, created_at: datetime.datetime | None = None) -> dict[str, DataFrame]:
+    """Every gold table by name, in the order that they are built."""
+    return {"baseline": baseline(silver), "enrollment": enrolment(silver), "qc_checks": qc_summary(silver, created_at)}
+
+
 def qc_summary(silver: DataFrame, created_at: datetime.datetime | None = None) -> DataFrame:
     """Six counts by country code and device."""
     consented = _consent(False) == 1

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,8 +18,15 @@ from fieldmart import codes
 from fieldmart.functions import parse
 
 SCOPE = ("country", "site")
-REPORT = ("check", "severity", "country", "site", "field", "record_count", "affected_subjids", "affected_tablets")
+REPORT = ("check", "severity", "country", "site", "field", "record_count", "detail", "affected_subjids", "affected_tablets")
 SIMILAR = 0.85
+#: Examples of an issue that its detail names.
+EXAMPLES = 5
+
+
+def _known_facilities(country: str) -> str:
+    return ", ".join(str(c) for c in [*codes.FACILITIES[country], codes.SKIPPED])
+
 
 #: code -> severity, field, columns it needs, predicate on prepared columns (SQL)
 _FILLED = "{0} is null or trim({0}) = ''"
@@ -27,8 +35,8 @@ ROW_CHECKS: list[tuple[str, str, str, tuple[str, ...], str]] = [
     ("invalid_age", "ERROR", "respondants_age", ("respondants_age",), "n_age is not null and not (n_age between 10 and 110 or n_age in (-7, -9))"),
     ("cross_country_facility", "WARNING", "health_facility_ug", ("health_facility_ug",), "n_code = 2 and n_fac_ug <> -9"),
     ("cross_country_facility", "WARNING", "health_facility_ke", ("health_facility_ke",), "n_code = 1 and n_fac_ke <> -9"),
-    ("invalid_facility_code", "ERROR", "health_facility_ke", ("health_facility_ke",), "n_code = 2 and n_fac_ke not in (21, 22, 23, 24, 99, -9)"),
-    ("invalid_facility_code", "ERROR", "health_facility_ug", ("health_facility_ug",), "n_code = 1 and n_fac_ug not in (11, 12, 13, 14, 99, -9)"),
+    ("invalid_facility_code", "ERROR", "health_facility_ke", ("health_facility_ke",), f"n_code = {codes.COUNTRY_CODES['kenya']} and n_fac_ke not in ({_known_facilities('kenya')})"),
+    ("invalid_facility_code", "ERROR", "health_facility_ug", ("health_facility_ug",), f"n_code = {codes.COUNTRY_CODES['uganda']} and n_fac_ug not in ({_known_facilities('uganda')})"),
     ("consented_without_subjid", "ERROR", "subjid", ("consent", "subjid"), "n_consent = 1 and (subjid is null or trim(subjid) = '' or lower(trim(subjid)) = 'nan')"),
     ("missing_interviewer_id", "WARNING", "interviewer_id", ("interviewer_id",), "interviewer_id is null"),
     ("countrycode_mismatch", "ERROR", "countrycode", ("countrycode",), "n_code <> expected_code"),
@@ -74,9 +82,13 @@ def site(country: Column, columns: list[str]) -> Column:
 
 
 def prepared(df: DataFrame, as_of: datetime.date) -> DataFrame:
-    """Every column that a check uses, parsed once. Absent columns are null; rows without a country belong to no report."""
+    """Every column that a check uses, parsed once. Absent columns are null; rows without a country belong to no report.
+
+    The file that a row comes from is _source_db, or file_path where there is no such column.
+    """
     have = [c for c in _TEXT if c in df.columns]
-    text = df.filter("country is not null").select(*have, *([F.col("_source_db")] if "_source_db" in df.columns else []))
+    source = next((c for c in ("_source_db", "file_path") if c in df.columns), None)
+    text = df.filter("country is not null").select(*have, *([F.col(source).alias("_source_db")] if source else []))
     text = text.withColumns({c: F.lit(None).cast("string") for c in _TEXT if c not in have}).withColumn("country", F.lower("country"))
     fits = F.lit(None).cast("boolean")
     for name, prefix in codes.ID_PREFIXES.items():
@@ -101,7 +113,10 @@ def prepared(df: DataFrame, as_of: datetime.date) -> DataFrame:
 
 
 def ids() -> Column:
-    """Distinct sorted subject ids of a group's rows, else screening ids, '; '-joined; '' if none."""
+    """Distinct sorted subject ids of a group's rows, else screening ids, '; '-joined; '' if none.
+
+    One cell for a whole group: for the report that people read. ``issue_rows`` has the same as rows, however many.
+    """
     join = lambda c: F.nullif(F.array_join(F.array_sort(F.collect_set(c)), "; "), F.lit(""))
     return F.coalesce(join("subject"), join(F.nullif(F.col("screening_text"), F.lit(""))), F.lit(""))
 
@@ -110,8 +125,23 @@ def tablets() -> Column:
     return F.array_join(F.array_sort(F.collect_set("tablet")), ", ")
 
 
+_LONG = ("check", "severity", "field", *SCOPE, "row_id", "subject", "screening_text", "tablet")
+
+
 def _reported(df: DataFrame, keys: tuple[str, ...] = SCOPE) -> DataFrame:
-    return df.groupBy("check", "severity", *keys, "field").agg(F.count("*").alias("record_count"), ids().alias("affected_subjids"), tablets().alias("affected_tablets"))
+    """Counts, ids and the first rows by row_id of every issue."""
+    group = ["check", "severity", *keys, "field"]
+    totals = df.groupBy(*group).agg(F.count("*").alias("record_count"), ids().alias("affected_subjids"), tablets().alias("affected_tablets"))
+    first = _first(df, group).groupBy(*[F.col(c).alias(f"_{c}") for c in group]).agg(F.concat(F.lit("rows "), F.array_join(F.array_sort(F.collect_list("row_id")), ", ")).alias("detail"))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group])
+    return totals.join(first, same).drop(*[f"_{c}" for c in group])
+
+
+def _first(df: DataFrame, group: list[str], most: int = EXAMPLES) -> DataFrame:
+    """The first rows of each group by row_id, with their ``place``. Parts of a group are cut first, so that none is sorted whole."""
+    order = lambda *more: F.row_number().over(Window.partitionBy(*group, *more).orderBy("row_id"))
+    part = df.withColumn("_part", F.pmod(F.xxhash64("row_id"), F.lit(64))).withColumn("_place", order("_part")).filter(F.col("_place") <= most)
+    return part.drop("_part", "_place").withColumn("place", order()).filter(F.col("place") <= most)
 
 
 def row_issues(rows: DataFrame, columns: list[str], only: str | None = None) -> DataFrame:
@@ -147,13 +177,13 @@ def _fixed(df: DataFrame, check: str, severity: str, field: Column | str) -> Dat
 def missing_columns(rows: DataFrame, columns: list[str]) -> DataFrame:
     absent = [c for c in codes.REQUIRED if c not in columns]
     counts = rows.groupBy(*SCOPE).agg(F.count("*").alias("record_count")).withColumn("field", F.explode(F.array(*[F.lit(c) for c in absent]).cast("array<string>")))
-    return _fixed(counts, "missing_column", "ERROR", F.col("field")).withColumns({"affected_subjids": F.lit(""), "affected_tablets": F.lit("")}).select(*REPORT)
+    return _fixed(counts, "missing_column", "ERROR", F.col("field")).withColumns({"detail": F.lit(""), "affected_subjids": F.lit(""), "affected_tablets": F.lit("")}).select(*REPORT)
 
 
 def duplicate_names(rows: DataFrame) -> DataFrame:
     """A row for each name that several rows share, unless their dates of birth differ."""
     groups = rows.filter("name is not null").groupBy(*SCOPE, "name").agg(F.count("*").alias("record_count"), F.count_distinct("born").alias("dates"), ids().alias("affected_subjids"), tablets().alias("affected_tablets"))
-    return _fixed(groups.filter("record_count > 1 and dates <= 1"), "duplicate_name", "WARNING", "participants_name").select(*REPORT, "name")
+    return _fixed(groups.filter("record_count > 1 and dates <= 1"), "duplicate_name", "WARNING", "participants_name").withColumn("detail", F.col("name")).select(*REPORT)
 
 
 def similar_phone_pairs(rows: DataFrame) -> DataFrame:
@@ -170,48 +200,73 @@ def similar_phone_pairs(rows: DataFrame) -> DataFrame:
 
 
 def similar_phones(rows: DataFrame) -> DataFrame:
-    """record_count: pairs of rows."""
+    """record_count: pairs of rows; detail: the first pairs of numbers. ``similar_phone_pairs`` lists all."""
     pairs = similar_phone_pairs(rows)
     total = pairs.groupBy(*SCOPE).agg(F.sum(F.col("n_a") * F.col("n_b")).alias("record_count"))
+    both = F.concat_ws(" / ", "phone_a", "phone_b")
+    first = _first(pairs.withColumn("row_id", both), list(SCOPE)).groupBy(*SCOPE).agg(F.array_join(F.array_sort(F.collect_list("row_id")), "; ").alias("detail"))
     found = pairs.select(*SCOPE, F.explode(F.array("phone_a", "phone_b")).alias("phone")).distinct()
     of_rows = rows.join(found, [*SCOPE, "phone"], "left_semi").groupBy(*SCOPE).agg(ids().alias("affected_subjids"), tablets().alias("affected_tablets"))
-    return _fixed(total.join(of_rows, list(SCOPE)), "similar_phone", "WARNING", "mobile_number").select(*REPORT)
+    return _fixed(total.join(of_rows, list(SCOPE)).join(first, list(SCOPE)), "similar_phone", "WARNING", "mobile_number").select(*REPORT)
+
+
+def _rare_letters(name: Column, share: Column) -> Column:
+    """The letters of a name, each with its how-manieth it is, in one order for all names: the first that a share of them leaves.
+
+    Two names with a common subsequence of n letters have n such letters in common, so they have one among the first
+    (length - n + 1) of either.
+    """
+    letters = F.split(name, "")
+    counted = F.transform(letters, lambda ch, i: F.struct(F.size(F.filter(F.slice(letters, F.lit(1), i + 1), lambda x: x == ch)).alias("k"), ch.alias("ch")))
+    return F.slice(F.sort_array(counted, asc=False), F.lit(1), F.length(name) - F.ceil(F.round(share * F.length(name), 6)) + 1)
 
 
 def similar_names(rows: DataFrame, has_dob: bool = True, least: float = SIMILAR) -> DataFrame:
-    """A row for each pair of rows with similar, not equal names, the same date of birth and not the same subject.
+    """A row for each pair of rows with similar, not equal names, not the same subject, and the same date of birth if there is such a column.
 
-    Names meet by country, site and date of birth. Without that column they meet by the first or last third of
-    the shorter name, so that only names with neither in common are never compared.
+    Names meet by country, site, date of birth and their rarest letters, so many that no similar pair is missed and a
+    date that many share is split. Lengths, then the edit distance, which is never above that of insertions and
+    deletions, leave out nearly all pairs before the common subsequence is measured.
     """
     named = rows.filter("name is not null").select(*SCOPE, "row_id", "name", "born", "subject", "tablet", "screening_text")
-    distinct = named.select(*SCOPE, "born", "name").distinct()
-    if has_dob:
-        distinct = distinct.filter("born is not null").withColumn("block", F.col("born").cast("string"))
-    else:
-        third = F.greatest(F.floor(F.length("name") / 4).cast("int"), F.lit(1))
-        ends = F.array(F.concat(F.lit("<"), F.substring(F.col("name"), F.lit(1), third)), F.concat(F.lit(">"), F.substring(F.col("name"), -third, third)))
-        distinct = distinct.select(*SCOPE, "name").distinct().select(*SCOPE, F.lit(None).cast("date").alias("born"), "name", F.explode(F.array_distinct(ends)).alias("block"))
+    keys = [*SCOPE, *(["born"] if has_dob else [])]
+    distinct = named.filter("born is not null") if has_dob else named
+    # the common subsequence has least / 2 of both lengths, and the other name at most (2 - least) / least of this one's
+    share = F.lit(least / 2) * (1 + F.lit(least / (2 - least)))
+    distinct = distinct.select(*keys, "name").distinct().withColumn("letter", F.explode_outer(_rare_letters(F.col("name"), share)))
     a, b = distinct.alias("a"), distinct.alias("b")
     la, lb = F.length("a.name"), F.length("b.name")
-    on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in SCOPE] + [F.col("a.block") == F.col("b.block"), F.col("a.name") < F.col("b.name"), 2 * F.least(la, lb) >= least * (la + lb)]
-    names = a.join(b, reduce(Column.__and__, on)).select("a.country", "a.site", "a.born", F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b")).distinct()
+    on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in SCOPE] + [F.col(f"a.{c}") == F.col(f"b.{c}") for c in keys[2:]]
+    on += [F.col("a.letter") == F.col("b.letter"), F.col("a.name") < F.col("b.name"), F.lit(2.0) * F.least(la, lb) >= least * (la + lb)]
+    on.append(F.levenshtein(F.col("a.name"), F.col("b.name")) <= F.floor(F.round((1 - least) * (la + lb), 6)))
+    names = a.join(b, reduce(Column.__and__, on)).select(*[F.col(f"a.{c}") for c in keys], F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b")).distinct()
     names = names.withColumn("similarity", parse.name_similarity(F.col("name_a"), F.col("name_b"))).filter(F.col("similarity") >= least)
-    side = lambda x: named.select(*SCOPE, *([F.col("born")] if has_dob else []), F.col("name").alias(f"name_{x}"), F.col("row_id").alias(f"row_{x}"), F.col("subject").alias(f"subject_{x}"))
-    keys = [*SCOPE, *(["born"] if has_dob else [])]
+    side = lambda x: named.select(*keys, F.col("name").alias(f"name_{x}"), *[F.col(c).alias(f"{c}_{x}") for c in ("row_id", "subject", "tablet", "screening_text")])
     pairs = names.join(side("a"), [*keys, "name_a"]).join(side("b"), [*keys, "name_b"])
     pairs = pairs.filter(~F.coalesce(F.col("subject_a") == F.col("subject_b"), F.lit(False)))
-    return _fixed(pairs, "similar_name", "WARNING", "participants_name").select("check", "severity", *SCOPE, "field", F.lit(2).cast("long").alias("record_count"), "name_a", "name_b", "row_a", "row_b", "similarity")
+    of_both = lambda c: F.array_sort(F.array_distinct(F.array_compact(F.array(F.nullif(F.col(f"{c}_a"), F.lit("")), F.nullif(F.col(f"{c}_b"), F.lit(""))))))
+    known = F.coalesce(F.nullif(F.array_join(of_both("subject"), "; "), F.lit("")), F.array_join(of_both("screening_text"), "; "))
+    detail = F.concat(F.lit("'"), F.col("name_a"), F.lit("' / '"), F.col("name_b"), F.lit("' ("), F.format_string("%.2f", "similarity"), F.lit(")"))
+    more = {"record_count": F.lit(2).cast("long"), "detail": detail, "affected_subjids": known, "affected_tablets": F.array_join(of_both("tablet"), ", "), "row_a": F.col("row_id_a"), "row_b": F.col("row_id_b")}
+    return _fixed(pairs, "similar_name", "WARNING", "participants_name").withColumns(more).select(*REPORT, "name_a", "name_b", "row_a", "row_b", "similarity")
+
+
+def _low_device_rows(rows: DataFrame, most: int = 2) -> DataFrame:
+    """Rows of devices (the folder of the source file) with ``most`` rows or fewer in a site, with ``device``."""
+    placed = rows.filter("_source_db is not null").withColumn("device", F.element_at(F.split("_source_db", "/"), -2))
+    low = placed.groupBy(*SCOPE, "device").agg(F.count("*").alias("n")).filter(F.col("n") <= most).drop("n")
+    return placed.join(low, [*SCOPE, "device"])
 
 
 def low_devices(rows: DataFrame, most: int = 2) -> DataFrame:
-    """Rows of devices (the folder of the source file) with ``most`` rows or fewer in a site."""
+    """record_count: rows of such devices; detail: the first of them by name."""
     if "_source_db" not in rows.columns:
-        return rows.limit(0).groupBy(*SCOPE).agg(F.count("*").alias("record_count")).select(F.lit("low_tablet_record_count").alias("check"), F.lit("WARNING").alias("severity"), *SCOPE, F.lit("_source_db").alias("field"), "record_count", F.lit("").alias("affected_subjids"), F.lit("").alias("affected_tablets"))
-    device = F.element_at(F.split("_source_db", "/"), -2)
-    counts = rows.filter("_source_db is not null").groupBy(*SCOPE, device.alias("device")).agg(F.count("*").alias("n")).filter(F.col("n") <= most)
-    total = counts.groupBy(*SCOPE).agg(F.sum("n").alias("record_count"))
-    return _fixed(total, "low_tablet_record_count", "WARNING", "_source_db").withColumns({"affected_subjids": F.lit(""), "affected_tablets": F.lit("")}).select(*REPORT)
+        return missing_columns(rows, list(codes.REQUIRED)).limit(0)
+    low = _low_device_rows(rows, most).withColumn("row_id", F.col("device"))
+    total = low.groupBy(*SCOPE).agg(F.count("*").alias("record_count"))
+    first = _first(low.select(*SCOPE, "row_id").distinct(), list(SCOPE)).groupBy(*SCOPE).agg(F.array_join(F.array_sort(F.collect_list("row_id")), ", ").alias("detail"))
+    out = _fixed(total.join(first, list(SCOPE)), "low_tablet_record_count", "WARNING", "_source_db")
+    return out.withColumns({"affected_subjids": F.lit(""), "affected_tablets": F.lit("")}).select(*REPORT)
 
 
 def sparse_columns(df: DataFrame, share: float = 0.5) -> DataFrame:
@@ -220,7 +275,7 @@ def sparse_columns(df: DataFrame, share: float = 0.5) -> DataFrame:
     placed = df.filter("country is not null").withColumn("_site", site(F.lower("country"), df.columns)).withColumn("_country", F.lower("country"))
     counts = placed.groupBy("_country", "_site").agg(F.count("*").alias("_n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in names])
     long = counts.select(F.col("_country").alias("country"), F.col("_site").alias("site"), "_n", F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in names]), F.array(*names))).alias("field", "record_count"))
-    return _fixed(long.filter(F.col("record_count") > share * F.col("_n")), "sparse_column", "WARNING", F.col("field")).withColumns({"affected_subjids": F.lit(""), "affected_tablets": F.lit("")}).select(*REPORT)
+    return _fixed(long.filter(F.col("record_count") > share * F.col("_n")), "sparse_column", "WARNING", F.col("field")).withColumns({"detail": F.lit(""), "affected_subjids": F.lit(""), "affected_tablets": F.lit("")}).select(*REPORT)
 
 
 def check(df: DataFrame, code: str, as_of: datetime.date, most: int | None = None) -> DataFrame:
@@ -235,22 +290,42 @@ def check(df: DataFrame, code: str, as_of: datetime.date, most: int | None = Non
 
 
 def report(df: DataFrame, as_of: datetime.date) -> DataFrame:
-    """Report rows of all checks."""
-    rows = prepared(df, as_of)
+    """Report rows of all checks.
+
+    The parsed rows are persisted, in memory or on disk, as every check reads them; unpersist or clear the cache after use.
+    """
+    rows = prepared(df, as_of).persist(StorageLevel.MEMORY_AND_DISK)
     flagged = row_issues(rows, df.columns).unionByName(count_issues(rows, df.columns))
     out = _reported(flagged).select(*REPORT)
-    pairs = similar_names(rows, "dob" in df.columns).withColumns({"affected_subjids": F.lit(""), "affected_tablets": F.lit("")})
-    for part in (missing_columns(rows, df.columns), duplicate_names(rows), similar_phones(rows), pairs, low_devices(rows), sparse_columns(df)):
+    for part in (missing_columns(rows, df.columns), duplicate_names(rows), similar_phones(rows), similar_names(rows, "dob" in df.columns), low_devices(rows), sparse_columns(df)):
         out = out.unionByName(part.select(*REPORT))
     text = [c for c, kind in out.dtypes if kind == "string"]
     return out.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in text})
 
 
-def issue_examples(df: DataFrame, as_of: datetime.date, most: int = 5) -> DataFrame:
+def issue_rows(df: DataFrame, as_of: datetime.date) -> DataFrame:
+    """Every row of every issue: check, severity, country, site, field, row_id, subject, screening_text, tablet.
+
+    The report's counts and ids as a table that grows with the rows and gathers no group. Columns that are absent or
+    sparse have no rows here.
+    """
+    rows = prepared(df, as_of).persist(StorageLevel.MEMORY_AND_DISK)
+    out = row_issues(rows, df.columns).unionByName(count_issues(rows, df.columns)).select(*_LONG)
+    twins = duplicate_names(rows).select(*SCOPE, F.col("detail").alias("name"))
+    phones = similar_phone_pairs(rows).select(*SCOPE, F.explode(F.array("phone_a", "phone_b")).alias("phone")).distinct()
+    alike = similar_names(rows, "dob" in df.columns).select(*SCOPE, F.explode(F.array("row_a", "row_b")).alias("row_id")).distinct()
+    parts = [("duplicate_name", "participants_name", twins, "name"), ("similar_phone", "mobile_number", phones, "phone"), ("similar_name", "participants_name", alike, "row_id")]
+    for code, field, keys, key in parts:
+        out = out.unionByName(_fixed(rows.join(keys, [*SCOPE, key], "left_semi"), code, "WARNING", field).select(*_LONG))
+    if "_source_db" in rows.columns:
+        out = out.unionByName(_fixed(_low_device_rows(rows), "low_tablet_record_count", "WARNING", "_source_db").select(*_LONG))
+    return out
+
+
+def issue_examples(df: DataFrame, as_of: datetime.date, most: int = EXAMPLES) -> DataFrame:
     """The first rows of every issue, by row id: check, country, site, field, place, row_id."""
-    issues = row_issues(prepared(df, as_of), df.columns)
-    place = F.row_number().over(Window.partitionBy("check", "field", *SCOPE).orderBy("row_id"))
-    return issues.withColumn("place", place).filter(F.col("place") <= most).select("check", *SCOPE, "field", "place", "row_id")
+    found = _first(issue_rows(df, as_of), ["check", "field", *SCOPE], most)
+    return found.select("check", *SCOPE, "field", "place", "row_id")
 
 
 def severity_totals(report_: DataFrame) -> DataFrame:
@@ -268,5 +343,5 @@ def of_countries(report_: DataFrame, countries: list[str]) -> DataFrame:
 
 def with_source_errors(report_: DataFrame, failures: DataFrame) -> DataFrame:
     """Files that could not be read (file_path, country) come as ERROR rows before the report's own."""
-    rows = failures.select(F.lit("corrupt_archive").alias("check"), F.lit("ERROR").alias("severity"), "country", F.lit("").alias("site"), F.col("file_path").alias("field"), F.lit(1).cast("long").alias("record_count"), F.lit("").alias("affected_subjids"), F.lit("").alias("affected_tablets"))
+    rows = failures.select(F.lit("corrupt_archive").alias("check"), F.lit("ERROR").alias("severity"), "country", F.lit("").alias("site"), F.col("file_path").alias("field"), F.lit(1).cast("long").alias("record_count"), F.lit("").alias("detail"), F.lit("").alias("affected_subjids"), F.lit("").alias("affected_tablets"))
     return rows.unionByName(report_.select(*REPORT))

@@ -64,13 +64,18 @@ def _due(queue: DataFrame, people: DataFrame, country_code: str) -> DataFrame:
     return queue.join(people.filter(F.col("countrycode") == country_code).select("subjid", SITE), "subjid")
 
 
-def report_window(spark, as_of: datetime.date) -> DataFrame:
+def window_of(day: Column) -> tuple[Column, Column, Column]:
     """week_start, week_end, sent_end of the report of a day: the last Wednesday to Wednesday, and the day after.
 
     The last Tuesday on or before the day less six days begins it; one day more ends it, counted in.
     """
-    tuesday = F.date_sub(F.next_day(F.date_add(F.lit(as_of), 1), "TU"), 7)
-    return spark.range(1).select(F.date_sub(tuesday, 6).alias("week_start"), F.date_add(tuesday, 1).alias("week_end"), F.date_add(tuesday, 2).alias("sent_end"))
+    tuesday = F.date_sub(F.next_day(day, "TU"), 7)
+    return F.date_sub(tuesday, 6), F.date_add(tuesday, 1), F.date_add(tuesday, 2)
+
+
+def report_window(days: DataFrame) -> DataFrame:
+    """day, week_start, week_end, sent_end for each row of days (day)."""
+    return days.select("day", *[c.alias(n) for c, n in zip(window_of(F.col("day")), ("week_start", "week_end", "sent_end"), strict=True)])
 
 
 def weekly_report(log: DataFrame, queue: DataFrame, people: DataFrame, start: datetime.date, end: datetime.date, country_code: str = COUNTRY_CODE, closed: str = "code") -> DataFrame:

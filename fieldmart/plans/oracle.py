@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from fieldmart import codes
-from fieldmart.operators.quality import COUNT_CHECKS, ROW_CHECKS
 from fieldmart.sources.demo import ARM_TEXTS, LANGUAGE_TEXTS
 
 DAY = "DATE '2001-06-30'"
@@ -60,7 +59,7 @@ def _list(values: tuple[str, ...]) -> str:
 
 VISITS = f"""
 base AS (SELECT o_orderkey AS k, o_custkey AS u, o_orderstatus AS st, CAST(o_orderdate AS TIMESTAMP) AS od, c_nationkey % 2 = 0 AS ke,
-         CAST(o_orderdate AS TIMESTAMP) + to_minutes(CAST(o_orderkey % 1440 AS BIGINT)) AS start_, DATE '1930-01-01' + CAST(o_custkey * 37 % 29000 AS INT) AS born_
+         CASE WHEN o_orderkey % 1000 < 60 THEN TIMESTAMP '2001-05-05' ELSE CAST(o_orderdate AS TIMESTAMP) END + to_minutes(CAST(o_orderkey % 1440 AS BIGINT)) AS start_, CASE WHEN o_custkey % 301 = 0 THEN DATE '2095-01-01' + CAST(o_custkey % 300 AS INT) ELSE DATE '1930-01-01' + CAST(o_custkey * 37 % 29000 AS INT) END AS born_
          FROM orders JOIN customer ON o_custkey = c_custkey),
 visits AS (SELECT k AS row_id,
   CASE WHEN k % 97 <> 0 THEN CAST(k % 14000 AS VARCHAR) END AS uniqueid,
@@ -69,7 +68,7 @@ visits AS (SELECT k AS row_id,
   CASE WHEN ke THEN 'kenya' ELSE 'uganda' END AS country,
   CASE WHEN k % 37 = 0 THEN '9' WHEN ke THEN '2' ELSE '1' END AS countrycode,
   CAST(u % 40 AS VARCHAR) AS tabletnum,
-  CASE WHEN k % 101 <> 0 THEN 'I' || (u % 12) END AS interviewer_id,
+  CASE WHEN k % 1000 < 60 THEN 'I0' WHEN k % 101 <> 0 THEN 'I' || (u % 12) END AS interviewer_id,
   {_text("start_")} AS starttime,
   {_text("start_ + to_minutes(CAST(k % 45 - 3 AS BIGINT))")} AS stoptime,
   {_text("CAST(born_ AS TIMESTAMP)")} AS dob,
@@ -82,12 +81,14 @@ visits AS (SELECT k AS row_id,
   substr(md5(CAST(u AS VARCHAR)), 1, 11) || CASE WHEN k % 13 = 0 THEN 'z' ELSE 'y' END AS participants_name,
   {_text("start_ + to_days(CAST(30 + k % 120 AS INT))")} AS next_appt_3m,
   {_text("start_ + to_days(CAST(k % 260 - 5 AS INT))")} AS next_appt_6m,
+  CASE WHEN k % 4 = 0 THEN 'note ' || (k % 9) END AS remarks,
   '/in/Tablet' || CASE WHEN k < 3 THEN 'X' || k ELSE CAST(u % 40 AS VARCHAR) END || '/db.csv' AS _source_db,
   od AS extracted_at FROM base)"""
 
 _VALID = "(CASE country WHEN 'kenya' THEN 2 WHEN 'uganda' THEN 1 END)"
-SILVER = f"""{VISITS},
-valid AS (SELECT * FROM visits WHERE country IS NOT NULL AND ({_VALID} IS NULL OR ({_num("countrycode")}) = {_VALID})),
+LANDED = f"""{VISITS}, landed AS (SELECT * FROM visits UNION ALL SELECT * REPLACE ('/in/TabletCopy/db.csv' AS _source_db) FROM visits WHERE row_id % 50 = 0)"""
+SILVER = f"""{LANDED},
+valid AS (SELECT * FROM landed WHERE country IS NOT NULL AND ({_VALID} IS NULL OR ({_num("countrycode")}) = {_VALID})),
 distinct_rows AS (SELECT * EXCLUDE (_source_db), min(_source_db) AS _source_db FROM valid GROUP BY ALL),
 latest AS (SELECT * FROM distinct_rows WHERE uniqueid IS NULL OR trim(uniqueid) = ''
            UNION ALL BY NAME SELECT * FROM distinct_rows WHERE trim(uniqueid) <> '' QUALIFY row_number() OVER (PARTITION BY country, uniqueid ORDER BY extracted_at DESC NULLS LAST, row_id DESC) = 1),
@@ -107,44 +108,94 @@ prepared AS (SELECT *, (epoch(stop) - epoch(start)) / 60 AS minutes, CAST(start
 _IDS = "coalesce(string_agg(DISTINCT subject, '; ' ORDER BY subject), string_agg(DISTINCT nullif(screening_text, ''), '; ' ORDER BY nullif(screening_text, '')), '') AS affected_subjids, coalesce(string_agg(DISTINCT tablet, ', ' ORDER BY tablet), '') AS affected_tablets"
 
 
-def _row_part(code: str, severity: str, field: str, predicate: str) -> str:
-    return f"SELECT '{code}' AS \"check\", '{severity}' AS severity, country, site, '{field}' AS field, count(*) AS record_count, {_IDS} FROM prepared WHERE {predicate} GROUP BY country, site"
-
-
-def _count_part(code: str, severity: str, field: str, key: str, most: int) -> str:
-    inner = f"SELECT *, count(*) OVER (PARTITION BY country, site, key_) AS n_ FROM (SELECT *, {key} AS key_ FROM prepared) WHERE key_ IS NOT NULL"
-    return f"SELECT '{code}' AS \"check\", '{severity}' AS severity, country, site, '{field}' AS field, count(*) AS record_count, {_IDS} FROM ({inner}) WHERE n_ > {most} GROUP BY country, site"
-
-
-#: Columns that the derived table has not.
-_ABSENT = {"health_facility"}
-
-
-def _parts(code: str | None = None, counts: dict[str, int] | None = None) -> list[str]:
-    rows = [_row_part(c, s, f, p) for c, s, f, needs, p in ROW_CHECKS if code in (None, c) and not set(needs) & _ABSENT]
-    return rows + [_count_part(c, s, f, k, (counts or {}).get(c, most)) for c, s, f, _, k, most in COUNT_CHECKS if code in (None, c)]
-
-
-_NONE = "'' AS affected_subjids, '' AS affected_tablets"
+#: Written out here, apart from the operators' own predicates: check, severity, field, condition.
+_ROW_CHECKS = [
+    *[("missing_required_value", "ERROR", c, f"coalesce(trim({c}), '') = ''") for c in ("starttime", "stoptime", "countrycode", "tabletnum", "client_sex", "screening_id", "uniqueid")],
+    ("invalid_age", "ERROR", "respondants_age", "n_age NOT IN (-9, -7) AND (n_age < 10 OR n_age > 110)"),
+    ("cross_country_facility", "WARNING", "health_facility_ug", "n_code = 2 AND NOT n_fac_ug = -9"),
+    ("cross_country_facility", "WARNING", "health_facility_ke", "n_code = 1 AND NOT n_fac_ke = -9"),
+    ("invalid_facility_code", "ERROR", "health_facility_ke", "n_code = 2 AND NOT (n_fac_ke BETWEEN 21 AND 24 AND n_fac_ke = floor(n_fac_ke) OR n_fac_ke IN (-9, 99))"),
+    ("invalid_facility_code", "ERROR", "health_facility_ug", "n_code = 1 AND NOT (n_fac_ug BETWEEN 11 AND 14 AND n_fac_ug = floor(n_fac_ug) OR n_fac_ug IN (-9, 99))"),
+    ("consented_without_subjid", "ERROR", "subjid", "n_consent = 1 AND coalesce(lower(trim(subjid)), '') IN ('', 'nan')"),
+    ("missing_interviewer_id", "WARNING", "interviewer_id", "interviewer_id IS NULL"),
+    ("countrycode_mismatch", "ERROR", "countrycode", "n_code IS NOT NULL AND n_code <> CASE country WHEN 'kenya' THEN 2 ELSE 1 END"),
+    ("impossible_duration", "ERROR", "stoptime", "stop < start"),
+    ("duration_too_short", "WARNING", "stoptime", "stop >= start AND stop < start + INTERVAL 8 MINUTE AND subject IS NOT NULL"),
+    ("duration_too_long", "WARNING", "stoptime", "stop > start + INTERVAL 30 MINUTE"),
+    ("future_dob", "ERROR", "dob", "born > DATE '2001-06-30'"),
+    ("dob_eligibility", "ERROR", "dob", "born <= DATE '2001-06-30' AND ((DATE '2001-06-30' - born) < 3652.5 OR (DATE '2001-06-30' - born) > 40177.5)"),
+    ("dob_age_mismatch", "WARNING", "dob", "born <= DATE '2001-06-30' AND n_age NOT IN (-7, -9) AND abs((DATE '2001-06-30' - born) / 365.25 - n_age) > 2"),
+    ("future_visit_date", "ERROR", "starttime", "start >= TIMESTAMP '2001-07-01'"),
+    ("stale_visit_date", "WARNING", "starttime", "start < TIMESTAMP '2000-06-30'"),
+    ("appointment_before_visit", "ERROR", "next_appt_3m", "appt_3m < start"),
+    ("appointment_before_visit", "ERROR", "next_appt_6m", "appt_6m < start"),
+    ("appointment_interval_unexpected", "WARNING", "next_appt_3m", "appt_3m >= start AND (appt_3m < start + INTERVAL 60 DAY OR appt_3m >= start + INTERVAL 121 DAY)"),
+    ("appointment_interval_unexpected", "WARNING", "next_appt_6m", "appt_6m >= start AND (appt_6m < start + INTERVAL 150 DAY OR appt_6m >= start + INTERVAL 211 DAY)"),
+    ("invalid_consent_code", "ERROR", "consent", "NOT (n_consent = 0 OR n_consent = 1 OR n_consent = -9)"),
+    ("non_consented_with_subjid", "ERROR", "subjid", "n_consent = 0 AND lower(trim(subjid)) NOT IN ('', 'nan')"),
+    ("invalid_sex_code", "ERROR", "client_sex", "NOT (n_sex = 1 OR n_sex = 2 OR n_sex = -9)"),
+    ("missing_sex_for_consented", "WARNING", "client_sex", "n_consent = 1 AND coalesce(n_sex, -9) = -9"),
+    ("unusual_interview_hour", "WARNING", "starttime", "hour(start) < 5"),
+    ("invalid_screening_id_format", "ERROR", "screening_id", "regexp_matches(trim(screening_id), '[^A-Za-z0-9_-]')"),
+    ("screening_id_country_mismatch", "ERROR", "screening_id", "trim(screening_id) <> '' AND substr(trim(screening_id), 1, 3) <> 'SCR'"),
+]
+#: check, severity, field, key, most rows of a key.
+_COUNT_CHECKS = [
+    ("duplicate_uniqueid", "ERROR", "uniqueid", "CASE WHEN trim(uniqueid) <> '' THEN uniqueid END", 1),
+    ("duplicate_screening_id", "WARNING", "screening_id", "CASE WHEN trim(screening_id) <> '' THEN screening_id END", 1),
+    ("duplicate_subjid", "ERROR", "subjid", "subject", 1),
+    ("duplicate_phone", "WARNING", "mobile_number", "phone", 1),
+    ("excessive_daily_interviews", "WARNING", "interviewer_id", "interviewer_id || strftime(start, '%Y%m%d')", 25),
+]
+_FIRST_ROWS = "'rows ' || array_to_string(list_sort(list(row_id))[1:5], ', ') AS detail"
+
+
+def _counted(key: str, most: int) -> str:
+    return f"(SELECT *, count(*) OVER (PARTITION BY country, site, key_) AS n_ FROM (SELECT *, {key} AS key_ FROM prepared) WHERE key_ IS NOT NULL QUALIFY n_ > {most})"
+
+
+def _part(code: str, severity: str, field: str, source: str) -> str:
+    return f"SELECT '{code}' AS \"check\", '{severity}' AS severity, country, site, '{field}' AS field, count(*) AS record_count, {_FIRST_ROWS}, {_IDS} FROM {source} GROUP BY country, site"
+
+
+def _long(code: str, severity: str, field: str, source: str) -> str:
+    return f"SELECT '{code}' AS \"check\", '{severity}' AS severity, '{field}' AS field, country, site, row_id, subject, screening_text, tablet FROM {source}"
+
+
+def _each(form, code: str | None = None) -> list[str]:
+    rows = [form(c, s, f, f"prepared WHERE {p}") for c, s, f, p in _ROW_CHECKS if code in (None, c)]
+    return rows + [form(c, s, f, _counted(k, most)) for c, s, f, k, most in _COUNT_CHECKS if code in (None, c)]
+
+
+_NONE = "'' AS detail, '' AS affected_subjids, '' AS affected_tablets"
 MISSING = f"SELECT 'missing_column' AS \"check\", 'ERROR' AS severity, country, site, 'health_facility' AS field, count(*) AS record_count, {_NONE} FROM prepared GROUP BY country, site"
-NAMES = f"SELECT 'duplicate_name' AS \"check\", 'WARNING' AS severity, country, site, 'participants_name' AS field, count(*) AS record_count, {_IDS}, name FROM prepared WHERE name IS NOT NULL GROUP BY country, site, name HAVING count(*) > 1 AND count(DISTINCT born) <= 1"
-_PHONES = "ph AS (SELECT country, site, phone, count(*) AS n FROM prepared WHERE phone IS NOT NULL GROUP BY ALL), pp AS (SELECT a.country, a.site, a.phone AS pa, b.phone AS pb, a.n * b.n AS n FROM ph a JOIN ph b ON a.country = b.country AND a.site = b.site AND a.phone < b.phone AND length(a.phone) = length(b.phone) AND hamming(a.phone, b.phone) = 1), hit AS (SELECT DISTINCT country, site, unnest([pa, pb]) AS phone FROM pp)"
-PHONES = f"SELECT 'similar_phone' AS \"check\", 'WARNING' AS severity, country, site, 'mobile_number' AS field, record_count, affected_subjids, affected_tablets FROM (SELECT country, site, CAST(sum(n) AS BIGINT) AS record_count FROM pp GROUP BY ALL) JOIN (SELECT country, site, {_IDS} FROM prepared SEMI JOIN hit USING (country, site, phone) GROUP BY ALL) USING (country, site)"
+NAMES = f"SELECT 'duplicate_name' AS \"check\", 'WARNING' AS severity, country, site, 'participants_name' AS field, count(*) AS record_count, name AS detail, {_IDS} FROM prepared WHERE name IS NOT NULL GROUP BY country, site, name HAVING count(*) > 1 AND count(DISTINCT born) <= 1"
+_PHONES = "ph AS (SELECT country, site, phone, count(*) AS n FROM prepared WHERE phone IS NOT NULL GROUP BY ALL), pp AS (SELECT a.country, a.site, a.phone AS pa, b.phone AS pb, a.n AS na, b.n AS nb, a.n * b.n AS n FROM ph a JOIN ph b ON a.country = b.country AND a.site = b.site AND a.phone < b.phone AND length(a.phone) = length(b.phone) AND hamming(a.phone, b.phone) = 1), hit AS (SELECT DISTINCT country, site, unnest([pa, pb]) AS phone FROM pp)"
+PHONES = f"SELECT 'similar_phone' AS \"check\", 'WARNING' AS severity, country, site, 'mobile_number' AS field, record_count, detail, affected_subjids, affected_tablets FROM (SELECT country, site, CAST(sum(n) AS BIGINT) AS record_count, array_to_string(list_sort(list(pa || ' / ' || pb))[1:5], '; ') AS detail FROM pp GROUP BY ALL) JOIN (SELECT country, site, {_IDS} FROM prepared SEMI JOIN hit USING (country, site, phone) GROUP BY ALL) USING (country, site)"
 _LCS = "list_reduce(range(1, length(na) + 1), lambda row_, i: list_reduce(range(1, length(nb) + 1), lambda new_, j: list_append(new_, CASE WHEN nb[j] = na[i] THEN row_[j] + 1 ELSE greatest(row_[j + 1], new_[j]) END), [0::BIGINT]), list_transform(range(0, length(nb) + 1), lambda z: 0::BIGINT))[-1]"
 _NAME_PAIRS = f"nm AS (SELECT DISTINCT country, site, born, name FROM prepared WHERE name IS NOT NULL AND born IS NOT NULL), np AS (SELECT a.country, a.site, a.born, a.name AS na, b.name AS nb FROM nm a JOIN nm b ON a.country = b.country AND a.site = b.site AND a.born = b.born AND a.name < b.name), ns AS (SELECT *, 2.0::DOUBLE * {_LCS} / (length(na) + length(nb)) AS similarity FROM np)"
-SIMILAR = "SELECT 'similar_name' AS \"check\", 'WARNING' AS severity, ns.country, ns.site, 'participants_name' AS field, 2 AS record_count, na AS name_a, nb AS name_b, a.row_id AS row_a, b.row_id AS row_b, similarity FROM ns JOIN prepared a ON a.country = ns.country AND a.site = ns.site AND a.born = ns.born AND a.name = na JOIN prepared b ON b.country = ns.country AND b.site = ns.site AND b.born = ns.born AND b.name = nb WHERE similarity >= 0.85 AND NOT coalesce(a.subject = b.subject, false)"
-DEVICES = f"SELECT 'low_tablet_record_count' AS \"check\", 'WARNING' AS severity, country, site, '_source_db' AS field, CAST(sum(n) AS BIGINT) AS record_count, {_NONE} FROM (SELECT country, site, string_split(_source_db, '/')[-2] AS device, count(*) AS n FROM prepared GROUP BY ALL HAVING n <= 2) GROUP BY country, site"
-#: With an eighth null as the limit, so that the demo table has such columns.
-_SPARSE_COLUMNS = ("row_id", "uniqueid", "subjid", "screening_id", "country", "countrycode", "tabletnum", "interviewer_id", "starttime", "stoptime", "dob", "respondants_age", "client_sex", "consent", "health_facility_ke", "health_facility_ug", "mobile_number", "participants_name", "next_appt_3m", "next_appt_6m", "extracted_at")
-SPARSE = " UNION ALL ".join(f"SELECT 'sparse_column' AS \"check\", 'WARNING' AS severity, country, site, '{c}' AS field, count(*) - count({c}) AS record_count, {_NONE} FROM prepared GROUP BY country, site HAVING count(*) - count({c}) > {{share}} * count(*)" for c in _SPARSE_COLUMNS)
+SIMILAR = "SELECT 'similar_name' AS \"check\", 'WARNING' AS severity, ns.country, ns.site, 'participants_name' AS field, 2 AS record_count, '''' || na || ''' / ''' || nb || ''' (' || printf('%.2f', similarity) || ')' AS detail, coalesce(nullif(array_to_string(list_sort(list_distinct([a.subject, b.subject])), '; '), ''), array_to_string(list_sort(list_distinct([nullif(a.screening_text, ''), nullif(b.screening_text, '')])), '; '), '') AS affected_subjids, array_to_string(list_sort(list_distinct([a.tablet, b.tablet])), ', ') AS affected_tablets, na AS name_a, nb AS name_b, a.row_id AS row_a, b.row_id AS row_b, similarity FROM ns JOIN prepared a ON a.country = ns.country AND a.site = ns.site AND a.born = ns.born AND a.name = na JOIN prepared b ON b.country = ns.country AND b.site = ns.site AND b.born = ns.born AND b.name = nb WHERE similarity >= 0.85 AND NOT coalesce(a.subject = b.subject, false)"
+DEVICES = f"SELECT 'low_tablet_record_count' AS \"check\", 'WARNING' AS severity, country, site, '_source_db' AS field, CAST(sum(n) AS BIGINT) AS record_count, array_to_string(list_sort(list(device))[1:5], ', ') AS detail, '' AS affected_subjids, '' AS affected_tablets FROM (SELECT country, site, string_split(_source_db, '/')[-2] AS device, count(*) AS n FROM prepared GROUP BY ALL HAVING n <= 2) GROUP BY country, site"
+_SPARSE_COLUMNS = ("row_id", "uniqueid", "subjid", "screening_id", "country", "countrycode", "tabletnum", "interviewer_id", "starttime", "stoptime", "dob", "respondants_age", "client_sex", "consent", "health_facility_ke", "health_facility_ug", "mobile_number", "participants_name", "next_appt_3m", "next_appt_6m", "remarks", "extracted_at")
+SPARSE = " UNION ALL ".join(f"SELECT 'sparse_column' AS \"check\", 'WARNING' AS severity, country, site, '{c}' AS field, count(*) - count({c}) AS record_count, {_NONE} FROM prepared GROUP BY country, site HAVING count(*) - count({c}) > 0.5 * count(*)" for c in _SPARSE_COLUMNS)
+
+_REPORT = ", ".join(["\"check\"", "severity", "country", "site", "field", "record_count", "detail", "affected_subjids", "affected_tablets"])
+REPORT = f"{PREPARED}, {_PHONES}, {_NAME_PAIRS}, report AS (" + " UNION ALL ".join([*_each(_part), MISSING, NAMES, PHONES, f"SELECT {_REPORT} FROM ({SIMILAR})", DEVICES, SPARSE]) + ")"
+
 
-_REPORT = ", ".join(["\"check\"", "severity", "country", "site", "field", "record_count", "affected_subjids", "affected_tablets"])
-REPORT = f"{PREPARED}, {_PHONES}, {_NAME_PAIRS}, report AS (" + " UNION ALL ".join([*_parts(), MISSING, f"SELECT {_REPORT} FROM ({NAMES})", PHONES, f"SELECT \"check\", severity, country, site, field, record_count, {_NONE} FROM ({SIMILAR})", DEVICES, SPARSE.format(share=0.5)]) + ")"
+_IN_SITE = "h.country = p.country AND h.site = p.site"
+LONG = f"{PREPARED}, {_PHONES}, {_NAME_PAIRS}, long_ AS (" + " UNION ALL ".join([
+    *_each(_long),
+    _long("duplicate_name", "WARNING", "participants_name", f"prepared p WHERE EXISTS (SELECT 1 FROM ({NAMES}) h WHERE {_IN_SITE} AND h.detail = p.name)"),
+    _long("similar_phone", "WARNING", "mobile_number", f"prepared p WHERE EXISTS (SELECT 1 FROM hit h WHERE {_IN_SITE} AND h.phone = p.phone)"),
+    _long("similar_name", "WARNING", "participants_name", f"prepared p WHERE row_id IN (SELECT unnest([row_a, row_b]) FROM ({SIMILAR}))"),
+    _long("low_tablet_record_count", "WARNING", "_source_db", "(SELECT *, count(*) OVER (PARTITION BY country, site, string_split(_source_db, '/')[-2]) AS n_ FROM prepared QUALIFY n_ <= 2)"),
+]) + ")"
 
 
 def check_sql(code: str) -> str:
-    special = {"missing_column": MISSING, "duplicate_name": NAMES, "similar_phone": PHONES, "similar_name": SIMILAR, "low_tablet_record_count": DEVICES, "sparse_column": SPARSE.format(share=0.005)}
-    body = special.get(code) or " UNION ALL ".join(_parts(code, {"excessive_daily_interviews": 2}))
+    special = {"missing_column": MISSING, "duplicate_name": NAMES, "similar_phone": PHONES, "similar_name": SIMILAR, "low_tablet_record_count": DEVICES, "sparse_column": SPARSE}
+    body = special.get(code) or " UNION ALL ".join(_each(_part, code))
     return f"WITH {PREPARED}, {_PHONES}, {_NAME_PAIRS} {body}"
 
 
@@ -210,9 +261,9 @@ _TYPES = """types AS (SELECT 'file' || k AS file, 'c' || i AS "column", CASE WHE
 ORACLE_SQL: dict[str, str] = {
     "country_filter": f"WITH {SILVER} SELECT * FROM valid",
     "dedup_exact": f"WITH {SILVER} SELECT * FROM distinct_rows",
-    "dedup_latest": f"WITH {VISITS} SELECT * FROM visits WHERE uniqueid IS NULL OR trim(uniqueid) = '' UNION ALL SELECT * FROM visits WHERE trim(uniqueid) <> '' QUALIFY row_number() OVER (PARTITION BY country, uniqueid ORDER BY extracted_at DESC NULLS LAST, row_id DESC) = 1",
+    "dedup_latest": f"WITH {LANDED}, once AS (SELECT * EXCLUDE (_source_db), min(_source_db) AS _source_db FROM landed GROUP BY ALL) SELECT * FROM once WHERE uniqueid IS NULL OR trim(uniqueid) = '' UNION ALL SELECT * FROM once WHERE trim(uniqueid) <> '' QUALIFY row_number() OVER (PARTITION BY country, uniqueid ORDER BY extracted_at DESC NULLS LAST, row_id DESC) = 1",
     "silver_build": f"WITH {SILVER} SELECT * FROM silver",
-    "cleaning_audit": f"WITH {SILVER} SELECT country, n_rows, n_rows - v AS wrong_code, v - d AS exact_copies, d - l AS older_rows FROM (SELECT country, count(*) AS n_rows FROM visits GROUP BY 1) JOIN (SELECT country, count(*) AS v FROM valid GROUP BY 1) USING (country) JOIN (SELECT country, count(*) AS d FROM distinct_rows GROUP BY 1) USING (country) JOIN (SELECT country, count(*) AS l FROM latest GROUP BY 1) USING (country)",
+    "cleaning_audit": f"WITH {SILVER} SELECT country, n_rows, n_rows - v AS wrong_code, v - d AS exact_copies, d - l AS older_rows FROM (SELECT country, count(*) AS n_rows FROM landed GROUP BY 1) JOIN (SELECT country, count(*) AS v FROM valid GROUP BY 1) USING (country) JOIN (SELECT country, count(*) AS d FROM distinct_rows GROUP BY 1) USING (country) JOIN (SELECT country, count(*) AS l FROM latest GROUP BY 1) USING (country)",
     "gold_baseline": f"WITH {SILVER} SELECT * EXCLUDE (extracted_at) FROM silver WHERE uniqueid IS NOT NULL",
     "enrollment_mart": f"WITH {SILVER} SELECT uniqueid, subjid, screening_id, countrycode, tabletnum, CAST(NULL AS VARCHAR) AS health_facility, consent, CAST(NULL AS VARCHAR) AS vdate, starttime, stoptime, interviewer_id FROM silver WHERE TRY_CAST(consent AS INT) = 1 AND subjid IS NOT NULL",
     "qc_summary": f"WITH {SILVER} SELECT countrycode, tabletnum, count(*) AS total_records, count(*) FILTER (TRY_CAST(consent AS INT) = 1) AS consented, count(*) FILTER (subjid IS NOT NULL AND TRY_CAST(consent AS INT) = 1) AS enrolled, count(*) FILTER (uniqueid IS NULL) AS missing_uniqueid, count(*) FILTER (screening_id IS NULL) AS missing_screening_id, count(*) FILTER (mobile_number IS NULL AND TRY_CAST(consent AS INT) = 1) AS missing_phone_consented FROM silver GROUP BY ALL",
@@ -222,21 +273,24 @@ ORACLE_SQL: dict[str, str] = {
     "align_schema": f"WITH {VISITS} SELECT uniqueid, CAST(NULL AS VARCHAR) AS vdate, subjid FROM visits",
     "site_groups": f"WITH {PREPARED} SELECT country, site, count(*) AS n FROM prepared GROUP BY ALL",
     "affected_ids": f"WITH {PREPARED} SELECT country, site, {_IDS} FROM prepared GROUP BY ALL",
-    "issue_examples": f"WITH {PREPARED}, long_ AS (" + " UNION ALL ".join(f"SELECT '{c}' AS \"check\", country, site, '{f}' AS field, row_id FROM prepared WHERE {p}" for c, _, f, needs, p in ROW_CHECKS if not set(needs) & _ABSENT) + ") SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY \"check\", field, country, site ORDER BY row_id) AS place FROM long_) WHERE place <= 5",
-    **{code: check_sql(code) for code in [*dict.fromkeys(c[0] for c in [*ROW_CHECKS, *COUNT_CHECKS]), "missing_column", "duplicate_name", "similar_phone", "similar_name", "low_tablet_record_count", "sparse_column"]},
+    "issue_rows": f"WITH {LONG} SELECT * FROM long_",
+    "similar_phone_pairs": f"WITH {PREPARED}, {_PHONES} SELECT country, site, pa AS phone_a, pb AS phone_b, na AS n_a, nb AS n_b FROM pp",
+    "issue_examples": f"WITH {LONG} SELECT * FROM (SELECT \"check\", country, site, field, row_number() OVER (PARTITION BY \"check\", field, country, site ORDER BY row_id) AS place, row_id FROM long_) WHERE place <= 5",
+    "report_window": "SELECT day, tuesday - 6 AS week_start, tuesday + 1 AS week_end, tuesday + 2 AS sent_end FROM (SELECT day, day - CAST((isodow(day) + 5) % 7 AS INT) AS tuesday FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events))",
+    **{code: check_sql(code) for code in [*dict.fromkeys(c[0] for c in [*_ROW_CHECKS, *_COUNT_CHECKS]), "missing_column", "duplicate_name", "similar_phone", "similar_name", "low_tablet_record_count", "sparse_column"]},
     "quality_report": f"WITH {REPORT} SELECT * FROM report",
     "validation_summary": f"WITH {REPORT} SELECT severity, country, site, \"check\", count(*) AS issues FROM report GROUP BY ALL",
     "severity_totals": f"WITH {REPORT} SELECT count(*) FILTER (severity = 'ERROR') AS errors, count(*) FILTER (severity = 'WARNING') AS warnings, count(*) > 0 AS any_issue, count(*) FILTER (severity = 'ERROR') > 0 AS any_failure FROM report",
     "report_country_filter": f"WITH {REPORT} SELECT * FROM report WHERE lower(country) = 'uganda'",
     "report_with_source_errors": f"WITH {REPORT}, {_PATHS} SELECT 'corrupt_archive' AS \"check\", 'ERROR' AS severity, 'kenya' AS country, '' AS site, archive AS field, 1 AS record_count, {_NONE} FROM files WHERE archive LIKE '%.txt' UNION ALL SELECT * FROM report",
-    "latest_snapshot_per_device": f"WITH {_PATHS} SELECT 'Tablet' || dev AS device, file_path FROM files WHERE event_id % 11 <> 0 AND event_id % 13 <> 0 AND dev <> 7 QUALIFY row_number() OVER (PARTITION BY dev ORDER BY date_trunc('second', ts) DESC, file_path DESC) = 1",
+    "latest_snapshot_per_device": f"WITH {_PATHS} SELECT 'Tablet' || dev AS device, file_path FROM files WHERE event_id % 11 <> 0 AND event_id % 13 <> 0 AND dev <> 7 AND NOT ends_with(file_path, '/3.mdb') QUALIFY row_number() OVER (PARTITION BY dev ORDER BY date_trunc('second', ts) DESC, file_path DESC) = 1",
     "latest_archive_per_device": f"WITH {_PATHS} SELECT 'Tablet' || dev AS device, archive FROM files WHERE event_id % 7 <> 0 QUALIFY row_number() OVER (PARTITION BY dev ORDER BY date_trunc('second', ts) DESC, archive DESC) = 1",
-    "incremental_new_files": f"WITH {_PATHS} SELECT file_path, last_modified FROM files f WHERE NOT loaded",
+    "incremental_new_files": f"WITH {_PATHS} SELECT file_path, last_modified FROM files f WHERE NOT (loaded AND event_id % 5 <> 0 AND event_id % 7 <> 0)",
     "schema_missing_columns": f"WITH {_TYPES}, s AS (SELECT file, list_sort(list(\"column\")) AS cols, count(*) AS n_columns FROM types GROUP BY file), w AS (SELECT cols AS all_ FROM s ORDER BY n_columns DESC, cols DESC LIMIT 1) SELECT file, n_columns, array_to_string(list_filter(all_, lambda c: NOT list_contains(cols, c)), ', ') AS missing FROM s, w WHERE len(list_filter(all_, lambda c: NOT list_contains(cols, c))) > 0",
     "schema_type_conflicts": f"WITH {_TYPES} SELECT \"column\", string_agg(DISTINCT dtype, ', ' ORDER BY dtype) AS dtypes FROM types GROUP BY 1 HAVING count(DISTINCT dtype) > 1 AND count(*) FILTER (dtype NOT IN ('int64', 'float64')) > 0",
     "csv_safe_export": "SELECT p_partkey, CASE WHEN regexp_matches(t, '^[=+@\\t\\r-]') THEN '''' || t ELSE t END AS text FROM (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '=' WHEN 1 THEN '-' WHEN 2 THEN '@' ELSE '' END || p_name AS t FROM part)",
     "templates_long": "WITH s AS (SELECT ' arm  ' || p_partkey || ' ' AS arm, 'English' AS language, '  a   b ' || p_name AS w8, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_name || ' [date] ' END AS w11 FROM part) SELECT trim(arm) AS arm, language, 8 AS week, trim(regexp_replace(w8, '[ \\t]+', ' ', 'g')) AS message_text, false AS has_placeholder FROM s UNION ALL SELECT trim(arm), language, 11, trim(regexp_replace(w11, '[ \\t]+', ' ', 'g')), true FROM s WHERE w11 IS NOT NULL",
-    "snapshot_status": f"WITH {VISITS} SELECT count(*) AS source_rows, count(*) FILTER (row_id % 2 = 0) AS stored_rows, 'redo' AS action FROM visits",
+    "snapshot_status": f"WITH {VISITS} SELECT n AS source_rows, m AS stored_rows, CASE WHEN m = 0 THEN 'new' WHEN m = n THEN 'skip' ELSE 'redo' END AS action FROM (SELECT count(*) AS n, unnest([count(*), count(*) FILTER (row_id % 2 = 0), 0]) AS m FROM visits)",
     "queue_candidates": f"WITH {QUEUE} SELECT * FROM candidates",
     "queue_sync": f"WITH {QUEUE} SELECT * FROM queue",
     "apply_opt_outs": f"WITH {QUEUE} SELECT queue_id, opted_out FROM queue",

@@ -24,8 +24,12 @@ def _visits(f: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, d: f(demo.visits(spark, d))
 
 
+def _landed(f: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, d: f(demo.landed(spark, d))
+
+
 def _silver(f: Callable[[DataFrame], DataFrame]) -> Query:
-    return _visits(lambda v: f(clean.silver(v)))
+    return _landed(lambda v: f(clean.silver(v)))
 
 
 def _prepared(f: Callable[[DataFrame], DataFrame]) -> Query:
@@ -104,17 +108,43 @@ def _corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _snapshot(v: DataFrame) -> DataFrame:
-    store = v.filter("row_id % 2 = 0").withColumn("snapshot_date", F.lit(demo.AS_OF))
-    return publish.snapshot_status(v, store, demo.AS_OF)
+    """The day's snapshot as a whole, by half and not there."""
+    store = v.withColumn("snapshot_date", F.lit(demo.AS_OF))
+    day = demo.AS_OF - datetime.timedelta(days=1)
+    out = publish.snapshot_status(v, store, demo.AS_OF).unionByName(publish.snapshot_status(v, store.filter("row_id % 2 = 0"), demo.AS_OF))
+    return out.unionByName(publish.snapshot_status(v, store, day))
+
+
+def _late_queue(c: Campaign) -> DataFrame:
+    """The queue that two thirds of the participants and half of the opt-outs give, before the others come."""
+    u = F.substring("subjid", 2, 20).cast("bigint")
+    queue = campaign.queue_sync(None, c.people.filter(u % 3 != 0), c.opt_outs.filter(u % 2 == 0))
+    return campaign.queue_sync(queue, c.people, c.opt_outs)
+
+
+def _late_opt_outs(c: Campaign) -> DataFrame:
+    queue = campaign.queue_sync(None, c.people, c.opt_outs.filter("false"))
+    return campaign.apply_opt_outs(queue, c.opt_outs).select("queue_id", "opted_out")
+
+
+def _new_files(p: DataFrame) -> DataFrame:
+    """The ledger lacks some files and has others as of an older time or as not loaded."""
+    id_ = F.col("last_modified")
+    ledger = p.filter(id_ % 5 != 0).select("file_path", (id_ - F.when(id_ % 7 == 0, 1).otherwise(0)).alias("last_modified"), "loaded")
+    return ingest.incremental_new_files(p.select("file_path", "last_modified"), ledger)
+
 
+def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's window for every day of the events."""
+    return reports.report_window(table(spark, sf_dir, "events").select(F.to_date("ts").alias("day")).distinct())
 
 
 QUERIES: dict[str, Query] = {
-    "country_filter": _visits(clean.country_filter),
-    "dedup_exact": _visits(lambda v: clean.dedup_exact(clean.country_filter(v))),
-    "dedup_latest": _visits(clean.dedup_latest),
+    "country_filter": _landed(clean.country_filter),
+    "dedup_exact": _landed(lambda v: clean.dedup_exact(clean.country_filter(v))),
+    "dedup_latest": _landed(lambda v: clean.dedup_latest(clean.dedup_exact(v))),
     "silver_build": _silver(lambda s: s),
-    "cleaning_audit": _visits(clean.cleaning_audit),
+    "cleaning_audit": _landed(clean.cleaning_audit),
     "gold_baseline": _silver(marts.baseline),
     "enrollment_mart": _silver(marts.enrolment),
     "qc_summary": _silver(marts.qc_summary),
@@ -124,27 +154,28 @@ QUERIES: dict[str, Query] = {
     "align_schema": _visits(lambda v: ingest.align_schema(v, ["uniqueid", "vdate", "subjid"])),
     "site_groups": _prepared(lambda p: p.groupBy("country", "site").agg(F.count("*").alias("n"))),
     "affected_ids": _prepared(lambda p: p.groupBy("country", "site").agg(quality.ids().alias("affected_subjids"), quality.tablets().alias("affected_tablets"))),
+    "issue_rows": _visits(lambda v: quality.issue_rows(v, demo.AS_OF)),
+    "similar_phone_pairs": _prepared(quality.similar_phone_pairs),
     "issue_examples": _visits(lambda v: quality.issue_examples(v, demo.AS_OF)),
     **{code: _check(code) for code in dict.fromkeys(c[0] for c in [*quality.ROW_CHECKS, *quality.COUNT_CHECKS])},
-    "excessive_daily_interviews": _check("excessive_daily_interviews", 2),
-    **{code: _check(code) for code in ("missing_column", "duplicate_name", "similar_phone", "similar_name", "low_tablet_record_count")},
-    "sparse_column": _visits(lambda v: quality.sparse_columns(v, 0.005)),
+    **{code: _check(code) for code in ("missing_column", "duplicate_name", "similar_phone", "similar_name", "low_tablet_record_count", "sparse_column")},
     "quality_report": _report(lambda r: r),
     "validation_summary": _report(quality.validation_summary),
     "severity_totals": _report(quality.severity_totals),
     "report_country_filter": _report(lambda r: quality.of_countries(r, ["Uganda"])),
     "report_with_source_errors": _corrupt,
-    "latest_snapshot_per_device": _paths(lambda p: ingest.latest_snapshot_per_device(p, ["tablet7"])),
+    "latest_snapshot_per_device": _paths(lambda p: ingest.latest_snapshot_per_device(p, ["tablet7"], ["/3.mdb"])),
     "latest_archive_per_device": _paths(ingest.latest_archive_per_device),
-    "incremental_new_files": _paths(lambda p: ingest.incremental_new_files(p.select("file_path", "last_modified"), p.select("file_path", "last_modified", "loaded"))),
+    "incremental_new_files": _paths(_new_files),
     "schema_missing_columns": lambda spark, d: ingest.schema_missing_columns(demo.column_types(spark, d)),
     "schema_type_conflicts": lambda spark, d: ingest.schema_type_conflicts(demo.column_types(spark, d)),
     "csv_safe_export": _csv,
     "templates_long": _sheet,
     "snapshot_status": _visits(_snapshot),
+    "report_window": _windows,
     "queue_candidates": _campaign(lambda c: campaign.queue_candidates(c.people)),
-    "queue_sync": _campaign(lambda c: campaign.queue_sync(c.queue, c.people, c.opt_outs)),
-    "apply_opt_outs": _campaign(lambda c: campaign.apply_opt_outs(c.queue, c.opt_outs).select("queue_id", "opted_out")),
+    "queue_sync": _campaign(_late_queue),
+    "apply_opt_outs": _campaign(_late_opt_outs),
     "due_messages": _campaign(lambda c: campaign.due_messages(c.queue, c.log, demo.AS_OF)),
     "canonical_values": _campaign(lambda c: campaign.canonical_values(c.queue).select("queue_id", "arm", "template_language")),
     "resolve_templates": _campaign(lambda c: campaign.resolve_templates(c.queue, c.templates).select("queue_id", "message_text", "has_placeholder")),

@@ -27,9 +27,11 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     k, u, kenya = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_nationkey") % 2 == 0
     od = F.col("o_orderdate").cast("timestamp")
-    start = _minutes(od, k % 1440)
+    # a crowded day of one interviewer
+    crowded = k % 1000 < 60
+    start = _minutes(F.when(crowded, F.lit(datetime.datetime(2001, 5, 5, tzinfo=datetime.UTC))).otherwise(od), k % 1440)
     text = lambda c: c.cast("string")
-    born = F.date_add(F.lit(datetime.date(1930, 1, 1)), (u * 37 % 29000).cast("int"))
+    born = F.when(u % 301 == 0, F.date_add(F.lit(datetime.date(2095, 1, 1)), (u % 300).cast("int"))).otherwise(F.date_add(F.lit(datetime.date(1930, 1, 1)), (u * 37 % 29000).cast("int")))
     return joined.select(
         k.alias("row_id"),
         F.when(k % 97 != 0, text(k % 14000)).alias("uniqueid"),
@@ -38,7 +40,7 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kenya, "kenya").otherwise("uganda").alias("country"),
         F.when(k % 37 == 0, "9").when(kenya, "2").otherwise("1").alias("countrycode"),
         text(u % 40).alias("tabletnum"),
-        F.when(k % 101 != 0, F.concat(F.lit("I"), text(u % 12))).alias("interviewer_id"),
+        F.when(crowded, "I0").when(k % 101 != 0, F.concat(F.lit("I"), text(u % 12))).alias("interviewer_id"),
         _text(start).alias("starttime"),
         _text(_minutes(start, k % 45 - 3)).alias("stoptime"),
         _text(born).alias("dob"),
@@ -51,11 +53,18 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.substring(F.md5(text(u).cast("binary")), 1, 11), F.when(k % 13 == 0, "z").otherwise("y")).alias("participants_name"),
         _text(_minutes(start, (30 + k % 120) * 1440)).alias("next_appt_3m"),
         _text(_minutes(start, (k % 260 - 5) * 1440)).alias("next_appt_6m"),
+        F.when(k % 4 == 0, F.concat(F.lit("note "), text(k % 9))).alias("remarks"),
         F.concat(F.lit("/in/Tablet"), F.when(k < 3, F.concat(F.lit("X"), text(k))).otherwise(text(u % 40)), F.lit("/db.csv")).alias("_source_db"),
         od.alias("extracted_at"),
     )
 
 
+def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visits, with every fiftieth row a second time from another file."""
+    rows = visits(spark, sf_dir)
+    return rows.unionByName(rows.filter("row_id % 50 = 0").withColumn("_source_db", F.lit("/in/TabletCopy/db.csv")))
+
+
 def participants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest visit of every participant with an id, and a message schedule."""
     rows = visits(spark, sf_dir).filter(F.col("subjid").startswith("S"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldmart.functions import parse
@@ -21,13 +21,16 @@ def file_manifest(spark: SparkSession, folder: str, pattern: str = "*.[cC][sS][v
     return files.select(F.col("path").alias("file_path"), F.col("modificationTime").alias("last_modified"), "length")
 
 
-def latest_snapshot_per_device(paths: DataFrame, excluded: Sequence[str] = ()) -> DataFrame:
+def latest_snapshot_per_device(paths: DataFrame, excluded: Sequence[str] = (), suffixes: Sequence[str] = ()) -> DataFrame:
     """device, file_path: the newest snapshot folder of each device, without backups and excluded devices.
 
-    Paths without a device come, with a null device, only if no device is selected at all.
+    Backups are what lies below DataBackup, and paths that end, in any case of letters, with one of ``suffixes``. Paths
+    without a device come, with a null device, only if no device is selected at all.
     """
     path = F.regexp_replace("file_path", r"\\", "/")
-    rows = paths.select(path.alias("file_path")).filter(~F.col("file_path").contains("/DataBackup/") & ~F.lower("file_path").endswith("/databackup/ibis_pilot.mdb"))
+    rows = paths.select(path.alias("file_path")).filter(~F.col("file_path").contains("/DataBackup/"))
+    for suffix in suffixes:
+        rows = rows.filter(~F.lower("file_path").endswith(suffix.lower()))
     rows = rows.withColumns({"device": F.nullif(F.regexp_extract("file_path", _SNAPSHOT, 1), F.lit("")), "taken": F.try_to_timestamp(F.regexp_extract("file_path", _SNAPSHOT, 2), F.lit(_TIME))})
     tagged = rows.filter(F.col("device").isNotNull() & F.col("taken").isNotNull() & ~F.lower("device").isin([x.lower() for x in excluded]))
     newest = tagged.groupBy("device").agg(F.max_by("file_path", F.struct("taken", "file_path")).alias("file_path"))
@@ -51,25 +54,36 @@ def scan_text_table(spark: SparkSession, paths: str | list[str], columns: Sequen
 
 
 def read_many_isolated(spark: SparkSession, paths: list[str], columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Good rows of many files with their file_path, and the files (file_path) that gave a bad row or none."""
+    """Rows of the files that load, with their file_path, and the files (file_path) that don't.
+
+    A file loads or fails as a whole: it fails if one of its rows is bad or it has not even a header; a header alone loads
+    with no rows.
+    """
     schema = ", ".join([*(f"`{c}` string" for c in columns), f"{CORRUPT} string"])
     raw = spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("ignoreCorruptFiles", "true").option("columnPruning", "false").csv(paths).select("*", F.col("_metadata.file_path").alias("file_path"))
-    good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    listed = spark.createDataFrame([(p,) for p in paths], "file_path string")
-    bare = F.regexp_replace("file_path", "^file:/*", "/")
-    seen = good.filter(F.length(F.coalesce(F.col(columns[0]), F.lit(""))) >= 0).select(bare.alias("file_path")).distinct()
     # Spark refuses to read the corrupt record alone
     some = F.length(F.coalesce(F.col(columns[0]), F.lit(""))) >= 0
+    good = raw.filter(F.col(CORRUPT).isNull() & some).drop(CORRUPT)
+    listed = spark.createDataFrame([(p,) for p in paths], "file_path string")
+    bare = F.regexp_replace("file_path", "^file:/*", "/")
+    seen = spark.read.option("ignoreCorruptFiles", "true").text(paths).select(F.col("_metadata.file_path").alias("file_path")).select(bare.alias("file_path")).distinct()
     bad = raw.filter(F.col(CORRUPT).isNotNull() & some).select(bare.alias("file_path")).distinct()
     failures = listed.select(bare.alias("file_path")).join(seen, "file_path", "left_anti").unionByName(bad).distinct()
+    good = good.withColumn("_bare", bare).join(bad.withColumnRenamed("file_path", "_bare"), "_bare", "left_anti").drop("_bare")
     return good.na.fill("", list(columns)), failures
 
 
 def add_provenance(df: DataFrame, places: DataFrame, run_id: str, extracted_at) -> DataFrame:
-    """df (with file_path) and its file name, run, time, and country and community by the longest path prefix of places."""
-    fits = df.join(F.broadcast(places), F.col("file_path").startswith(F.col("prefix")), "left")  # the places are configured, a few rows
-    newest = F.row_number().over(Window.partitionBy("file_path", *[c for c in df.columns if c != "file_path"]).orderBy(F.length("prefix").desc()))
-    fits = fits.withColumn("_place", newest).filter("_place = 1").drop("_place", "prefix")
+    """df (with file_path) and its file name, run, time, and country and community by the longest path prefix of places.
+
+    Each row stays one row: files are placed first, one row for each, and joined by path. Files that no prefix fits have neither.
+    """
+    files = df.select("file_path").distinct()
+    starts = F.transform(F.sequence(F.lit(1), F.length("file_path")), lambda i: F.substring(F.col("file_path"), F.lit(1), i))
+    fits = files.withColumn("prefix", F.explode(starts)).join(places, "prefix")
+    kept = F.struct(F.length("prefix").alias("length"), "country", "community")
+    fits = fits.groupBy("file_path").agg(F.max(kept).alias("place")).select("file_path", "place.country", "place.community")
+    fits = df.join(fits, "file_path", "left").select(*df.columns, "country", "community")
     return fits.withColumns({"file_name": F.element_at(F.split("file_path", "/"), -1), "run_uuid": F.lit(run_id), "extracted_at": F.lit(extracted_at), "_source_db": F.col("file_path")})
 
 

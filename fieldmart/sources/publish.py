@@ -26,6 +26,13 @@ def overwrite_table(df: DataFrame, folder: str, name: str) -> str:
     return path
 
 
+def build_marts(marts: dict[str, DataFrame], folder: str) -> list[str]:
+    """Writes the tables in their order, each as a new version; a bad name stops before anything is written. Returns their paths."""
+    for name in marts:
+        safe_name(name)
+    return [overwrite_table(df, folder, name) for name, df in marts.items()]
+
+
 def current(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The newest version of a table."""
     row = spark.read.parquet(f"{folder}/{safe_name(name)}/CURRENT").agg(F.max_by("path", "at").alias("path")).first()
@@ -63,6 +70,7 @@ def snapshot_append(source: DataFrame, folder: str, day: datetime.date) -> str:
 
 
 def run_audit(spark: SparkSession, run_id: str, name: str, rows: int, at: datetime.datetime, folder: str) -> None:
+    """Appends what a run wrote: run_uuid, file_name, n_rows, extracted_at."""
     spark.createDataFrame([(run_id, name, rows, at)], "run_uuid string, file_name string, n_rows long, extracted_at timestamp").write.mode("append").parquet(folder)
 
 

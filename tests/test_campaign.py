@@ -57,7 +57,11 @@ def test_weekly_percent(spark):
 
 
 def test_report_window(spark):
-    assert tuple(reports.report_window(spark, datetime.date(2026, 3, 4)).first()) == (datetime.date(2026, 2, 25), datetime.date(2026, 3, 4), datetime.date(2026, 3, 5))
+    days = [datetime.date(2026, 3, 1) + datetime.timedelta(days=i) for i in range(14)]
+    for r in reports.report_window(spark.createDataFrame([(d,) for d in days], "day date")).collect():
+        tuesday = max(d for d in (r.day - datetime.timedelta(days=i) for i in range(7)) if d.weekday() == 1)
+        assert (r.week_start, r.week_end, r.sent_end) == tuple(tuesday + datetime.timedelta(days=i) for i in (-6, 1, 2))
+
 
 
 def test_constraint_violations(spark):

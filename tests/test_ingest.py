@@ -2,7 +2,7 @@ import datetime
 
 import pytest
 
-from fieldmart.operators import clean
+from fieldmart.operators import clean, marts
 from fieldmart.sources import ingest, publish
 
 DAY = datetime.date(2026, 3, 1)
@@ -40,6 +40,31 @@ def test_manifest_provenance_and_ledger(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2
 
 
+def test_provenance_keeps_every_row(spark):
+    """Equal rows of one file stay several; a file that no place fits keeps its rows too."""
+    df = spark.createDataFrame([("/in/a/x.csv", "1")] * 2 + [("/in/b/y.csv", "1"), ("/out/z.csv", "1")], "file_path string, id string")
+    places = spark.createDataFrame([("/in/", "kenya", "one"), ("/in/a/", "uganda", "two"), ("/in/a/", "uganda", "three")], "prefix string, country string, community string")
+    rows = ingest.add_provenance(df, places, "run", datetime.datetime(2026, 3, 1)).collect()
+    assert sorted((r.file_path, r.country or "", r.community or "") for r in rows) == [("/in/a/x.csv", "uganda", "two")] * 2 + [("/in/b/y.csv", "kenya", "one"), ("/out/z.csv", "", "")]
+    assert {(r.run_uuid, r._source_db == r.file_path) for r in rows} == {("run", True)}
+
+
+def test_marts_are_built_in_order(spark, tmp_path):
+    silver = spark.createDataFrame([("a", "S1", "1", "2", "t", "1"), (None, "S2", "0", "2", "t", "1")], "uniqueid string, subjid string, consent string, countrycode string, tabletnum string, mobile_number string").selectExpr("*", "'x' as screening_id")
+    folder = str(tmp_path / "gold")
+    assert len(publish.build_marts(marts.all_marts(silver), folder)) == 3
+    assert [publish.current(spark, folder, name).count() for name in ("baseline", "enrollment", "qc_checks")] == [1, 1, 1]
+    with pytest.raises(ValueError):
+        publish.build_marts({"no name": silver}, folder)
+
+
+def test_run_audit_appends(spark, tmp_path):
+    folder, at = str(tmp_path / "audit"), datetime.datetime(2026, 3, 1, 12)
+    publish.run_audit(spark, "r1", "silver", 7, at, folder)
+    publish.run_audit(spark, "r2", "silver", 9, at, folder)
+    assert sorted(tuple(r) for r in spark.read.parquet(folder).collect()) == [("r1", "silver", 7, at), ("r2", "silver", 9, at)]
+
+
 def test_bad_file_is_isolated(spark, tmp_path):
     good = write(tmp_path, "g.csv", "id,name\n1,a\n")
     bad = write(tmp_path, "b.csv", "id,name\n1,a,too,many\n")
@@ -48,11 +73,20 @@ def test_bad_file_is_isolated(spark, tmp_path):
     assert [r.file_path for r in failures.collect()] == [bad]
 
 
+def test_a_file_loads_or_fails_as_a_whole(spark, tmp_path):
+    mixed = write(tmp_path, "m.csv", "id,name\n1,a\n2,b,too,many\n")
+    bare = write(tmp_path, "h.csv", "id,name\n")
+    rows, failures = ingest.read_many_isolated(spark, [mixed, bare], ["id", "name"])
+    assert rows.count() == 0
+    assert [r.file_path for r in failures.collect()] == [mixed]
+
+
 def test_latest_snapshot(spark):
     paths = ["/r/Tablet221_2026_02_01-10_00_00/p.mdb", "/r/Tablet221_2026_04_01-10_00_00/p.mdb", "/r/Tablet221_2026_05_01-10_00_00/DataBackup/p.mdb", "/r/Tablet111_2026_04_01-10_00_00/p.mdb", "/r/p.mdb"]
     df = spark.createDataFrame([(p,) for p in paths], "file_path string")
     assert [r.file_path for r in ingest.latest_snapshot_per_device(df, ["tablet111"]).collect()] == [paths[1]]
     assert [r.file_path for r in ingest.latest_snapshot_per_device(df.filter("file_path = '/r/p.mdb'")).collect()] == ["/r/p.mdb"]
+    assert ingest.latest_snapshot_per_device(df, suffixes=["/P.MDB"]).count() == 0
 
 
 def test_latest_archive(spark):

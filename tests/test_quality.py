@@ -1,4 +1,6 @@
 import datetime
+import itertools
+import random
 
 from fieldmart.operators import quality
 
@@ -50,6 +52,66 @@ def test_similar_name_without_date_of_birth(spark):
     assert names("Alice") == []
 
 
+def test_similar_names_against_all_pairs(spark):
+    """Without and with a date of birth that all share: edits at both ends, in the middle, and names of other lengths."""
+    rng = random.Random(4)
+    names = ["hanna maria jones", "anna maria jonas", "abcdefghijk", "abcdefghijkl", "aaaa", "aaaab", "baaaa", "ab", "abc"]
+    for _ in range(40):
+        base = "".join(rng.choice("abcde ") for _ in range(rng.randint(4, 22))).strip() or "a"
+        edited = list(base)
+        for _ in range(rng.randint(1, 3)):
+            i = rng.randrange(len(edited) + 1)
+            edited[i : i + rng.randint(0, 1)] = rng.choice(["", "a", "x"])
+        names += [base, "".join(edited).strip() or "b"]
+    names = sorted({n for n in names if n.strip()})
+
+    def similarity(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        return 2 * row[-1] / (len(a) + len(b))
+
+    expected = {(a, b) for a, b in itertools.combinations(names, 2) if similarity(a, b) >= 0.85}
+    assert len(expected) > 20
+    for more in ({}, {"dob": 1}):
+        df = frame(spark, [(n, *["01/01/1990 00:00:00"] * len(more)) for n in names], participants_name=1, **more)
+        found = {(r.name_a, r.name_b) for r in quality.check(df, "similar_name", AS_OF).collect()}
+        assert found == expected
+
+
+def test_report_names_what_to_look_at(spark):
+    rows = [("Alice Wanjiru", "712345678", "S1", "1"), ("Alice Wanjru", "712345679", "S2", "2"), ("Bob", "1", "S3", "2"), ("bob", "2", "S3", "2")]
+    df = frame(spark, rows, participants_name=1, mobile_number=1, subjid=1, tabletnum=1)
+    report = {r.check: r for r in quality.report(df, AS_OF).collect() if r.check in ("similar_name", "similar_phone", "duplicate_name", "duplicate_subjid")}
+    assert report["similar_name"].detail == "'alice wanjiru' / 'alice wanjru' (0.96)"
+    assert (report["similar_name"].affected_subjids, report["similar_name"].affected_tablets) == ("S1; S2", "1, 2")
+    assert report["similar_phone"].detail == "1 / 2; 712345678 / 712345679"
+    assert report["duplicate_name"].detail == "bob" and report["duplicate_subjid"].detail == "rows 2, 3"
+    long = quality.issue_rows(df, AS_OF).filter("check = 'similar_phone'")
+    assert sorted(r.row_id for r in long.collect()) == [0, 1, 2, 3]
+
+
+def test_devices_by_file_path(spark):
+    df = frame(spark, [("/in/T1/a.csv",), ("/in/T2/a.csv",), ("/in/T2/b.csv",), ("/in/T2/c.csv",)], file_path=1)
+    assert [(r.record_count, r.detail) for r in quality.check(df, "low_tablet_record_count", AS_OF).collect()] == [(1, "T1")]
+
+
+def test_boundaries_of_the_row_checks(spark):
+    """The last value that passes and the first that doesn't."""
+    hit = lambda code, values, **columns: [r.record_count for r in quality.check(frame(spark, values, **columns), code, AS_OF).collect()]
+    at = lambda minutes: f"01/02/2026 {10 + minutes // 60:02d}:{minutes % 60:02d}:00"
+    assert hit("invalid_age", [("10",), ("110",), ("-7",), ("-9",)], respondants_age=1) == [] and hit("invalid_age", [("9",), ("111",), ("-8",)], respondants_age=1) == [3]
+    assert hit("duration_too_short", [(at(0), at(8), "S")], starttime=1, stoptime=1, subjid=1) == [] and hit("duration_too_short", [(at(0), at(7), "S")], starttime=1, stoptime=1, subjid=1) == [1]
+    assert hit("duration_too_long", [(at(0), at(30))], starttime=1, stoptime=1) == [] and hit("duration_too_long", [(at(0), at(31))], starttime=1, stoptime=1) == [1]
+    assert hit("unusual_interview_hour", [("01/02/2026 05:00:00", "I")], starttime=1, interviewer_id=1) == [] and hit("unusual_interview_hour", [("01/02/2026 04:59:59", "I")], starttime=1, interviewer_id=1) == [1]
+    assert hit("future_visit_date", [("01/03/2026 23:59:59",)], starttime=1) == [] and hit("future_visit_date", [("02/03/2026 00:00:00",)], starttime=1) == [1]
+    assert hit("stale_visit_date", [("01/03/2025 00:00:00",)], starttime=1) == [] and hit("stale_visit_date", [("28/02/2025 23:59:59",)], starttime=1) == [1]
+    assert hit("invalid_facility_code", [("1", "14"), ("1", "99"), ("1", "-9")], countrycode=1, health_facility_ug=1) == [] and hit("invalid_facility_code", [("1", "15")], countrycode=1, health_facility_ug=1) == [1]
+
+
 def test_absent_columns_are_skipped_but_required_ones_reported(spark):
     df = frame(spark, [("1",)], countrycode=1)
     report = quality.report(df, AS_OF).collect()
