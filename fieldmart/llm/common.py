@@ -46,12 +46,15 @@ def crc_mod(doc_id: Column, modulus: int) -> Column:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder under spark.checkpoint.dir, which every executor sees.
 
-    Where that is unset, as in tests, the checkpoint folder of this session is set to a temporary one first.
+    Where that is unset, as in tests, the checkpoint folder of this session is set to a temporary one first, but only in
+    local mode, where there is one machine; on a cluster it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         current = spark.sparkContext.getCheckpointDir()
         if current is None:
+            if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
             current = spark.sparkContext.getCheckpointDir()
         root = current
@@ -88,6 +91,28 @@ def slot_bitmap(slots: DataFrame) -> np.ndarray:
     return out
 
 
+#: Bits of one row of a bitmap of SLOTS bits, as Spark's bitmap functions make them.
+PIECE_BITS = 1 << 15
+
+
+def slot_pieces(keys: DataFrame) -> DataFrame:
+    """piece, bits: the same bitmap as rows of 4 KB, SLOTS / PIECE_BITS of them at most, so that it may be broadcast."""
+    slot = F.col(keys.columns[0]).bitwiseAND(F.lit(SLOTS - 1)) + 1
+    return keys.groupBy(F.bitmap_bucket_number(slot).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+
+
+def maybe_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows of df whose key, a long, may be among the longs in the only column of keys; no row that is gets lost.
+
+    Costs no shuffle of df, whatever its rows hold.
+    """
+    slot = F.col(key).bitwiseAND(F.lit(SLOTS - 1))
+    pieces = slot_pieces(keys).select(F.col("piece").alias("_piece"), F.col("bits").alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", ((slot % PIECE_BITS) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    joined = df.withColumn("_slot", slot).join(F.broadcast(pieces), F.floor(F.col("_slot") / PIECE_BITS) + 1 == F.col("_piece"))  # 8 MB at most
+    return joined.filter(F.call_function("shiftright", byte, (slot % 8).cast("int")).bitwiseAND(F.lit(1)) == 1).drop("_piece", "_bits", "_slot")
+
+
 def in_slots(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     slot = keys & (SLOTS - 1)
     return ((bitmap[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1).astype(bool)
