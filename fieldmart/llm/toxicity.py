@@ -1,7 +1,8 @@
 """Toxicity: logistic regression over hashed word n-grams, skip-grams and word stems, fitted by FTRL-proximal.
 
 Each coordinate has its own learning rate and L1 keeps most weights at exactly zero, so that the model is a short list
-of (index, weight) and goes to the tasks as a small broadcast, at most FEATURES entries.
+of (index, weight) and goes to the tasks as a small broadcast, at most FEATURES entries. One task fits it, on a sample whose
+rows and features are bounded; only the weights go to the driver.
 """
 
 from __future__ import annotations
@@ -16,9 +17,10 @@ from pyspark.sql import functions as F
 from .common import crc_mod
 from .text import ALNUM, Chunk, U, chunks, mixed, span_hashes
 
-#: Hashed features, and the labelled rows that a model is fitted on at most (the least hashes of their ids).
+#: Hashed features, and the labelled rows that a model is fitted on at most (the least hashes of their ids), and how many
+#: distinct features these may have together: the row that passes it ends the sample.
 FEATURES = 1 << 20
-SAMPLE = 8192
+SAMPLE, SAMPLE_FEATURES = 8192, 1 << 25
 THRESHOLD = 0.7
 #: Bytes of the stems, the beginnings of longer words: inflected forms share them.
 STEMS = (4, 6)
@@ -59,8 +61,12 @@ def fit(examples: list[tuple[np.ndarray, int]], epochs: int = 8, alpha: float =
     return at.astype(np.int64), w[at], float(w[-1])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, float]:
-    """Fits on labelled rows outside the held-out fold, ``sample`` at most; with one class or none, a model of zeros."""
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = SAMPLE_FEATURES) -> tuple[np.ndarray, np.ndarray, float]:
+    """Fits on labelled rows outside the held-out fold, ``sample`` at most; with one class or none, a model of zeros.
+
+    The rows come in the order of a hash of their ids, rows of one id by their features, so that the fit is the same in
+    every run. Ids with several labels count as toxic if one of them does. Null and empty texts are rows without features.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("l_id"), F.col("toxic").cast("int").alias("toxic")).filter("l_id is not null and toxic in (0, 1)")
     known = known.filter(crc_mod(F.col("l_id"), FOLDS) != HELD_OUT).groupBy("l_id").agg(F.max("toxic").alias("toxic"))
     known = known.orderBy(F.xxhash64("l_id"), "l_id").limit(sample)
@@ -76,12 +82,25 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
                 lists = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(pairs % (FEATURES * 2), pa.int32()))
                 yield pa.record_batch([batch.column("doc_id").slice(chunk.lo, chunk.hi - chunk.lo), batch.column("toxic").slice(chunk.lo, chunk.hi - chunk.lo), lists], ["doc_id", "toxic", "found"])
 
-    # at most ``sample`` rows; sorted, so that the fit is the same in every run
-    table = rows.mapInArrow(indices, "doc_id long, toxic int, found array<int>").toArrow()
-    got = sorted(zip(table["doc_id"].to_pylist(), table["toxic"].to_pylist(), (np.array(x.values, np.int64) for x in table["found"]), strict=True), key=lambda r: (int(mixed(np.array([r[0] & (1 << 64) - 1], np.uint64))[0]), r[0], len(r[2]), r[2].tobytes()))[:sample]
-    if len({label for _, label, _ in got}) < 2:
-        return np.zeros(0, np.int64), np.zeros(0), 0.0
-    return fit([(found, label) for _, label, found in got])
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        examples, held = [], 0
+        for batch in batches:
+            lists, toxic = batch.column("found"), batch.column("toxic").to_numpy()
+            begin, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            for i, label in enumerate(toxic.tolist()):
+                if len(examples) < sample and held < most:
+                    examples.append((values[begin[i] : begin[i + 1]].astype(np.int32), label))
+                    held += len(examples[-1][0])
+        if len({label for _, label in examples}) == 2:
+            at, weights, bias = fit(examples)
+            yield pa.record_batch([pa.array(np.append(at, -1)), pa.array(np.append(weights, bias))], ["at", "weight"])
+
+    lists = rows.mapInArrow(indices, "doc_id long, toxic int, found array<int>").withColumn("key", F.xxhash64("doc_id"))
+    # the sample alone: ``sample`` ids; what repeated ids add is read to the end but not held
+    lists = lists.repartition(1).sortWithinPartitions("key", "doc_id", F.size("found"), "found")
+    model = lists.select("toxic", "found").mapInArrow(fitted, "at long, weight double").toArrow()  # FEATURES + 1 rows at most
+    at, weights = model["at"].to_numpy(), model["weight"].to_numpy()
+    return at[at >= 0], weights[at >= 0], float(weights[at < 0].sum())
 
 
 def _scores(text: pa.Array, dense: np.ndarray, bias: float) -> np.ndarray:
@@ -118,13 +137,21 @@ def held_out(doc_id: Column) -> Column:
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row for each row of docs: doc_id, held_out, score, predicted. Rows of a repeated doc_id are scored by their own texts."""
+    """One row for each row of docs: doc_id, held_out, score, predicted. Rows of a repeated doc_id are scored by their own texts.
+
+    Null, empty and wordless texts get the score of no features; equal texts get equal scores; texts of any length are
+    scored whole. An empty docs table gives no rows, an empty labels table 0.5 everywhere. Further columns are ignored.
+    """
     rows = score(docs, train(docs, labels))
     return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs without the documents predicted toxic; all columns stay."""
+    """docs without the documents predicted toxic; all columns stay, whatever their names.
+
+    Each row goes or stays by its own text, repeated rows and ids alike. Null, empty and wordless texts have the score of no
+    features, so they stay unless most of the labelled documents are toxic. An empty table gives none.
+    """
     at, weights, bias = train(docs, labels)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
