@@ -2,7 +2,8 @@
 
 Both sides keep, of every window of ``window`` consecutive words, the k-gram with the least hash. Two texts that share
 a whole window keep the same k-gram of it, so that a join on the kept hashes misses no shared window. The hits are
-then extended word by word against the item's own words, which also removes collisions of hashes.
+then extended word by word against the item's own words, which also removes collisions of hashes. Only the texts that
+have hits are shuffled for that.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, documents_only, stored
+from .common import alnum_words, documents_only, maybe_in, stored
 
 WINDOW = 10
 KGRAM = 5
@@ -56,29 +57,44 @@ def item_postings(benchmark: DataFrame, window: int = WINDOW, k: int = KGRAM) ->
     return full.unionByName(short)
 
 
+#: Stands in the list of a document's fingerprints for the document itself.
+DOCUMENT = -(1 << 63)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = KGRAM) -> DataFrame:
     """One row for each row of docs: doc_id, text_key, n_words, n_hit, n_items, items (sorted as strings).
 
     Null or empty texts and texts without words have no hits. Rows that repeat a doc_id are judged by their own text.
-    Items with the same id count once; items with no words count never. Further columns of docs are ignored.
+    Items with the same id count once; items with no words count never, and neither does an item's null id among the
+    items. An empty benchmark contaminates nothing; an empty docs table gives no rows. Further columns of docs are ignored.
     """
     postings = stored(item_postings(benchmark, window, k), "postings")
     # at most window lengths; the benchmark alone is read
     kinds = [(window, k)] + [(r.k, r.k) for r in postings.filter(F.col("width") < window).select("k").distinct().collect()]
     base = documents_only(docs).select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
-    base = base.withColumn("words", alnum_words(F.col("text"))).drop("text")
+    position = F.col("print").bitwiseAND(F.lit(POSITIONS - 1)).cast("int")
+    candidate = F.when(F.col("item").isNotNull(), F.struct(position.alias("position"), *[F.col(f"item.{x}").alias(x) for x in ("item_id", "context", "at", "width")]))
     found = None
     for width, size in kinds:
-        # the outer form: the filter that Spark infers from a plain explode would be pushed below and repeat all the work
-        prints = with_fingerprints(base, width, size).select("doc_id", "text_key", F.explode_outer("kept").alias("print"))
-        prints = prints.filter("print is not null").withColumn("hash", F.shiftright("print", POSITION_BITS))
-        hits = prints.join(postings.filter((F.col("k") == size) & (F.col("width") == width)), "hash")
-        found = hits if found is None else found.unionByName(hits)
-    position = F.col("print").bitwiseAND(F.lit(POSITIONS - 1)).cast("int")
-    found = found.select("doc_id", "text_key", F.struct(position.alias("position"), "item_id", "context", "at", "width").alias("c"))
-    by_doc = found.groupBy("doc_id", "text_key").agg(F.collect_set("c").alias("candidates"))
-    by_doc = by_doc.select(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key"), "candidates")
-    joined = base.join(by_doc, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("text_key") == F.col("c_key")), "left")
+        prints = with_fingerprints(base.withColumn("words", alnum_words(F.col("text"))).drop("text"), width, size)
+        n_words = F.size("words").cast("long").alias("n_words")
+        # the first kind brings a row for the document itself; the outer form, as the filter that Spark infers from a plain explode would be pushed below and repeat all the work
+        every = F.concat(F.array(F.lit(DOCUMENT).cast("long")), "kept") if found is None else F.col("kept")
+        prints = prints.select("doc_id", "text_key", n_words, F.explode_outer(every).alias("print")).filter("print is not null")
+        # no fingerprint's hash is that of a document, and documents are spread
+        nobody = F.xxhash64("doc_id", "text_key").bitwiseOR(F.lit(1 << 62)).bitwiseAND(F.lit((1 << 63) - 1))
+        prints = prints.withColumn("hash", F.when(F.col("print") == DOCUMENT, nobody).otherwise(F.shiftright("print", POSITION_BITS)))
+        items = postings.filter((F.col("k") == size) & (F.col("width") == width)).select("hash", F.struct("item_id", "context", "at", "width").alias("item"))
+        met = prints.join(items, "hash", "left").filter((F.col("print") == DOCUMENT) | F.col("item").isNotNull())
+        met = met.select("doc_id", "text_key", "n_words", (F.col("print") == DOCUMENT).cast("long").alias("rows"), F.when(F.col("print") != DOCUMENT, candidate).alias("c"))
+        found = met if found is None else found.unionByName(met)
+    by_doc = found.groupBy("doc_id", "text_key").agg(F.max("n_words").alias("n_words"), F.sum("rows").alias("rows"), F.collect_set("c").alias("candidates"))
+    by_doc = stored(by_doc, "found")
+    hit = by_doc.filter(F.size("candidates") > 0)
+    # a text in several documents is extended for each of them: they meet by text and id
+    texts = maybe_in(base, "text_key", hit.select("text_key")).dropDuplicates(["doc_id", "text_key"])
+    joined = hit.select(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key"), "candidates").join(texts, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("text_key") == F.col("c_key")))
+    joined = joined.select("doc_id", "text_key", "candidates", alnum_words(F.col("text")).alias("words"))
 
     def extended(c: Column) -> Column:
         begins = F.transform(F.sequence(c["position"], F.greatest(F.size("words") - 1, c["position"]), F.lit(POSITIONS)), lambda p: p - c["at"])
@@ -86,14 +102,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
         tried = F.transform(begins, lambda b: F.transform(F.filter(_span(F.size(c["context"]) - c["width"]), lambda u: same(b, u)), lambda u: b + u))
         return F.transform(F.flatten(tried), lambda s: F.struct(s.alias("start"), (s + c["width"]).alias("end"), c["item_id"].alias("item_id")))
 
-    hits = F.when(F.col("candidates").isNotNull(), F.flatten(F.transform("candidates", extended))).otherwise(F.array().cast("array<struct<start:int,end:int,item_id:bigint>>"))
-    joined = joined.select("doc_id", "text_key", F.size("words").cast("long").alias("n_words"), hits.alias("hits"))
+    joined = joined.select(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key"), F.flatten(F.transform("candidates", extended)).alias("hits"))
     spans = F.array_sort(F.array_distinct(F.transform("hits", lambda h: F.struct(h["start"].alias("start"), h["end"].alias("end")))))
     step = lambda acc, s: F.struct(F.greatest(acc["end"], s["end"]).alias("end"), (acc["n"] + F.greatest(s["end"] - F.greatest(s["start"], acc["end"]), F.lit(0))).alias("n"))
     n_hit = F.aggregate(spans, F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")), step, lambda acc: acc["n"].cast("long"))
     items = F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["item_id"].cast("string"))))
-    joined = joined.withColumns({"n_hit": n_hit, "items": F.filter(items, lambda x: x.isNotNull())})
-    return joined.select("doc_id", "text_key", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items")
+    joined = joined.select("c_id", "c_key", n_hit.alias("n_hit"), F.filter(items, lambda x: x.isNotNull()).alias("items"))
+    out = by_doc.drop("candidates").join(joined, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("text_key") == F.col("c_key")), "left")
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    out = out.select("doc_id", "text_key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(items).cast("long").alias("n_items"), items.alias("items"), "rows")
+    # one row again for each row of docs
+    return out.withColumn("_", F.explode_outer(F.sequence(F.lit(1), F.col("rows")))).drop("_", "rows")
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -104,7 +123,10 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the documents that hold a window of any item."""
-    dirty = contamination(docs, benchmark).filter("n_hit > 0").select(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("bad_id")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("bad_key"))
-    return docs.join(dirty, same, "left_anti")
+    """docs without the documents that hold a window of any item; all columns stay, whatever their names.
+
+    Rows go by id and text, so that of a repeated id only the texts that hold a window go. Null and empty texts stay.
+    """
+    dirty = contamination(docs, benchmark).filter("n_hit > 0").select(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).distinct()
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))).alias("text_key"))
+    return keyed.join(dirty, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left_anti").select("row.*")
