@@ -2,13 +2,15 @@
 
 A text is its sequence of 5-word shingles. For a hash function, a node of the Cartesian tree over the hashes is a
 compact window (l, c, r): every run of shingles inside l..r that holds c has its min-hash at c. The nodes that span at
-least a passage are about two for each passage length. Passages that are alike have, for each function, a window with the same least
-shingle; the shingle ANCHOR places beside it, within any passage on one side at least, narrows the groups. Windows are
-grouped by function, shingle and anchor; each group meets its least member only, and what isn't like that one meets in
-the next of ROUNDS rounds, so that a passage that a third of all documents share makes as many pairs as documents. Pairs of
-texts with windows in common for enough functions are verified shingle by shingle over the joined intervals. Beside that, all
-windows of shared groups, whether they met or not, are grouped by every run of the least length around them, whose
-members are equal, so that no exact repeat is ever lost.
+least a passage are about two for each passage length. Passages that are alike have, for each function with a chance of their
+likeness, a window with the same least shingle; the shingle ANCHOR places beside it, within any passage on one side at
+least, narrows the groups. Windows are grouped by function, shingle and anchor; each group meets its least member only, so
+that a passage that a third of all documents share makes as many pairs as documents. The windows of a pair of texts are joined
+to intervals, over which they are verified shingle by shingle. What isn't like the least member can be like another one only
+by shingles that the least one lacks: it is grouped anew, by its group and such shingles near it (one in ONE_IN, others in
+each group that the two are in), and so on until no group holds several texts; so groups of unlike texts fall apart instead of meeting as pairs. As verification is exact, one
+function's meeting is enough. Beside that, all windows of shared groups, whether they met or not, are grouped by every run
+of the least length around them, whose members are equal, so that no exact repeat is ever lost.
 """
 
 from __future__ import annotations
@@ -18,23 +20,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import alnum_words, in_slots, slot_bitmap, stored
+from .common import in_slots, slot_bitmap, stored
 from .text import ALNUM, U, chunks, grams, mixed
 
 SHINGLE = 5
 LEAST_WORDS = 50
-#: A pair is verified if it meets for ENOUGH functions; one will do, as a group already needs two equal shingles.
-FUNCTIONS, ENOUGH = 3, 1
+FUNCTIONS = 3
 ANCHOR = 12
 #: Shingles of two passages in common, of all that either has.
 PERCENT = 75
 #: Windows whose offsets differ by no more are joined to one interval: words that were put in or left out.
 DRIFT = 16
-#: Rounds with the groups' least members before what is left meets its whole groups.
-ROUNDS = 3
+#: One in so many of a group's shingles, by a hash of both, forms a new group of what its least member is unlike.
+ONE_IN = 4
 _LEVELS = 6
 
 
@@ -307,10 +308,49 @@ def exact_passages(runs: DataFrame, least: int) -> DataFrame:
     return spans.select(*_pair(), "a0", "a9", "b0", "b9")
 
 
-def _intervals(windows: DataFrame) -> DataFrame:
-    """bucket, c, w with one window for all of a bucket and text that end at the same place."""
-    w = windows.groupBy("bucket", "c", (F.col("w.c") + F.col("w.after")).alias("hi")).agg(F.min(F.col("w.c") - F.col("w.before")).alias("lo"), F.min("w.c").alias("at"))
-    return w.select("bucket", "c", F.struct(F.col("at").alias("c"), (F.col("at") - F.col("lo")).alias("before"), (F.col("hi") - F.col("at")).alias("after")).alias("w"))
+def _several(df: DataFrame, key: str, k1: str, k2: str, *more: Column) -> DataFrame:
+    """The keys of rows that differ in (k1, k2)."""
+    ends = [f(k).alias(f"{f.__name__}{i}") for i, k in enumerate((k1, k2)) for f in (F.min, F.max)]
+    return df.groupBy(key).agg(*ends, *more).filter("min0 != max0 or min1 != max1").drop("min0", "max0", "min1", "max1")
+
+
+def _regrouped(rows: DataFrame, arrays: DataFrame, least: int) -> DataFrame:
+    """bucket, c, w, open of the rows (with ``pivot``, whether it is its bucket's least) by their bucket and each shingle near them.
+
+    Buckets of which the pivot has the shingle, which hold one text or nothing open, are left out.
+    """
+    near = rows.groupBy("c").agg(F.collect_list(F.struct("bucket", "w", "open", "pivot")).alias("at")).join(arrays, "c").select("c.k1", "c.k2", "at", "grams")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["bucket", "k1", "k2", "at", "before", "after", "open", "pivot"]
+        for batch in batches:
+            for i in range(batch.num_rows):
+                got, at = batch.column("grams")[i].values.to_numpy().view(np.uint64), batch.column("at")[i].values
+                bucket = at.field("bucket").to_numpy().view(np.uint64)
+                c, before, after = (at.field("w").field(x).to_numpy().astype(np.int64) for x in ("c", "before", "after"))
+                flags = [at.field(x).to_numpy(zero_copy_only=False) for x in ("open", "pivot")]
+                step = max(1, (1 << 20) // (2 * least))
+                for j in range(0, len(c), step):
+                    own = slice(j, j + step)
+                    low, high = c[own] - np.minimum(before[own], least - 1), c[own] + np.minimum(after[own], least - 1)
+                    n = high - low + 1
+                    which = np.repeat(np.arange(len(n)), n)
+                    shingle = got[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())]
+                    with np.errstate(over="ignore"):
+                        key = mixed(bucket[own][which] * U(0x9E3779B97F4A7C15) + mixed(shingle ^ U(0x5851F42D4C957F2D)))
+                    chosen = np.flatnonzero(key % U(ONE_IN) == 0)
+                    which, key = which[chosen], key[chosen] // U(ONE_IN)
+                    order = np.lexsort((key, which))
+                    which, key = which[order], key[order]
+                    new = np.append(True, (which[1:] != which[:-1]) | (key[1:] != key[:-1]))[: len(key)]
+                    which, key = which[new], key[new]
+                    longs = [pa.array(np.full(len(key), batch.column(k)[i].as_py())) for k in ("k1", "k2")]
+                    yield pa.record_batch([pa.array(key.view(np.int64)), *longs, *[pa.array(x[own][which].astype(np.int32)) for x in (c, before, after)], *[pa.array(f[own][which]) for f in flags]], names)
+
+    keyed = stored(near.mapInArrow(run, "bucket long, k1 long, k2 long, at int, before int, after int, open boolean, pivot boolean"), "near")
+    live = _several(keyed, "bucket", "k1", "k2", F.max("pivot").alias("known"), F.max("open").alias("some")).filter("some and not known").select("bucket")
+    w = F.struct(F.col("at").alias("c"), "before", "after").alias("w")
+    return stored(keyed.join(live, "bucket").select("bucket", F.struct("k1", "k2").alias("c"), w, "open"), "windows")
 
 
 def repeated(docs: DataFrame, least_words: int = LEAST_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -323,42 +363,42 @@ def repeated(docs: DataFrame, least_words: int = LEAST_WORDS) -> tuple[DataFrame
     texts = _texts(docs)
     index = windows(texts, least).repartition("bucket")
     text = F.struct("k1", "k2")
-    shared = index.groupBy("bucket").agg(F.min(text).alias("first"), F.max(text).alias("last")).filter("first != last").select("bucket")
+    shared = _several(index, "bucket", "k1", "k2")
     found = index.join(shared, "bucket", "left_semi").select("bucket", text.alias("c"), F.struct("c", "before", "after").alias("w"))
-    waiting = found = stored(found.distinct(), "windows")
+    found = stored(found.distinct(), "windows")
     needed = stored(found.select("c.k1", "c.k2").distinct(), "needed")
     arrays = shingles(texts, slot_bitmap(needed.select("k1"))).join(needed, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     arrays = stored(arrays.select(text.alias("c"), "grams"), "shingles")
     parts = []
-    members = found
-    for turn in range(ROUNDS + 1):
-        if turn < ROUNDS:
-            pivots = waiting.groupBy("bucket").agg(F.min(F.struct("c", "w")).alias("p"))
-        else:
-            # what is left meets everyone; windows of one text and bucket that end together overlap, so one interval does for them
-            pivots = _intervals(waiting).select("bucket", F.struct("c", "w").alias("p"))
-            members = _intervals(found.join(pivots.select("bucket").distinct(), "bucket", "left_semi"))
+    rows = found.withColumn("open", F.lit(True))
+    while True:
+        pivots = rows.filter("open").groupBy("bucket").agg(F.min(F.struct("c", "w")).alias("p"))
         # who has settled is still a partner: only what is not settled needs another
-        met = stored(members.join(pivots, "bucket").filter("c != p.c"), "met")
-        if not met.head(1):
-            break
+        met = stored(rows.join(pivots, "bucket"), "met")
         pivot_first = F.col("p.c") < F.col("c")
         wa, wb = F.when(pivot_first, F.col("p.w")).otherwise(F.col("w")), F.when(pivot_first, F.col("w")).otherwise(F.col("p.w"))
-        sides = met.select("bucket", F.when(pivot_first, F.col("p.c")).otherwise(F.col("c")).alias("a"), F.when(pivot_first, F.col("c")).otherwise(F.col("p.c")).alias("b"), wa.alias("wa"), wb.alias("wb"))
+        sides = met.filter("c != p.c").select(F.when(pivot_first, F.col("p.c")).otherwise(F.col("c")).alias("a"), F.when(pivot_first, F.col("c")).otherwise(F.col("p.c")).alias("b"), wa.alias("wa"), wb.alias("wb"))
         hit = F.struct(
             (F.col("wa.c") - F.col("wa.before")).alias("a0"), (F.col("wa.c") + F.col("wa.after")).alias("a1"), (F.col("wb.c") - F.col("wb.before")).alias("b0"),
-            (F.col("wb.c") + F.col("wb.after")).alias("b1"), F.col("wa.c").alias("ca"), F.col("wb.c").alias("cb"), F.col("bucket").bitwiseAND(F.lit(3)).alias("f"),
+            (F.col("wb.c") + F.col("wb.after")).alias("b1"), F.col("wa.c").alias("ca"), F.col("wb.c").alias("cb"),
         )
         pairs = sides.groupBy("a", "b").agg(F.collect_set(hit).alias("hits"))
-        pairs = pairs.filter(F.size(F.array_distinct(F.transform("hits", lambda h: h["f"]))) >= ENOUGH)
         part = stored(verified(pairs, arrays, least), "passages")
         parts.append(part)
-        if turn == ROUNDS:
-            break
         settled = part.select(F.col("a").alias("s"), F.col("b").alias("t"), F.col("b0").alias("t0"), F.col("b9").alias("t9")).unionByName(part.select(F.col("b").alias("s"), F.col("a").alias("t"), F.col("a0").alias("t0"), F.col("a9").alias("t9")))
         inside = (F.col("w.c") >= F.col("t0")) & (F.col("w.c") + SHINGLE <= F.col("t9"))
-        left = waiting.join(pivots, "bucket").filter("c != p.c").join(settled, (F.col("p.c") == F.col("s")) & (F.col("c") == F.col("t")) & inside, "left_anti")
-        waiting = stored(left.select("bucket", "c", "w"), "windows")
+        pivot = (F.col("c") == F.col("p.c")) & (F.col("w") == F.col("p.w"))
+        left = met.filter("open").filter(~pivot).join(settled, (F.col("p.c") == F.col("s")) & (F.col("c") == F.col("t")) & inside, "left_anti").select("bucket", "c", "w", "p")
+        left = stored(left, "left")
+        if not left.head(1):
+            break
+        # all of a bucket that has something left: what is left, what has settled and the pivot
+        whose = left.select("bucket").distinct()
+        rest = met.join(whose, "bucket", "left_semi").select("bucket", "c", "w", pivot.alias("pivot"))
+        rest = rest.join(left.select("bucket", "c", "w", F.lit(True).alias("open")), ["bucket", "c", "w"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
+        rows = _regrouped(rest, arrays, least)
+        if not rows.head(1):
+            break
     exact = stored(exact_passages(exact_runs(found, arrays, least), least), "exact")
     passages = exact.limit(0)
     for part in parts:
@@ -372,9 +412,15 @@ def repeated(docs: DataFrame, least_words: int = LEAST_WORDS) -> tuple[DataFrame
 
 def _classes(docs: DataFrame, least_words: int) -> DataFrame:
     """k1, k2, rep (least doc_id), n_words of the texts of enough words, and how many documents have each."""
-    words = F.size(alnum_words(F.col("text")))
-    rows = _texts(docs).select("doc_id", "k1", "k2", words.alias("n_words")).filter(F.col("n_words") >= least_words)
-    return rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n_words").alias("n_words"), F.count("*").alias("n"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in chunks(batch.column("text")):
+                own = [batch.column(c).slice(chunk.lo, chunk.hi - chunk.lo) for c in ("doc_id", "k1", "k2")]
+                yield pa.record_batch([*own, pa.array(chunk.words(ALNUM).counts, pa.int32())], ["doc_id", "k1", "k2", "n_words"])
+
+    rows = _texts(docs).mapInArrow(run, "doc_id long, k1 long, k2 long, n_words int").filter(F.col("n_words") >= least_words)
+    return rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.max("n_words").alias("n_words"), F.count("*").alias("n"))
 
 
 def report(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -382,7 +428,8 @@ def report(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
 
     One row for each passage of each document that has it, the source itself included; documents without repeated
     passages have none. Of equal texts the least doc_id is the one that is compared, and each other one repeats it
-    as a whole. Null and empty texts and texts of fewer words have no passages. Further columns are ignored.
+    as a whole. Null and empty texts and texts of fewer words have no passages; an empty table gives no rows. Of texts
+    alike in two ways, as in ties of a passage with two others, each is reported with the one it was found with. Further columns are ignored.
     """
     texts, passages = repeated(docs, least_words)
     passages = stored(passages, "passages")
@@ -400,16 +447,22 @@ def report(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
 def clean(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """docs without repeated passages: the text with the least hash keeps them, the others lose the words.
 
-    Of equal texts of enough words the least doc_id stays. A document that loses all its words goes; one that loses
-    some has n_chars, if there is that column, set to its new length. Rows without repeated words stay as they are.
+    Of equal texts of enough words one row stays, with the least doc_id (rows without an id come last). A document that
+    loses all its words goes; one that loses some has n_chars, if there is that column, set to its new length. Rows without
+    repeated words, null and empty texts stay as they are, repeated ones too. Columns may have any names.
     """
     _, passages = repeated(docs, least_words)
-    cuts = passages.filter("a != b").groupBy("b").agg(F.sort_array(F.collect_set(F.struct("b0", "b9"))).alias("_cuts")).select("b.k1", "b.k2", "_cuts")
-    copies = _classes(docs, least_words).filter("n > 1").select("k1", "k2", F.col("rep").alias("_rep"))
-    marks = cuts.join(copies, ["k1", "k2"], "full").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "_cuts", "_rep")
+    cuts = passages.filter("a != b").groupBy("b").agg(F.sort_array(F.collect_set(F.struct("b0", "b9"))).alias("cuts")).select("b.k1", "b.k2", "cuts")
+    copies = _classes(docs, least_words).filter("n > 1").select("k1", "k2", F.col("rep").alias("rep"), F.lit(True).alias("copied"))
+    marks = cuts.join(copies, ["k1", "k2"], "full").select(F.col("k1").alias("m1"), F.col("k2").alias("m2"), "cuts", "rep", "copied")
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    joined = docs.join(marks, (F.xxhash64(text) == F.col("_k1")) & (F.xxhash64(F.lit(1), text) == F.col("_k2")), "left")
-    joined = joined.filter("_rep is null or doc_id <=> _rep").drop("_k1", "_k2", "_rep")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), docs["doc_id"].cast("long").alias("id"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"))
+    joined = keyed.join(marks, (F.col("k1") == F.col("m1")) & (F.col("k2") == F.col("m2")), "left").filter("copied is null or id <=> rep")
+    # of rows that repeat id and text the first stays
+    place = F.row_number().over(Window.partitionBy("k1", "k2", "id").orderBy(F.lit(0)))
+    joined = joined.withColumn("place", place).filter("copied is null or place = 1")
+    cuts = F.col("cuts").alias("_" * (1 + max(len(c) for c in docs.columns)))
+    joined = joined.select(*[F.col("row").getField(c).alias(c) for c in docs.columns], cuts)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
