@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
+#: Turn numbers of one row of the result, whose key is (conv_id, part).
 PART = 1024
 
 
@@ -50,7 +53,7 @@ def rendered(role: Column, text: Column) -> Column:
 def maximal(at: DataFrame) -> DataFrame:
     """conv_id, n_turns, n_copies of the conversations that no other one extends; the least id of equal ones."""
     last = at.groupBy("conv_id").agg(F.max("at").alias("n_turns"))
-    ends = at.select("conv_id", "at", "hx", "hy").join(last.withColumnRenamed("conv_id", "c"), (F.col("conv_id") == F.col("c")) & (F.col("at") <= F.col("n_turns")))
+    ends = at.select("conv_id", "at", "hx", "hy").join(last, "conv_id")
     whole = ends.filter("at = n_turns").groupBy("at", "hx", "hy").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_copies"))
     prefixes = ends.filter("at < n_turns").select("at", "hx", "hy").distinct()
     return whole.join(prefixes, ["at", "hx", "hy"], "left_anti").select("conv_id", F.col("at").alias("n_turns"), "n_copies")
@@ -61,10 +64,11 @@ def collapse(conversations: DataFrame, part: int = PART) -> DataFrame:
 
     A conversation of usual length is one row; a longer one has a row for every ``part`` turn numbers, so that no
     conversation is gathered whole. Rows without conv_id or turn belong to no conversation; a null role or text
-    counts as empty; turns of the same number come by role and text; gaps between numbers don't count. An empty table
-    gives none.
+    counts as empty; turns of the same number come by role and text; rows that repeat as a whole count once; gaps between
+    numbers don't count. Of equal conversations the least conv_id stands for all. A text may hold the marks that rendering
+    puts around turns: they aren't escaped, so count turns by n_turns. An empty table gives none. Further columns are ignored.
     """
-    at = positions(conversations, part)
+    at = stored(positions(conversations, part), "turns")
     rows = at.join(maximal(at), "conv_id")
     turns = F.sort_array(F.collect_list(F.struct("at", "role", "text")))
     text = F.array_join(F.transform("turns", lambda t: rendered(t["role"], t["text"])), "")

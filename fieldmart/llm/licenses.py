@@ -127,6 +127,8 @@ SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word lon
 def scan(docs: DataFrame) -> DataFrame:
     """One row for each row of docs, see SCHEMA. Words count from 0; score is 1 where a fixed phrase stands, else the
     largest share of a notice's words found in place. Null, empty and wordless texts have no places, labels '' and score 0.
+    Repeated rows and ids are scanned each by its own text; of places and rarities that tie all count; an empty table gives no
+    rows; further columns are ignored.
     """
     found_in = frequencies(docs)
 

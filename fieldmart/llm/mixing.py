@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents_only, id_text, n_space_words
+from .common import id_text, n_space_words
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST_EPOCHS = 2.0
-RANGES = 4096
+RANGES, SCALES = 4096, 8
 SEED = "mix"
 
 
@@ -63,12 +63,16 @@ def mix(docs: DataFrame, weight: Column | None = None, ranges: int = RANGES, see
 
     The document in which a source's target is reached gives its first words only, so that a source meets its target to
     the word. Null and empty texts have size 0 and give nothing; documents of a null source form a source of their own,
-    which comes last; equal keys go by id and text. Repeated rows are documents of their own.
+    which comes last; equal keys go by id and text. Repeated rows are documents of their own. weight: any column above 0,
+    such as a score of quality, in place of ``quality``. An empty table gives none. Further columns are ignored.
     """
-    base = documents_only(docs)
-    base = base.select("doc_id", "source", n_space_words(F.col("text")).alias("size"), F.xxhash64("text").alias("text_key"), (quality(F.col("text")) if weight is None else weight).alias("w"))
+    text = F.col("text").cast("string")
+    source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), source.alias("source"), n_space_words(text).alias("size"), F.xxhash64(text).alias("text_key"), (quality(text) if weight is None else weight).alias("w"))
     base = base.withColumn("key", -F.log(uniform(F.col("doc_id"), seed)) / F.col("w"))
-    base = base.withColumn("range", F.least(F.floor((1.0 - F.exp(-F.col("key"))) * ranges), F.lit(ranges - 1)).cast("int")).drop("w")
+    # rises with the key, and spreads the keys of weights from 1 down to 1 / 2 ** SCALES evenly
+    spread = sum((1.0 - F.exp(-F.col("key") / float(1 << i)) for i in range(SCALES + 1)), F.lit(0.0)) / (SCALES + 1)
+    base = base.withColumn("range", F.least(F.floor(spread * ranges), F.lit(ranges - 1)).cast("int")).drop("w")
     by_range = base.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     by_range = by_range.withColumn("before", F.coalesce(F.sum("range_size").over(before), F.lit(0)))

@@ -182,7 +182,11 @@ SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_line
 
 
 def judge(docs: DataFrame, field: tuple[np.ndarray, np.ndarray], share: float = CONTENT_SHARE) -> DataFrame:
-    """One row for each row of docs, see SCHEMA. Null, empty and wordless texts have counts 0, share 0 and are not kept."""
+    """One row for each row of docs, see SCHEMA. Null, empty and wordless texts have counts 0, share 0 and are not kept.
+
+    Repeated rows and ids are judged each by its own text, whole however long; of labellings that tie the one with
+    boilerplate first counts; an empty table gives no rows; further columns are ignored.
+    """
     weights, pairs = field
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,4 +203,5 @@ def judge(docs: DataFrame, field: tuple[np.ndarray, np.ndarray], share: float =
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``judge`` with a field fitted on the labelled documents, or PRIOR if labels are empty or of one kind."""
     return judge(docs, train(docs, labels))

@@ -25,6 +25,10 @@ from .common import shared_dir, stored
 
 PIECE = 1 << 20
 LEVEL = 6
+#: Packed bytes after which an archive ends and the next begins.
+ROLL = 1 << 30
+#: When the pages were taken, for tables that don't say.
+DATE = "1970-01-01T00:00:00Z"
 #: Payloads of so many bytes at least are compared.
 LEAST_BYTES = 0
 #: A digest's rows are spread over so many groups before they meet their summary.
@@ -39,11 +43,10 @@ def _header(first: str, fields: list[tuple[str, str]]) -> bytes:
     return (first + "\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n").encode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """One response, or one revisit without its payload. A page without id or url has no such field."""
-    fields = [("WARC-Type", "response" if refers_to is None else "revisit")]
-    if page_id is not None:
-        fields.append(("WARC-Record-ID", f"<urn:page:{page_id}>"))
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str = DATE) -> bytes:
+    """One response, or one revisit without its payload. A page without url has no such field; one without id has a random one."""
+    fields = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Date", date)]
+    fields.append(("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>" if page_id is None else f"<urn:page:{page_id}>"))
     if url is not None:
         fields.append(("WARC-Target-URI", url.replace("\r", "%0D").replace("\n", "%0A")))
     fields.append(("WARC-Payload-Digest", f"sha1:{digest}"))
@@ -137,22 +140,30 @@ def classified(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
     return joined.select("page_id", "url", "payload", refers.alias("refers_to"))
 
 
-def write_monolithic(rows: DataFrame, folder: str) -> DataFrame:
-    """Writes one archive, a single gzip stream, for each partition with rows: path, n_records."""
+def write_monolithic(rows: DataFrame, folder: str, roll: int = ROLL, date: str = DATE) -> DataFrame:
+    """Writes the rows of each partition as archives, each a single gzip stream of about ``roll`` bytes at most: path, n_records."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path, out, n = f"{folder}/pages-{TaskContext.get().partitionId():06d}.warc.gz", None, 0
-        pack = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
+        task, out, n, number = TaskContext.get().partitionId(), None, 0, 0
+
+        def ended() -> pa.RecordBatch:
+            out.write(pack.flush())
+            out.close()
+            return pa.record_batch([pa.array([path]), pa.array([n], pa.int64())], ["path", "n_records"])
+
         for batch in batches:
             for i in range(batch.num_rows):
-                out = out or _Whole(path)
+                if out is None:
+                    path, pack = f"{folder}/pages-{task:06d}-{number:06d}.warc.gz", zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
+                    out, n, number = _Whole(path), 0, number + 1
                 page_id, url, payload, refers_to = (batch.column(c)[i].as_py() for c in range(4))
-                out.write(pack.compress(record(page_id, url, payload, payload_digest(payload), refers_to)))
+                out.write(pack.compress(record(page_id, url, payload, payload_digest(payload), refers_to, date)))
                 n += 1
+                if out.size >= roll:
+                    yield ended()
+                    out = None
         if out:
-            out.write(pack.flush())
-            out.close()
-            yield pa.record_batch([pa.array([path]), pa.array([n], pa.int64())], ["path", "n_records"])
+            yield ended()
 
     return stored(rows.select("page_id", "url", "payload", "refers_to").mapInArrow(write, "path string, n_records long"), "archives")
 
@@ -187,6 +198,15 @@ def normalise(archives: DataFrame) -> DataFrame:
     return stored(_each_path(archives).mapInArrow(rewrite, "path string, index_path string, n_records long"), "normalised")
 
 
+def _lines(stream: pa.NativeFile) -> Iterator[bytes]:
+    held = b""
+    while piece := stream.read(PIECE):
+        *whole, held = (held + piece).split(b"\n")
+        yield from whole
+    if held:
+        yield held
+
+
 def read_back(archives: DataFrame) -> DataFrame:
     """Every record of normalised archives, each reached by its own index line: page_id, url, type, digest, bytes, refers_to, payload.
 
@@ -195,7 +215,7 @@ def read_back(archives: DataFrame) -> DataFrame:
     schema = "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, payload binary"
 
     def urn(value: str | None) -> int | None:
-        return int(value.removeprefix("<urn:page:").removesuffix(">")) if value else None
+        return int(value.removeprefix("<urn:page:").removesuffix(">")) if value and value.startswith("<urn:page:") else None
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
@@ -205,7 +225,7 @@ def read_back(archives: DataFrame) -> DataFrame:
                 store, name = _place(path)
                 rows, held = [], 0
                 with store.open_input_file(name) as archive, store.open_input_stream(name + ".index", compression=None) as lines:
-                    for line in lines.read().splitlines():
+                    for line in _lines(lines):
                         at = json.loads(line)
                         archive.seek(at["offset"])
                         header, body, _ = next(parse(iter([zlib.decompress(archive.read(at["length"]), 31)])))
@@ -224,16 +244,18 @@ def read_back(archives: DataFrame) -> DataFrame:
     return _each_path(archives).mapInArrow(read, schema)
 
 
-def archive(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
+def archive(pages: DataFrame, least: int = LEAST_BYTES, roll: int = ROLL, date: str = DATE) -> DataFrame:
     """Writes all pages, normalises the archives and reads them back: the columns of ``read_back``.
 
     A null html is an empty payload. Rows that repeat a page_id are records of their own; equal ones of the same id are all
-    responses. An empty table gives no archive and no rows. Further columns are ignored.
+    responses, and share a Record-ID. Payloads of any length are written and read whole, one at a time. An empty table gives
+    no archive and no rows. Further columns are ignored.
     """
     spark = pages.sparkSession
     folder = shared_dir(spark, "warc")
-    return read_back(normalise(write_monolithic(classified(pages, least), folder)))
+    return read_back(normalise(write_monolithic(classified(pages, least), folder, roll, date)))
 
 
 def report(pages: DataFrame) -> DataFrame:
+    """The digest columns of ``archive``, a row for each page."""
     return archive(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

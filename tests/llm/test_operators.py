@@ -189,6 +189,11 @@ def test_warc(spark):
     assert kind == {1: ("revisit", 2, 3), 2: ("response", None, 3), 3: ("revisit", 4, 0), 4: ("response", None, 0), 5: ("response", None, 14)}
     assert next(bytes(r.payload) for r in rows.values() if r.page_id == 5) == "é\r\n\r\nWARC/1.1".encode()
     assert warc.report(pages).count() == 6 and warc.report(pages.limit(0)).count() == 0
+    # archives that end after every record give the same
+    rolled = warc.archive(pages, roll=1).select("page_id", "record_type", "refers_to", "payload_bytes").collect()
+    assert {r.page_id: tuple(r)[1:] for r in rolled} == kind and len(rolled) == 6
+    with_null = warc.report(spark.createDataFrame([(None, "u", "x"), (1, "u", "y")], "page_id long, url string, html string"))
+    assert sorted((r.page_id or 0, r.record_type) for r in with_null.collect()) == [(0, "response"), (1, "response")]
 
 
 def test_compact_windows_against_brute_force():
