@@ -40,12 +40,18 @@ STAGES = [
     ("benchmark decontamination", benchmark_leaks),
     ("mixing sources to target weights", mixture),
 ]
-#: No SQL: the toxicity model and the passages are not expressible; the tests compare each stage with a brute-force version.
+#: No SQL: neither the toxicity model nor the passages are expressible; tests/llm/test_pipeline.py compares each stage with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents of sf_dir, each stored in the shared folder before the next reads it."""
+    """All stages on the documents of sf_dir, each stored in the shared folder before the next reads it.
+
+    Rows of what ``mixing.mix`` takes words of: doc_id, source, size, source_size, target, epochs, taken. Null, empty and
+    wordless texts pass the first four stages and give nothing to the mix; texts of any length are read whole; repeated
+    rows with words leave one in the second stage; of ties the stages' docstrings tell; an empty table gives no rows.
+    Further columns stay up to the mix, whatever their names.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
