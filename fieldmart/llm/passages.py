@@ -7,8 +7,9 @@ likeness, a window with the same least shingle; the shingle ANCHOR places beside
 least, narrows the groups. Windows are grouped by function, shingle and anchor; each group meets its least member only, so
 that a passage that a third of all documents share makes as many pairs as documents. The windows of a pair of texts are joined
 to intervals, over which they are verified shingle by shingle. What isn't like the least member can be like another one only
-by shingles that the least one lacks: it is grouped anew, by its group and such shingles near it (one in ONE_IN, others in
-each group that the two are in), and so on until no group holds several texts; so groups of unlike texts fall apart instead of meeting as pairs. As verification is exact, one
+by shingles that the least one lacks: it is grouped anew, by its group and the least hash of such shingles near it that
+others of the group have too (of one in ONE_IN, others in each group that the two are in), and so on until no group
+holds several texts, each window in one group at most; so groups of unlike texts fall apart instead of meeting as pairs. As verification is exact, one
 function's meeting is enough. Beside that, all windows of shared groups, whether they met or not, are grouped by every run
 of the least length around them, whose members are equal, so that no exact repeat is ever lost.
 """
@@ -34,7 +35,7 @@ ANCHOR = 12
 PERCENT = 75
 #: Windows whose offsets differ by no more are joined to one interval: words that were put in or left out.
 DRIFT = 16
-#: One in so many of a group's shingles, by a hash of both, forms a new group of what its least member is unlike.
+#: One in so many of a group's shingles, by a hash of both, may form a new group of what its least member is unlike.
 ONE_IN = 4
 _LEVELS = 6
 
@@ -315,14 +316,14 @@ def _several(df: DataFrame, key: str, k1: str, k2: str, *more: Column) -> DataFr
 
 
 def _regrouped(rows: DataFrame, arrays: DataFrame, least: int) -> DataFrame:
-    """bucket, c, w, open of the rows (with ``pivot``, whether it is its bucket's least) by their bucket and each shingle near them.
+    """bucket, c, w, open of the rows (with ``pivot``, whether it is its bucket's least) by their bucket and a shingle near them.
 
-    Buckets of which the pivot has the shingle, which hold one text or nothing open, are left out.
+    Shingles that the pivot has, or only one text or nothing open, are left out; of the others the least hash counts.
     """
     near = rows.groupBy("c").agg(F.collect_list(F.struct("bucket", "w", "open", "pivot")).alias("at")).join(arrays, "c").select("c.k1", "c.k2", "at", "grams")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["bucket", "k1", "k2", "at", "before", "after", "open", "pivot"]
+        names = ["bucket", "of", "k1", "k2", "at", "before", "after", "open", "pivot"]
         for batch in batches:
             for i in range(batch.num_rows):
                 got, at = batch.column("grams")[i].values.to_numpy().view(np.uint64), batch.column("at")[i].values
@@ -345,12 +346,13 @@ def _regrouped(rows: DataFrame, arrays: DataFrame, least: int) -> DataFrame:
                     new = np.append(True, (which[1:] != which[:-1]) | (key[1:] != key[:-1]))[: len(key)]
                     which, key = which[new], key[new]
                     longs = [pa.array(np.full(len(key), batch.column(k)[i].as_py())) for k in ("k1", "k2")]
-                    yield pa.record_batch([pa.array(key.view(np.int64)), *longs, *[pa.array(x[own][which].astype(np.int32)) for x in (c, before, after)], *[pa.array(f[own][which]) for f in flags]], names)
+                    yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(bucket[own][which].view(np.int64)), *longs, *[pa.array(x[own][which].astype(np.int32)) for x in (c, before, after)], *[pa.array(f[own][which]) for f in flags]], names)
 
-    keyed = stored(near.mapInArrow(run, "bucket long, k1 long, k2 long, at int, before int, after int, open boolean, pivot boolean"), "near")
+    keyed = stored(near.mapInArrow(run, "bucket long, of long, k1 long, k2 long, at int, before int, after int, open boolean, pivot boolean"), "near")
     live = _several(keyed, "bucket", "k1", "k2", F.max("pivot").alias("known"), F.max("open").alias("some")).filter("some and not known").select("bucket")
+    kept = keyed.join(live, "bucket").groupBy("of", "k1", "k2", "at", "before", "after").agg(F.min("bucket").alias("bucket"), F.max("open").alias("open"))
     w = F.struct(F.col("at").alias("c"), "before", "after").alias("w")
-    return stored(keyed.join(live, "bucket").select("bucket", F.struct("k1", "k2").alias("c"), w, "open"), "windows")
+    return stored(kept.select("bucket", F.struct("k1", "k2").alias("c"), w, "open"), "windows")
 
 
 def repeated(docs: DataFrame, least_words: int = LEAST_WORDS) -> tuple[DataFrame, DataFrame]:
