@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, jaccard, licenses, mixing, oracle, passages, quality, scoring, toxicity, warc
+from . import alignment, chat, collocations, decontaminate, jaccard, licenses, minhash, mixing, oracle, passages, quality, scoring, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,18 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.clusters(_table(spark, sf_dir, "documents"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.clusters(_table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_scoring": op1_scoring,
     "op2_toxicity": op2_toxicity,
@@ -66,6 +78,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_chat": op9_chat,
     "op10_jaccard": op10_jaccard,
+    "op11_minhash": op11_minhash,
+    "op12_collocations": op12_collocations,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE_SQL = {
@@ -73,4 +88,6 @@ ORACLE_SQL = {
     "op6_warc": oracle.OP6,
     "op8_decontamination": oracle.OP8,
     "op9_chat": oracle.OP9,
+    "op11_minhash": oracle.OP11,
+    "op12_collocations": oracle.OP12,
 }
