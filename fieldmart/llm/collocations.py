@@ -5,8 +5,8 @@ keys meet in one task and are merged elementwise. From the merged stripes come t
 prefixes, and the largest extension that holds a phrase. Stripes of one-word prefixes come first; a longer phrase can't be more frequent than
 its parts, so stripes of two-word prefixes are made for frequent extensions only.
 
-The stripe of a very common prefix is cut into PARTS by the next word, and a row of it holds at most ROW next words, so
-that neither a task nor a cell holds the whole; every part has the prefix's total. Words are 64-bit hashes of language and word until the end.
+The stripe of a very common prefix is cut into PARTS by the next word, so that no task holds the whole; every part has the prefix's total.
+Stripes travel packed in buckets of keys, as many as the corpus has words for. Words are 64-bit hashes of language and word until the end.
 """
 
 from __future__ import annotations
@@ -24,14 +24,17 @@ from .text import U, Words, _table, chunks, hash_of, mixed
 
 #: Least frequency of a phrase, phrases of a language that are returned, and the share (percent) of its occurrences that makes a longer phrase hold it.
 LEAST, BEST, INSIDE = 10, 2000, 50
-#: Cuts of a very common prefix's stripe, and the next words of one row.
-PARTS, ROW = 64, 256
+#: Cuts of a very common prefix's stripe.
+PARTS = 64
+#: Words of the corpus for each bucket in which stripes are merged, and the least number of buckets.
+IN_BUCKET, BUCKETS = 1 << 21, 16
 #: Bytes of text whose stripes are counted together.
 AT_ONCE = 1 << 22
 #: A prefix is very common if it makes this share of all words: at most so many are.
 HOT = 4096
 PIECE_ENDS = _table(b".,;:!?\n\v\f\r")
 IN_PIECES = ~(PIECE_ENDS | _table(b" \t"))
+PACKED = "bucket long, keys binary, total binary, sizes binary, next binary, n binary"
 STRIPE = "w1 long, w2 long, part int, total long, next array<long>, n array<long>, slots array<long>"
 
 
@@ -104,30 +107,91 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return stored(counted.filter((F.col("n") >= LEAST) | F.col("id").isNull()), "words")
 
 
-def _rows(w1: np.ndarray, w2: np.ndarray | None, total: np.ndarray, owner: np.ndarray, following: np.ndarray, n: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
-    """Stripes as rows: prefixes with their totals; of each counted extension its prefix's number (ascending), next word and count."""
-    split = hot[owner]
-    part = np.where(split, following & (PARTS - 1), 0)
-    order = np.lexsort((part, owner))
-    owner, following, n, part = owner[order], following[order], n[order], part[order]
-    key, begin = np.unique(owner * PARTS + part, return_index=True)
-    # every part of a split stripe has a row with the total, whatever follows
-    all_keys = np.concatenate([np.flatnonzero(~hot) * PARTS, (np.flatnonzero(hot)[:, None] * PARTS + np.arange(PARTS)).ravel()])
-    bare = np.setdiff1d(all_keys, key, assume_unique=True)
-    many = -(-np.diff(np.append(begin, len(owner))) // ROW)
-    inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    bounds = np.append(np.repeat(begin, many) + inner * ROW, len(owner))
-    held = np.repeat(key, many)
-    keys = np.concatenate([bare, held])
-    offsets = pa.array(np.concatenate([np.zeros(len(bare), np.int64), bounds]).astype(np.int32))
-    lists = [pa.ListArray.from_arrays(offsets, pa.array(v, pa.int64())) for v in (following, n)]
-    totals = np.where(np.concatenate([np.zeros(len(bare), np.int64), inner]) == 0, total[keys // PARTS], 0)
-    second = pa.nulls(len(keys), pa.int64()) if w2 is None else pa.array(w2[keys // PARTS])
-    return pa.record_batch([pa.array(w1[keys // PARTS]), second, pa.array((keys % PARTS).astype(np.int32)), pa.array(totals, pa.int64()), *lists, pa.nulls(len(keys), pa.list_(pa.int64()))], [c.split()[0] for c in STRIPE.split(", ")])
-
-
-def stripes(docs: DataFrame, known: np.ndarray, hot: np.ndarray, length: int) -> DataFrame:
-    """Unmerged stripes of prefixes of one or two words. known: a bitmap of frequent words, or of frequent two-word phrases; hot: sorted slots or ids of split prefixes."""
+@dataclass
+class Block:
+    """Stripes as arrays: keys (w1, w2 or 0, part), totals, and how many of the next words and counts that follow end to end each has."""
+
+    keys: np.ndarray
+    total: np.ndarray
+    sizes: np.ndarray
+    following: np.ndarray
+    n: np.ndarray
+
+    @staticmethod
+    def counted(w1: np.ndarray, w2: np.ndarray | None, total: np.ndarray, owner: np.ndarray, following: np.ndarray, n: np.ndarray, hot: np.ndarray) -> Block:
+        """Of prefixes with their totals, and of extensions with their prefix's number, next word and count. Every part of a hot prefix has its total."""
+        first = np.concatenate([np.flatnonzero(~hot), np.repeat(np.flatnonzero(hot), PARTS)])
+        part = np.concatenate([np.zeros(int((~hot).sum()), np.int64), np.tile(np.arange(PARTS), int(hot.sum()))])
+        place = np.zeros(len(w1), np.int64)  # of a prefix's first stripe
+        place[first[part == 0]] = np.flatnonzero(part == 0)
+        of = place[owner] + np.where(hot[owner], following & (PARTS - 1), 0)
+        order = np.argsort(of, kind="stable")
+        second = np.zeros(len(first), np.int64) if w2 is None else w2[first]
+        return Block(np.stack([w1[first], second, part]), total[first], np.bincount(of, minlength=len(first)), following[order], n[order])
+
+    def chosen(self, at: np.ndarray) -> Block:
+        """The stripes of these numbers, in their order."""
+        begin, sizes = (np.cumsum(self.sizes) - self.sizes)[at], self.sizes[at]
+        inner = np.arange(int(sizes.sum())) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+        return Block(self.keys[:, at], self.total[at], sizes, self.following[inner], self.n[inner])
+
+    def packed(self, buckets: int) -> pa.RecordBatch:
+        """A row for each bucket, with its stripes as bytes."""
+        with np.errstate(over="ignore"):
+            w1, w2, part = self.keys.view(np.uint64)
+            bucket = (mixed(w1 * U(0x9E3779B97F4A7C15) + w2 * U(0xD1342543DE82EF95) + part) % U(buckets)).astype(np.int64)
+        held = self.chosen(np.argsort(bucket, kind="stable"))
+        number, first = np.unique(np.sort(bucket), return_index=True)
+        stripes_ = np.append(first, len(bucket))
+        entries = np.append(0, np.cumsum(held.sizes))[stripes_]
+        cut = lambda x, bounds, kind: pa.array([np.ascontiguousarray(x[..., a:b], kind).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
+        columns = [cut(held.keys, stripes_, np.int64), cut(held.total, stripes_, np.int64), cut(held.sizes, stripes_, np.int32), cut(held.following, entries, np.int64), cut(held.n, entries, np.int32)]
+        return pa.record_batch([pa.array(number), *columns], [c.split()[0] for c in PACKED.split(", ")])
+
+    @staticmethod
+    def unpacked(batch: pa.RecordBatch) -> Block:
+        keys = np.concatenate([np.frombuffer(x.as_buffer(), np.int64).reshape(3, -1) for x in batch.column("keys")], 1)
+        flat = lambda c, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in batch.column(c)]).astype(np.int64)
+        return Block(keys, flat("total", np.int64), flat("sizes", np.int32), flat("next", np.int64), flat("n", np.int32))
+
+    def after(self, other: Block | None) -> Block:
+        if other is None:
+            return self
+        return Block(np.concatenate([other.keys, self.keys], 1), *[np.concatenate([getattr(x, c) for x in (other, self)]) for c in ("total", "sizes", "following", "n")])
+
+    def merged(self) -> Block:
+        """Stripes with equal keys as one, elementwise."""
+        order = np.lexsort(self.keys)
+        keys = self.keys[:, order]
+        new = np.append(True, (keys[:, 1:] != keys[:, :-1]).any(0))
+        begin = np.flatnonzero(new)
+        stripe = np.empty(len(order), np.int64)
+        stripe[order] = np.cumsum(new) - 1
+        owner = np.repeat(stripe, self.sizes)
+        order_, following, n = np.lexsort((self.following, owner)), self.following, self.n
+        owner, following, n = owner[order_], following[order_], n[order_]
+        if len(owner):
+            first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (following[1:] != following[:-1])))
+            owner, following, n = owner[first], following[first], np.add.reduceat(n, first)
+        return Block(keys[:, begin], np.add.reduceat(self.total[order], begin), np.bincount(owner, minlength=len(begin)), following, n)
+
+    def frequent(self) -> Block:
+        """Stripes and extensions found LEAST times or more."""
+        kept = self.n >= LEAST
+        owner = np.repeat(np.arange(len(self.total)), self.sizes)[kept]
+        slim = Block(self.keys, self.total, np.bincount(owner, minlength=len(self.total)), self.following[kept], self.n[kept])
+        return slim.chosen(np.flatnonzero(self.total >= LEAST))
+
+    def rows(self, length: int) -> pa.RecordBatch:
+        owner = np.repeat(np.arange(len(self.total)), self.sizes)
+        offsets = pa.array(np.append(0, np.cumsum(self.sizes)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(v, pa.int64())) for v in (self.following, self.n, pair_slots(self.keys[0][owner], self.following))]
+        second = pa.nulls(len(self.total), pa.int64()) if length == 1 else pa.array(self.keys[1])
+        return pa.record_batch([pa.array(self.keys[0]), second, pa.array(self.keys[2].astype(np.int32)), pa.array(self.total), *lists], [c.split()[0] for c in STRIPE.split(", ")])
+
+
+def stripes(docs: DataFrame, known: np.ndarray, hot: np.ndarray, length: int, buckets: int) -> DataFrame:
+    """Unmerged stripes of prefixes of one or two words, packed by bucket. known: a bitmap of frequent words, or of frequent two-word phrases; hot: slots or ids of split prefixes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,74 +221,29 @@ def stripes(docs: DataFrame, known: np.ndarray, hot: np.ndarray, length: int) ->
                 total = np.bincount(prefix, minlength=len(owners))
                 code, n = np.unique(at[here] * max(len(names), 1) + following, return_counts=True)
                 owner, following = code // max(len(names), 1), code % max(len(names), 1)
-                yield _rows(first, second, total, owner, names[following], n, is_hot)
-
-    return docs.mapInArrow(run, STRIPE)
-
-
-@dataclass
-class Block:
-    """Stripes as arrays: keys (w1, w2, part), totals, and how many entries of the flat arrays each has."""
-
-    keys: np.ndarray
-    total: np.ndarray
-    sizes: np.ndarray
-    following: np.ndarray
-    n: np.ndarray
+                if len(owners):
+                    yield Block.counted(first, second, total, owner, names[following], n, is_hot).packed(buckets)
 
-    @staticmethod
-    def of(batch: pa.RecordBatch) -> Block:
-        keys = np.stack([batch.column(c).fill_null(0).to_numpy().astype(np.int64) for c in ("w1", "w2", "part")])
-        lists = batch.column("next")
-        return Block(keys, batch.column("total").to_numpy(), np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy(), batch.column("n").flatten().to_numpy())
-
-    def after(self, other: Block | None) -> Block:
-        if other is None:
-            return self
-        return Block(np.concatenate([other.keys, self.keys], 1), *[np.concatenate([getattr(x, c) for x in (other, self)]) for c in ("total", "sizes", "following", "n")])
-
-    def merged(self) -> Block:
-        """Neighbours with equal keys as one, elementwise."""
-        new = np.append(True, (self.keys[:, 1:] != self.keys[:, :-1]).any(0))
-        begin = np.flatnonzero(new)
-        owner = np.repeat(np.cumsum(new) - 1, self.sizes)
-        order = np.lexsort((self.following, owner))
-        owner, following, n = owner[order], self.following[order], self.n[order]
-        if len(owner):
-            first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (following[1:] != following[:-1])))
-            owner, following, n = owner[first], following[first], np.add.reduceat(n, first)
-        return Block(self.keys[:, begin], np.add.reduceat(self.total, begin), np.bincount(owner, minlength=len(begin)), following, n)
-
-    def cut(self) -> tuple[Block, Block]:
-        """All but the last stripe, and that, which may go on."""
-        at = len(self.following) - self.sizes[-1]
-        return tuple(Block(self.keys[:, k], self.total[k], self.sizes[k], self.following[e], self.n[e]) for k, e in ((slice(-1), slice(at)), (slice(-1, None), slice(at, None))))
-
-    def rows(self, length: int) -> pa.RecordBatch:
-        """Rows of the frequent stripes, with their frequent extensions."""
-        owner = np.repeat(np.arange(len(self.total)), self.sizes)
-        kept = self.n >= LEAST
-        owner, following, n = owner[kept], self.following[kept], self.n[kept]
-        offsets = pa.array(np.searchsorted(owner, np.arange(len(self.total) + 1)).astype(np.int32))
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(v, pa.int64())) for v in (following, n, pair_slots(self.keys[0][owner], following))]
-        second = pa.nulls(len(self.total), pa.int64()) if length == 1 else pa.array(self.keys[1])
-        return pa.record_batch([pa.array(self.keys[0]), second, pa.array(self.keys[2].astype(np.int32)), pa.array(self.total), *lists], [c.split()[0] for c in STRIPE.split(", ")])
+    return docs.mapInArrow(run, PACKED)
 
 
-def merged(rows: DataFrame, length: int) -> DataFrame:
-    """Each key's stripes merged elementwise; stripes and extensions below LEAST go."""
+def merged(packed: DataFrame, length: int, buckets: int) -> DataFrame:
+    """Each key's stripes merged elementwise; stripes and extensions below LEAST go. A bucket is a few million words' stripes, whatever the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        held, bucket = None, None
         for batch in batches:
-            if batch.num_rows:
-                whole, rest = Block.of(batch).after(rest).merged().cut()
-                yield whole.rows(length)
-        if rest is not None:
-            yield rest.rows(length)
+            numbers = batch.column("bucket").to_numpy()
+            bounds = np.append(np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])), len(numbers))
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                if held is not None and numbers[a] != bucket:
+                    yield held.merged().frequent().rows(length)
+                    held = None
+                held, bucket = Block.unpacked(batch.slice(a, b - a)).after(held), numbers[a]
+        if held is not None:
+            yield held.merged().frequent().rows(length)
 
-    keys = ("w1", "w2", "part")
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, STRIPE).filter(F.col("total") >= LEAST)
+    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, STRIPE)
 
 
 def _exact(a: str, l: str, r: str) -> Column:  # noqa: E741
@@ -276,9 +295,10 @@ def collocations(docs: DataFrame, best: int = BEST) -> DataFrame:
     words = word_counts(texts)
     total = words.filter("id is null").agg(F.sum("n")).first()[0] or 0
     common = words.filter((F.col("id").isNotNull()) & (F.col("n") * HOT >= total)).select("id").toArrow()["id"].to_numpy()  # HOT rows at most
+    buckets = max(BUCKETS, total // IN_BUCKET)
     known = slot_bitmap(words.filter("id is not null").select("id"))
-    one = stored(merged(stripes(texts, known, np.sort(common), 1), 1), "stripes")
+    one = stored(merged(stripes(texts, known, common, 1, buckets), 1, buckets), "stripes")
     entries = one.select(F.explode(F.arrays_zip("slots", "n")).alias("x")).select(F.col("x.slots").alias("slot"), F.col("x.n").alias("n"))
     common = entries.filter(F.col("n") * HOT >= total).select("slot").toArrow()["slot"].to_numpy()  # HOT rows at most
-    two = stored(merged(stripes(texts, slot_bitmap(entries.select("slot")), np.sort(common), 2), 2), "stripes")
+    two = stored(merged(stripes(texts, slot_bitmap(entries.select("slot")), common, 2, buckets), 2, buckets), "stripes")
     return ranked(candidates(one, two), words, best)

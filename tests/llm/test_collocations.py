@@ -46,9 +46,9 @@ def rows():
 
 @pytest.mark.parametrize("hot", [4096, 20])
 def test_equals_plain_counters(spark, rows, monkeypatch, hot):
-    """With no split stripe but those of the small table, and with split ones of short rows."""
+    """With no split stripe but those of the small table, and with split ones, in few buckets."""
     monkeypatch.setattr(collocations, "HOT", hot)
-    monkeypatch.setattr(collocations, "ROW", 3)
+    monkeypatch.setattr(collocations, "BUCKETS", 3)
     df = spark.createDataFrame([(t, lang, 1, i % 3, "c") for i, (t, lang) in enumerate(rows)], "text string, lang string, n int, w1 int, part string").repartition(5)
     for best in (2000, 4):
         got = collocations.collocations(df, best).collect()
