@@ -27,9 +27,9 @@ LEAST, BEST, INSIDE = 10, 2000, 50
 #: Cuts of a very common prefix's stripe.
 PARTS = 64
 #: Words of the corpus for each bucket in which stripes are merged, and the least number of buckets.
-IN_BUCKET, BUCKETS = 1 << 21, 16
+IN_BUCKET, BUCKETS = 1 << 20, 16
 #: Bytes of text whose stripes are counted together.
-AT_ONCE = 1 << 22
+AT_ONCE = 1 << 21
 #: A prefix is very common if it makes this share of all words: at most so many are.
 HOT = 4096
 PIECE_ENDS = _table(b".,;:!?\n\v\f\r")
