@@ -67,15 +67,3 @@ def canonical(value: Column, names: dict[str, str]) -> Column:
 def filled(message: Column, date: Column) -> Column:
     """message with every [...] replaced by the date as DD/MM/YYYY; unchanged without a date."""
     return F.when(date.isNull(), message).otherwise(F.regexp_replace(message, F.lit(r"\[.*?\]"), F.date_format(date, "dd/MM/yyyy")))
-
-
-def name_similarity(a: Column, b: Column) -> Column:
-    """2 * (longest common subsequence) / (both lengths), by dynamic programming over arrays of the row."""
-    left, right = F.split(a, ""), F.split(b, "")
-    step = lambda row, ch: F.aggregate(
-        F.sequence(F.lit(1), F.size(right)),
-        F.array(F.lit(0)),
-        lambda new, j: F.array_append(new, F.when(F.get(right, j - 1) == ch, F.get(row, j - 1) + 1).otherwise(F.greatest(F.get(row, j), F.get(new, j - 1)))),
-    )
-    last = F.aggregate(left, F.array_repeat(F.lit(0), F.size(right) + 1), step)
-    return F.when((F.length(a) > 0) & (F.length(b) > 0), 2.0 * F.element_at(last, -1) / (F.length(a) + F.length(b))).otherwise(0.0)

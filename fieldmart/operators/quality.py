@@ -10,12 +10,13 @@ from __future__ import annotations
 import datetime
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldmart import codes
-from fieldmart.functions import parse
+from fieldmart.functions import parse, similarity
+from fieldmart.operators.ordering import id_parts
+from fieldmart.session import stored, tasks_import_here
 
 SCOPE = ("country", "site")
 REPORT = ("check", "severity", "country", "site", "field", "record_count", "detail", "affected_subjids", "affected_tablets")
@@ -126,15 +127,32 @@ def tablets() -> Column:
 
 
 _LONG = ("check", "severity", "field", *SCOPE, "row_id", "subject", "screening_text", "tablet")
-
-
-def _reported(df: DataFrame, keys: tuple[str, ...] = SCOPE) -> DataFrame:
-    """Counts, ids and the first rows by row_id of every issue."""
-    group = ["check", "severity", *keys, "field"]
-    totals = df.groupBy(*group).agg(F.count("*").alias("record_count"), ids().alias("affected_subjids"), tablets().alias("affected_tablets"))
-    first = _first(df, group).groupBy(*[F.col(c).alias(f"_{c}") for c in group]).agg(F.concat(F.lit("rows "), F.array_join(F.array_sort(F.collect_list("row_id")), ", ")).alias("detail"))
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group])
-    return totals.join(first, same).drop(*[f"_{c}" for c in group])
+_GROUP = ("check", "severity", *SCOPE, "field", "topic")
+#: Parts of a group whose examples are cut before the group's own.
+PARTS = 16
+
+
+def _as_reported(df: DataFrame, topic: Column | None = None, weight: Column | None = None, example_id: Column | None = None, example: Column | None = None) -> DataFrame:
+    """Long rows as the report adds them up: what is counted, which example it may give, and the ids it names."""
+    null = lambda kind: F.lit(None).cast(kind)
+    ids_ = [F.col(c) if c in df.columns else null("string").alias(c) for c in ("subject", "screening_text", "tablet")]
+    own = {"topic": null("string") if topic is None else topic, "weight": (F.lit(1) if weight is None else weight).cast("long"), "example_id": null("long") if example_id is None else example_id.cast("long"), "example": null("string") if example is None else example}
+    return df.select("check", "severity", *SCOPE, "field", *[v.alias(k) for k, v in own.items()], *ids_)
+
+
+def _reported(long: DataFrame) -> DataFrame:
+    """Report rows of long rows: count, ids and first examples of each group, by two sums; in the first a group is in parts, and keeps few examples."""
+    part = F.pmod(F.xxhash64("example_id", "example"), F.lit(PARTS))
+    least = lambda c: F.slice(F.array_sort(c), 1, EXAMPLES)
+    sets = {"s": F.col("subject"), "q": F.nullif(F.col("screening_text"), F.lit("")), "t": F.col("tablet")}
+    some = long.groupBy(*_GROUP, part.alias("part")).agg(F.sum("weight").alias("n"), *[F.collect_set(c).alias(k) for k, c in sets.items()], least(F.collect_list("example_id")).alias("i"), least(F.collect_set("example")).alias("e"))
+    all_ = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    out = some.groupBy(*_GROUP).agg(F.sum("n").alias("record_count"), *[all_(k).alias(k) for k in sets], *[least(F.flatten(F.collect_list(c))).alias(c) for c in "ie"])
+    text = lambda c, by: F.nullif(F.array_join(c, by), F.lit(""))
+    named = F.when(F.col("check") == "similar_phone", text("e", "; ")).otherwise(text("e", ", "))
+    detail = F.coalesce("topic", F.concat(F.lit("rows "), text("i", ", ")), named, F.lit(""))
+    known = {"detail": detail, "affected_subjids": F.coalesce(text("s", "; "), text("q", "; "), F.lit("")), "affected_tablets": F.array_join("t", ", ")}
+    return out.withColumns(known).select(*REPORT)
 
 
 def _first(df: DataFrame, group: list[str], most: int = EXAMPLES) -> DataFrame:
@@ -154,19 +172,43 @@ def row_issues(rows: DataFrame, columns: list[str], only: str | None = None) ->
     return long.select("f.*", *SCOPE, "row_id", "subject", "screening_text", "tablet")
 
 
-def count_issues(rows: DataFrame, columns: list[str], only: str | None = None, most: int | None = None) -> DataFrame:
-    """Rows whose key has more rows in its country and site than its check allows; all checks share one shuffle."""
-    kinds = [
-        F.struct(F.lit(code).alias("check"), F.lit(severity).alias("severity"), F.lit(field).alias("field"), F.expr(key).cast("string").alias("key"), F.lit(limit if most is None else most).alias("most"))
-        for code, severity, field, needs, key, limit in COUNT_CHECKS
-        if set(needs) <= set(columns) and only in (None, code)
-    ]
+def keyed_issues(rows: DataFrame, columns: list[str], only: str | None = None, most: int | None = None, few: int = 2) -> DataFrame:
+    """Rows by what their key has in its country and site: more rows than a check allows, one name with one date of birth, or a device with few rows.
+
+    All checks share one sum by key, and the rows of the keys found are joined, so that a key of very many rows is no task's own. Has
+    ``key`` beside the columns of long rows.
+    """
+    kind = lambda code, severity, field, key, over, up_to: F.struct(F.lit(code).alias("check"), F.lit(severity).alias("severity"), F.lit(field).alias("field"), key.cast("string").alias("key"), F.lit(over).cast("long").alias("over"), F.lit(up_to).cast("long").alias("up_to"))
+    kinds = [kind(code, severity, field, F.expr(key), limit if most is None else most, None) for code, severity, field, needs, key, limit in COUNT_CHECKS if set(needs) <= set(columns) and only in (None, code)]
+    if only in (None, "duplicate_name"):
+        kinds.append(kind("duplicate_name", "WARNING", "participants_name", F.col("name"), 1, None))
+    if "_source_db" in rows.columns and only in (None, "low_tablet_record_count"):
+        kinds.append(kind("low_tablet_record_count", "WARNING", "_source_db", _device(), 0, few))
     if not kinds:
-        return row_issues(rows, [])
-    long = rows.select(*SCOPE, "row_id", "subject", "screening_text", "tablet", F.explode_outer(F.array(*kinds)).alias("k")).filter("k.key is not null")
-    long = long.select("k.*", *SCOPE, "row_id", "subject", "screening_text", "tablet")
-    counted = long.withColumn("n", F.count("*").over(Window.partitionBy(*SCOPE, "check", "key"))).filter("n > most")
-    return counted.select("check", "severity", "field", *SCOPE, "row_id", "subject", "screening_text", "tablet")
+        return row_issues(rows, []).withColumn("key", F.lit(""))
+    own = ["row_id", "subject", "screening_text", "tablet"]
+    long = rows.select(*SCOPE, *own, "born", F.explode_outer(F.array(*kinds)).alias("k")).filter("k.key is not null").select("k.*", *SCOPE, *own, "born")
+    counts = long.groupBy("check", *SCOPE, "key", "over", "up_to").agg(F.count("*").alias("n"), F.min("born").eqNullSafe(F.max("born")).alias("one"))
+    found = counts.filter("n > over and (up_to is null or n <= up_to) and (check <> 'duplicate_name' or one)").select("check", *SCOPE, "key")
+    return long.join(found, ["check", *SCOPE, "key"], "left_semi").select(*_LONG, "key")
+
+
+def _device() -> Column:
+    return F.element_at(F.split("_source_db", "/"), -2)
+
+
+def count_issues(rows: DataFrame, columns: list[str], only: str | None = None, most: int | None = None) -> DataFrame:
+    """Rows whose key has more rows in its country and site than its check allows."""
+    codes_ = [c[0] for c in COUNT_CHECKS]
+    return keyed_issues(rows, columns, only, most).filter(F.col("check").isin(codes_)).select(*_LONG)
+
+
+def _keyed_as_reported(found: DataFrame) -> DataFrame:
+    """Names are reported one by one; devices by name, without ids."""
+    device = F.col("check") == "low_tablet_record_count"
+    out = _as_reported(found, F.when(F.col("check") == "duplicate_name", F.col("key")), None, F.when(~device, F.col("row_id")), F.when(device, F.col("key")))
+    bare = {c: F.when(~device, F.col(c)) for c in ("subject", "screening_text", "tablet")}
+    return out.withColumns(bare)
 
 
 def _fixed(df: DataFrame, check: str, severity: str, field: Column | str) -> DataFrame:
@@ -180,12 +222,6 @@ def missing_columns(rows: DataFrame, columns: list[str]) -> DataFrame:
     return _fixed(counts, "missing_column", "ERROR", F.col("field")).withColumns({"detail": F.lit(""), "affected_subjids": F.lit(""), "affected_tablets": F.lit("")}).select(*REPORT)
 
 
-def duplicate_names(rows: DataFrame) -> DataFrame:
-    """A row for each name that several rows share, unless their dates of birth differ."""
-    groups = rows.filter("name is not null").groupBy(*SCOPE, "name").agg(F.count("*").alias("record_count"), F.count_distinct("born").alias("dates"), ids().alias("affected_subjids"), tablets().alias("affected_tablets"))
-    return _fixed(groups.filter("record_count > 1 and dates <= 1"), "duplicate_name", "WARNING", "participants_name").withColumn("detail", F.col("name")).select(*REPORT)
-
-
 def similar_phone_pairs(rows: DataFrame) -> DataFrame:
     """Distinct phones of a site, of equal length with exactly one other digit: phone_a < phone_b, and their rows.
 
@@ -199,15 +235,17 @@ def similar_phone_pairs(rows: DataFrame) -> DataFrame:
     return a.join(b, reduce(Column.__and__, on)).select("a.country", "a.site", F.col("a.phone").alias("phone_a"), F.col("b.phone").alias("phone_b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"))
 
 
-def similar_phones(rows: DataFrame) -> DataFrame:
-    """record_count: pairs of rows; detail: the first pairs of numbers. ``similar_phone_pairs`` lists all."""
-    pairs = similar_phone_pairs(rows)
-    total = pairs.groupBy(*SCOPE).agg(F.sum(F.col("n_a") * F.col("n_b")).alias("record_count"))
-    both = F.concat_ws(" / ", "phone_a", "phone_b")
-    first = _first(pairs.withColumn("row_id", both), list(SCOPE)).groupBy(*SCOPE).agg(F.array_join(F.array_sort(F.collect_list("row_id")), "; ").alias("detail"))
+def _rows_of(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows with a phone of some pair, as long rows."""
     found = pairs.select(*SCOPE, F.explode(F.array("phone_a", "phone_b")).alias("phone")).distinct()
-    of_rows = rows.join(found, [*SCOPE, "phone"], "left_semi").groupBy(*SCOPE).agg(ids().alias("affected_subjids"), tablets().alias("affected_tablets"))
-    return _fixed(total.join(of_rows, list(SCOPE)).join(first, list(SCOPE)), "similar_phone", "WARNING", "mobile_number").select(*REPORT)
+    return _fixed(rows.join(found, [*SCOPE, "phone"], "left_semi"), "similar_phone", "WARNING", "mobile_number").select(*_LONG)
+
+
+def _phones_as_reported(rows: DataFrame) -> DataFrame:
+    """What counts are pairs of rows, the examples are the first pairs of numbers, and the rows give the ids. ``similar_phone_pairs`` lists all."""
+    pairs = stored(similar_phone_pairs(rows), "phone-pairs")
+    counted = _as_reported(_fixed(pairs, "similar_phone", "WARNING", "mobile_number"), None, F.col("n_a") * F.col("n_b"), None, F.concat_ws(" / ", "phone_a", "phone_b"))
+    return counted.unionByName(_as_reported(_rows_of(rows, pairs), None, F.lit(0)))
 
 
 def _rare_letters(name: Column, share: Column) -> Column:
@@ -240,7 +278,7 @@ def similar_names(rows: DataFrame, has_dob: bool = True, least: float = SIMILAR)
     on += [F.col("a.letter") == F.col("b.letter"), F.col("a.name") < F.col("b.name"), F.lit(2.0) * F.least(la, lb) >= least * (la + lb)]
     on.append(F.levenshtein(F.col("a.name"), F.col("b.name")) <= F.floor(F.round((1 - least) * (la + lb), 6)))
     names = a.join(b, reduce(Column.__and__, on)).select(*[F.col(f"a.{c}") for c in keys], F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b")).distinct()
-    names = names.withColumn("similarity", parse.name_similarity(F.col("name_a"), F.col("name_b"))).filter(F.col("similarity") >= least)
+    names = names.withColumn("similarity", similarity.name_similarity(F.col("name_a"), F.col("name_b"))).filter(F.col("similarity") >= least)
     side = lambda x: named.select(*keys, F.col("name").alias(f"name_{x}"), *[F.col(c).alias(f"{c}_{x}") for c in ("row_id", "subject", "tablet", "screening_text")])
     pairs = names.join(side("a"), [*keys, "name_a"]).join(side("b"), [*keys, "name_b"])
     pairs = pairs.filter(~F.coalesce(F.col("subject_a") == F.col("subject_b"), F.lit(False)))
@@ -251,24 +289,6 @@ def similar_names(rows: DataFrame, has_dob: bool = True, least: float = SIMILAR)
     return _fixed(pairs, "similar_name", "WARNING", "participants_name").withColumns(more).select(*REPORT, "name_a", "name_b", "row_a", "row_b", "similarity")
 
 
-def _low_device_rows(rows: DataFrame, most: int = 2) -> DataFrame:
-    """Rows of devices (the folder of the source file) with ``most`` rows or fewer in a site, with ``device``."""
-    placed = rows.filter("_source_db is not null").withColumn("device", F.element_at(F.split("_source_db", "/"), -2))
-    low = placed.groupBy(*SCOPE, "device").agg(F.count("*").alias("n")).filter(F.col("n") <= most).drop("n")
-    return placed.join(low, [*SCOPE, "device"])
-
-
-def low_devices(rows: DataFrame, most: int = 2) -> DataFrame:
-    """record_count: rows of such devices; detail: the first of them by name."""
-    if "_source_db" not in rows.columns:
-        return missing_columns(rows, list(codes.REQUIRED)).limit(0)
-    low = _low_device_rows(rows, most).withColumn("row_id", F.col("device"))
-    total = low.groupBy(*SCOPE).agg(F.count("*").alias("record_count"))
-    first = _first(low.select(*SCOPE, "row_id").distinct(), list(SCOPE)).groupBy(*SCOPE).agg(F.array_join(F.array_sort(F.collect_list("row_id")), ", ").alias("detail"))
-    out = _fixed(total.join(first, list(SCOPE)), "low_tablet_record_count", "WARNING", "_source_db")
-    return out.withColumns({"affected_subjids": F.lit(""), "affected_tablets": F.lit("")}).select(*REPORT)
-
-
 def sparse_columns(df: DataFrame, share: float = 0.5) -> DataFrame:
     """Columns that are null in more than ``share`` of a site's rows: one aggregate over all columns, then one row for each."""
     names = [c for c in df.columns if not c.startswith("_") and c not in codes.MAY_BE_EMPTY]
@@ -281,23 +301,27 @@ def sparse_columns(df: DataFrame, share: float = 0.5) -> DataFrame:
 def check(df: DataFrame, code: str, as_of: datetime.date, most: int | None = None) -> DataFrame:
     """The report rows of one check."""
     rows = prepared(df, as_of)
-    special = {"missing_column": lambda: missing_columns(rows, df.columns), "duplicate_name": lambda: duplicate_names(rows), "similar_phone": lambda: similar_phones(rows), "similar_name": lambda: similar_names(rows, "dob" in df.columns), "low_tablet_record_count": lambda: low_devices(rows), "sparse_column": lambda: sparse_columns(df)}
+    tasks_import_here(df.sparkSession)
+    special = {"missing_column": lambda: missing_columns(rows, df.columns), "similar_phone": lambda: _reported(_phones_as_reported(rows)), "similar_name": lambda: similar_names(rows, "dob" in df.columns), "sparse_column": lambda: sparse_columns(df)}
     if code in special:
         return special[code]()
-    if code in {c[0] for c in COUNT_CHECKS}:
-        return _reported(count_issues(rows, df.columns, code, most)).select(*REPORT)
-    return _reported(row_issues(rows, df.columns, code)).select(*REPORT)
+    if code in {*(c[0] for c in COUNT_CHECKS), "duplicate_name", "low_tablet_record_count"}:
+        return _reported(_keyed_as_reported(keyed_issues(rows, df.columns, code, most)))
+    return _reported(_as_reported(row_issues(rows, df.columns, code), None, None, F.col("row_id")))
 
 
 def report(df: DataFrame, as_of: datetime.date) -> DataFrame:
     """Report rows of all checks.
 
-    The parsed rows are persisted, in memory or on disk, as every check reads them; unpersist or clear the cache after use.
+    The parsed rows, which every check reads, and the phone pairs are stored once in the shared folder. All that is counted by row, key or phone is added up
+    together, in two sums.
     """
-    rows = prepared(df, as_of).persist(StorageLevel.MEMORY_AND_DISK)
-    flagged = row_issues(rows, df.columns).unionByName(count_issues(rows, df.columns))
-    out = _reported(flagged).select(*REPORT)
-    for part in (missing_columns(rows, df.columns), duplicate_names(rows), similar_phones(rows), similar_names(rows, "dob" in df.columns), low_devices(rows), sparse_columns(df)):
+    tasks_import_here(df.sparkSession)
+    rows = stored(prepared(df, as_of), "prepared")
+    flagged = _as_reported(row_issues(rows, df.columns), None, None, F.col("row_id"))
+    long = flagged.unionByName(_keyed_as_reported(keyed_issues(rows, df.columns))).unionByName(_phones_as_reported(rows))
+    out = _reported(long)
+    for part in (missing_columns(rows, df.columns), similar_names(rows, "dob" in df.columns), sparse_columns(df)):
         out = out.unionByName(part.select(*REPORT))
     text = [c for c, kind in out.dtypes if kind == "string"]
     return out.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in text})
@@ -309,17 +333,17 @@ def issue_rows(df: DataFrame, as_of: datetime.date) -> DataFrame:
     The report's counts and ids as a table that grows with the rows and gathers no group. Columns that are absent or
     sparse have no rows here.
     """
-    rows = prepared(df, as_of).persist(StorageLevel.MEMORY_AND_DISK)
-    out = row_issues(rows, df.columns).unionByName(count_issues(rows, df.columns)).select(*_LONG)
-    twins = duplicate_names(rows).select(*SCOPE, F.col("detail").alias("name"))
-    phones = similar_phone_pairs(rows).select(*SCOPE, F.explode(F.array("phone_a", "phone_b")).alias("phone")).distinct()
+    tasks_import_here(df.sparkSession)
+    rows = stored(prepared(df, as_of), "prepared")
+    out = row_issues(rows, df.columns).select(*_LONG).unionByName(keyed_issues(rows, df.columns).select(*_LONG))
     alike = similar_names(rows, "dob" in df.columns).select(*SCOPE, F.explode(F.array("row_a", "row_b")).alias("row_id")).distinct()
-    parts = [("duplicate_name", "participants_name", twins, "name"), ("similar_phone", "mobile_number", phones, "phone"), ("similar_name", "participants_name", alike, "row_id")]
-    for code, field, keys, key in parts:
-        out = out.unionByName(_fixed(rows.join(keys, [*SCOPE, key], "left_semi"), code, "WARNING", field).select(*_LONG))
-    if "_source_db" in rows.columns:
-        out = out.unionByName(_fixed(_low_device_rows(rows), "low_tablet_record_count", "WARNING", "_source_db").select(*_LONG))
-    return out
+    names = _fixed(rows.join(alike, [*SCOPE, "row_id"], "left_semi"), "similar_name", "WARNING", "participants_name").select(*_LONG)
+    return out.unionByName(_rows_of(rows, similar_phone_pairs(rows))).unionByName(names)
+
+
+def affected_id_parts(df: DataFrame, as_of: datetime.date) -> DataFrame:
+    """check, country, site, field, part, ids: the subject ids of every issue, in parts of bounded size. The report has them in one cell, for people."""
+    return id_parts(issue_rows(df, as_of), ["check", *SCOPE, "field"], "subject")
 
 
 def issue_examples(df: DataFrame, as_of: datetime.date, most: int = EXAMPLES) -> DataFrame:

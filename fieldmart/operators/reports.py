@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .campaign import COUNTRY_CODE
+from .ordering import id_parts
 
 SITE = "health_facility_ug"
 METRICS = ("due", "submitted", "delivered", "undelivered", "pending")
@@ -33,6 +34,28 @@ def message_status(queue: DataFrame, log: DataFrame, people: DataFrame, distinct
     return rows.groupBy(*keys).agg(F.sum(F.coalesce("n", F.lit(0))).alias("attempts"))
 
 
+MESSAGE_STATUS = f"""
+SELECT q.queue_id, q.subjid, q.mobile_number, q.week, q.arm_text, q.language, p.{SITE}, q.status AS queue_status, q.scheduled_date, latest.sent_at, latest.provider_message_id,
+       coalesce(max(l.delivery_status) FILTER (WHERE l.delivery_status = 'DELIVERED'), max(l.delivery_status) FILTER (WHERE l.delivery_status = 'FAILED'),
+                max(l.delivery_status) FILTER (WHERE l.delivery_status = 'NOT_FOUND')) AS delivery_status, count(l.log_id) AS attempts
+FROM {{queue}} q JOIN {{people}} p ON p.subjid = q.subjid LEFT JOIN {{log}} l ON l.queue_id = q.queue_id
+LEFT JOIN LATERAL (SELECT sent_at, provider_message_id FROM {{log}} s WHERE s.queue_id = q.queue_id AND s.status = 'sent' ORDER BY sent_at DESC NULLS LAST LIMIT 1) latest
+GROUP BY ALL
+"""
+
+
+def message_status_view(queue: DataFrame, log: DataFrame, people: DataFrame, name: str = "message_status") -> DataFrame:
+    """Registers ``message_status`` as a temporary view over temporary views of its tables (name_queue, name_log, name_people), and returns it.
+
+    The latest sent attempt is the first row of a lateral subquery, which Spark plans as a ranking by queue row.
+    """
+    spark, parts = queue.sparkSession, {"queue": queue, "log": log, "people": people}
+    for part, df in parts.items():
+        df.createOrReplaceTempView(f"{name}_{part}")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS {MESSAGE_STATUS.format(**{part: f'{name}_{part}' for part in parts})}")
+    return spark.table(name)
+
+
 def _joined(log: DataFrame, queue: DataFrame, people: DataFrame, country_code: str) -> DataFrame:
     q = queue.select("queue_id", F.col("status").alias("queue_status"), "arm_text", "language", F.col("mobile_number").alias("queue_number"), "scheduled_date")
     who = people.filter(F.col("countrycode") == country_code).select("subjid", SITE)
@@ -132,5 +155,11 @@ def delivery_status_week(log: DataFrame, as_of: datetime.date) -> DataFrame:
     return log.filter((F.col("status") == "sent") & (F.col("sent_at") >= begin)).groupBy("delivery_status").agg(F.count("*").alias("n"))
 
 
+def resend_list_parts(flagged: DataFrame) -> DataFrame:
+    """week, part, ids: the ids to send again to, in parts of bounded size; any number of them in a week."""
+    return id_parts(flagged, ["week"], "subjid")
+
+
 def resend_lists(flagged: DataFrame) -> DataFrame:
+    """A week's ids in one cell, for people; ``resend_list_parts`` for any number of them."""
     return flagged.groupBy("week").agg(F.array_join(F.array_sort(F.collect_list("subjid")), ", ").alias("subjids"))

@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldmart.functions import parse
-from fieldmart.operators import campaign, clean, marts, quality, reports
-from fieldmart.plans.oracle import ORACLE_SQL
-from fieldmart.session import table
+from fieldmart.operators import campaign, clean, marts, ordering, quality, reports
+from fieldmart.plans import oracle, written
+from fieldmart.plans.written_oracle import WRITTEN_SQL
+from fieldmart.session import shared_folder, table
 from fieldmart.sources import demo, ingest, publish
 
 __all__ = ["ORACLE_SQL", "QUERIES", "flagship"]
+ORACLE_SQL = oracle.ORACLE_SQL | WRITTEN_SQL
 Query = Callable[[SparkSession, str], DataFrame]
 WEEK_START, WEEK_END = datetime.date(2001, 6, 20), datetime.date(2001, 6, 27)
 SENT_AT = datetime.datetime(2001, 6, 30, 8, 0, tzinfo=datetime.UTC)
@@ -139,6 +141,19 @@ def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.report_window(table(spark, sf_dir, "events").select(F.to_date("ts").alias("day")).distinct())
 
 
+def _ordered(name: str, ties: tuple[str, ...] = ()) -> Query:
+    """A registered report with the place of each row in its order."""
+    return lambda spark, d: ordering.placed(QUERIES[name](spark, d), [*ordering.ORDERS[name], *ties])
+
+
+def _export(c: Campaign) -> DataFrame:
+    """The line list as exported, read back."""
+    folder = shared_folder(c.spark, "exports")
+    rows = reports.delivery_linelist(c.log, c.sent_queue, c.people)
+    place = publish.report_exports({"delivery_linelist": rows}, folder)["delivery_linelist"]
+    return c.spark.read.schema(rows.schema).option("header", "true").option("nullValue", "").csv(place)
+
+
 QUERIES: dict[str, Query] = {
     "country_filter": _landed(clean.country_filter),
     "dedup_exact": _landed(lambda v: clean.dedup_exact(clean.country_filter(v))),
@@ -201,6 +216,18 @@ QUERIES: dict[str, Query] = {
     "messages_failed": _campaign(lambda c: reports.messages(c.log, c.queue, "failed")),
     "queue_status_counts": _campaign(lambda c: reports.queue_status_counts(c.sent_queue)),
     "delivery_status_week": _campaign(lambda c: reports.delivery_status_week(c.log, demo.AS_OF)),
+    "qc_summary_ordered": _ordered("qc_summary"),
+    "flagged_messages_ordered": _ordered("flagged_messages"),
+    "weekly_report_ordered": _ordered("weekly_report"),
+    "delivery_linelist_ordered": _ordered("delivery_linelist"),
+    "messages_sent_ordered": _ordered("messages_sent"),
+    "similar_name_ordered": _ordered("similar_name", ("row_a", "row_b")),
+    "report_export": _campaign(_export),
+    "affected_id_parts": _prepared(lambda p: ordering.joined(ordering.id_parts(p, ["country", "site"], "subject"), "; ")),
+    "resend_list_parts": _campaign(lambda c: ordering.joined(reports.resend_list_parts(reports.flagged_messages(c.log, c.sent_queue, c.people)), ", ")),
+    "percent_cells": _campaign(lambda c: reports.percent_cells(reports.weekly_percent(_cumulative(c)))),
+    "message_status_view": _campaign(lambda c: reports.message_status_view(c.sent_queue, c.log, c.people)),
+    **written.QUERIES,
     "resend_lists": _campaign(lambda c: reports.resend_lists(reports.flagged_messages(c.log, c.sent_queue, c.people))),
 }
 

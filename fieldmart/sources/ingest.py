@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import datetime
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldmart.functions import parse
+from fieldmart.session import delete_folder, folders
+from fieldmart.sources import files
 
-CORRUPT = "_corrupt_record"
 _SNAPSHOT = r"(?i)(?:^|/)(Tablet\d+)_(\d{4}_\d{2}_\d{2}-\d{2}_\d{2}_\d{2})"
 _ARCHIVE = r"(?i)^(Tablet\d+)_(\d{4}_\d{2}_\d{2}-\d{2}_\d{2}_\d{2})\.7z$"
 _TIME = "yyyy_MM_dd-HH_mm_ss"
@@ -54,23 +57,17 @@ def scan_text_table(spark: SparkSession, paths: str | list[str], columns: Sequen
 
 
 def read_many_isolated(spark: SparkSession, paths: list[str], columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows of the files that load, with their file_path, and the files (file_path) that don't.
+    """Rows of the files that load, as text by the columns' names, with their file_path; and the files (file_path, error) that don't.
 
-    A file loads or fails as a whole: it fails if one of its rows is bad or it has not even a header; a header alone loads
-    with no rows.
+    Each file is read once (``files.land``) and loads or fails as a whole. Blanks, and columns that a file lacks, are ''.
     """
-    schema = ", ".join([*(f"`{c}` string" for c in columns), f"{CORRUPT} string"])
-    raw = spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("ignoreCorruptFiles", "true").option("columnPruning", "false").csv(paths).select("*", F.col("_metadata.file_path").alias("file_path"))
-    # Spark refuses to read the corrupt record alone
-    some = F.length(F.coalesce(F.col(columns[0]), F.lit(""))) >= 0
-    good = raw.filter(F.col(CORRUPT).isNull() & some).drop(CORRUPT)
-    listed = spark.createDataFrame([(p,) for p in paths], "file_path string")
-    bare = F.regexp_replace("file_path", "^file:/*", "/")
-    seen = spark.read.option("ignoreCorruptFiles", "true").text(paths).select(F.col("_metadata.file_path").alias("file_path")).select(bare.alias("file_path")).distinct()
-    bad = raw.filter(F.col(CORRUPT).isNotNull() & some).select(bare.alias("file_path")).distinct()
-    failures = listed.select(bare.alias("file_path")).join(seen, "file_path", "left_anti").unionByName(bad).distinct()
-    good = good.withColumn("_bare", bare).join(bad.withColumnRenamed("file_path", "_bare"), "_bare", "left_anti").drop("_bare")
-    return good.na.fill("", list(columns)), failures
+    landing = files.land(spark, paths)
+    return landing.table(columns).na.fill("", list(columns)), landing.failures().select(bare_path("file_path").alias("file_path"), "error")
+
+
+def bare_path(column: str) -> Column:
+    """A local path without its scheme."""
+    return F.regexp_replace(column, "^file:/*", "/")
 
 
 def add_provenance(df: DataFrame, places: DataFrame, run_id: str, extracted_at) -> DataFrame:
@@ -83,7 +80,8 @@ def add_provenance(df: DataFrame, places: DataFrame, run_id: str, extracted_at)
     fits = files.withColumn("prefix", F.explode(starts)).join(places, "prefix")
     kept = F.struct(F.length("prefix").alias("length"), "country", "community")
     fits = fits.groupBy("file_path").agg(F.max(kept).alias("place")).select("file_path", "place.country", "place.community")
-    fits = df.join(fits, "file_path", "left").select(*df.columns, "country", "community")
+    own = df.drop("country", "community")  # what the place says replaces what the file says
+    fits = own.join(fits, "file_path", "left").select(*own.columns, "country", "community")
     return fits.withColumns({"file_name": F.element_at(F.split("file_path", "/"), -1), "run_uuid": F.lit(run_id), "extracted_at": F.lit(extracted_at), "_source_db": F.col("file_path")})
 
 
@@ -94,10 +92,78 @@ def incremental_new_files(manifest: DataFrame, ledger: DataFrame | None) -> Data
     return manifest.join(ledger.filter("loaded").select("file_path", "last_modified"), ["file_path", "last_modified"], "left_anti")
 
 
-def append_with_ledger(rows: DataFrame, entries: DataFrame, table: str, ledger: str) -> None:
-    """Data first, then the ledger, whose rows make the data count as loaded."""
-    rows.write.mode("append").parquet(table)
-    entries.write.mode("append").parquet(ledger)
+_RUN = re.compile(r"^[A-Za-z0-9-]+$")
+
+
+def append_once(rows: DataFrame, entries: DataFrame, table: str, ledger: str, run_id: str) -> None:
+    """Adds a run's rows (with file_path) and then its ledger entries (file_path, last_modified, loaded, extracted_at), each into a folder of its own.
+
+    The entries make the rows count: ``committed`` shows nothing of a run that ended between the two. Run again under the same id, what it
+    left is replaced; under another, its files are loaded anew, as no ledger has them. A run whose entries are there is done: the same
+    id changes nothing then.
+    """
+    if not _RUN.match(run_id):
+        raise ValueError(f"not a run id: {run_id!r}")
+    if "_SUCCESS" in {name for name, _ in folders(rows.sparkSession, f"{ledger}/{run_id}")}:
+        return
+    run = F.lit(run_id).alias("run_uuid")
+    rows.drop("run_uuid").select("*", run).write.mode("overwrite").parquet(f"{table}/{run_id}")
+    entries.drop("run_uuid").select("*", run).write.mode("overwrite").parquet(f"{ledger}/{run_id}")
+
+
+def _runs(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(folder)
+
+
+def committed_files(spark: SparkSession, ledger: str) -> DataFrame:
+    """file_path, last_modified, run_uuid: for each loaded version of a file the first run that committed it."""
+    entries = _runs(spark, ledger).filter("loaded").groupBy("file_path", "last_modified").agg(F.min(F.struct("extracted_at", "run_uuid")).alias("first"))
+    return entries.select("file_path", "last_modified", "first.run_uuid")
+
+
+def committed(spark: SparkSession, table: str, ledger: str) -> DataFrame:
+    """The rows whose run has committed their file, each file version once though several runs raced for it. Columns that a run lacks are null."""
+    files = committed_files(spark, ledger).select("run_uuid", "file_path").distinct()
+    return _runs(spark, table).join(files, ["run_uuid", "file_path"], "left_semi")
+
+
+def remove_uncommitted(spark: SparkSession, table: str, ledger: str, older_than: datetime.timedelta) -> list[str]:
+    """Deletes the folders of runs that never committed and haven't changed for so long; returns their ids. Runs under way are younger."""
+    done = {r.run_uuid for r in _runs(spark, ledger).select("run_uuid").distinct().collect()}  # a row for each run
+    now = datetime.datetime.now(datetime.UTC).timestamp()
+    lost = [(name, at) for name, at in folders(spark, table) if name not in done and now - at > older_than.total_seconds()]
+    for name, _ in lost:
+        delete_folder(spark, f"{table}/{name}")
+    return sorted(name for name, _ in lost)
+
+
+def load_new_files(spark: SparkSession, folder: str, places: DataFrame, table: str, ledger: str, run_id: str, extracted_at: datetime.datetime, pattern: str = "*.[cC][sS][vV]") -> files.Landing:
+    """One run over a folder: files that the ledger lacks are read once, placed, and committed together with their entries."""
+    found = files.contents(spark, folder, pattern)
+    listed = files.listed(found)
+    known = _runs(spark, ledger).filter("loaded").select("file_path", "last_modified") if folders(spark, ledger) else None
+    if known is not None:
+        found = found.join(known.select(F.col("file_path").alias("path"), F.col("last_modified").alias("modificationTime")), ["path", "modificationTime"], "left_anti")
+        listed = listed.join(known.select(F.regexp_replace("file_path", "^file:/+", "file:/").alias("file_path")), "file_path", "left_anti")
+    landing = files.landing_of(found, None, listed)
+    _commit(landing, places, table, ledger, run_id, extracted_at)
+    return landing
+
+
+def _commit(landing: files.Landing, places: DataFrame, table: str, ledger: str, run_id: str, extracted_at: datetime.datetime) -> None:
+    rows = add_provenance(landing.table(), places, run_id, extracted_at)
+    entries = landing.loaded().select("file_path", "last_modified", F.lit(True).alias("loaded"), F.lit(extracted_at).alias("extracted_at"), "n_rows")
+    append_once(rows, entries, table, ledger, run_id)
+
+
+def load_stream(spark: SparkSession, folder: str, places: DataFrame, table: str, ledger: str, checkpoint: str, pattern: str = "*.[cC][sS][vV]") -> None:
+    """The same as a stream that takes what is there and ends: its checkpoint knows the files, and a batch that is repeated after a crash has the same run id."""
+    source = spark.readStream.format("binaryFile").schema(files.CONTENT).option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
+
+    def batch(found: DataFrame, number: int) -> None:
+        _commit(files.landing_of(found), places, table, ledger, f"batch-{number:08d}", datetime.datetime.now(datetime.UTC))
+
+    source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:

@@ -1,6 +1,7 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from fieldmart.operators import clean, marts
 from fieldmart.sources import ingest, publish
@@ -36,8 +37,8 @@ def test_manifest_provenance_and_ledger(spark, tmp_path):
     ledger = manifest.selectExpr("file_path", "last_modified", "true as loaded")
     assert ingest.incremental_new_files(manifest, ledger).count() == 0
     assert ingest.incremental_new_files(manifest, None).count() == 2
-    ingest.append_with_ledger(good, ledger, str(tmp_path / "t"), str(tmp_path / "l"))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+    ingest.append_once(good, ledger.withColumn("extracted_at", F.current_timestamp()), str(tmp_path / "t"), str(tmp_path / "l"), "r1")
+    assert ingest.committed(spark, str(tmp_path / "t"), str(tmp_path / "l")).count() == 2
 
 
 def test_provenance_keeps_every_row(spark):

@@ -1,10 +1,12 @@
 import datetime
+import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from fieldmart import codes
-from fieldmart.functions import parse
+from fieldmart.functions import parse, similarity
 
 AS_OF = datetime.date(2026, 3, 1)
 
@@ -57,5 +59,21 @@ def test_filled(spark):
 
 @pytest.mark.parametrize("a,b,expected", [("alice wanjiru", "alice wanjru", 0.96), ("abc", "abc", 1.0), ("abc", "xyz", 0.0), ("", "a", 0.0)])
 def test_name_similarity(spark, a, b, expected):
-    row = spark.range(1).select(parse.name_similarity(F.lit(a), F.lit(b)).alias("v")).first()
+    row = spark.range(1).select(similarity.name_similarity(F.lit(a), F.lit(b)).alias("v")).first()
     assert row.v == pytest.approx(expected, abs=1e-9)
+
+
+def test_common_lengths_equal_dynamic_programming():
+    rng = random.Random(2)
+
+    def plain(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            row = [0, *itertools.accumulate(range(1, len(b) + 1), lambda left, j: row[j - 1] + 1 if b[j - 1] == x else max(row[j], left), initial=0)][1:]
+        return row[-1]
+
+    letters = "abcé🙂\0"
+    words = ["", "a", *["".join(rng.choice(letters) for _ in range(n)) for n in (1, 5, 12, 30, 63, 64, 65, 90, 130) for _ in range(6)]]
+    pairs = [(rng.choice(words), rng.choice(words)) for _ in range(400)]
+    assert similarity.common_lengths([a for a, _ in pairs], [b for _, b in pairs]).tolist() == [plain(a, b) for a, b in pairs]
+    assert similarity.common_lengths([], []).tolist() == []

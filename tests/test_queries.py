@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from fieldmart.plans.registry import ORACLE_SQL, QUERIES
+from fieldmart.plans.written_oracle import WRITTEN_SQL
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -24,7 +25,12 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", ["dedup_latest", "qc_summary", "similar_phone", "similar_name", "quality_report", "message_status", "weekly_percent", "schema_missing_columns"])
+SOME = ["dedup_latest", "qc_summary", "similar_phone", "similar_name", "quality_report", "issue_rows", "message_status", "weekly_percent", "schema_missing_columns"]
+#: All that write and read, and all ordered and parted reports.
+NEW = sorted(WRITTEN_SQL)
+
+
+@pytest.mark.parametrize("name", SOME + NEW)
 def test_query(spark, con, name):
     df = QUERIES[name](spark, FOLDER)
     cursor = con.execute(ORACLE_SQL[name])
