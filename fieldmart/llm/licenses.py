@@ -20,17 +20,35 @@ from .text import ALNUM, chunks, hash_of
 
 #: Phrases that give a label wherever their words stand one after the other.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Notices (fixed public wording) and the phrases that must be there.
+#: Notices in their public wording, and the phrases that must be there. Names and versions are mandatory: notices of two versions differ in little else.
 TEMPLATES = {
-    "apache-2.0": ("licensed under the apache license version 2 0", ("apache license",)),
+    "0bsd": ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted the software is provided as is", ("permission to use copy modify", "granted the software is provided")),
+    "agpl-3.0": ("under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license", ("gnu affero general public license", "version 3 of the license")),
+    "apache-2.0": ("licensed under the apache license version 2 0", ("apache license version 2 0",)),
+    "apache-2.0-name": ("apache license version 2 0", ("apache license version 2 0",)),
     "bsd": ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ("redistribution and use", "conditions are met")),
-    "cc-by-4.0": ("this work is licensed under a creative commons attribution 4 0 international license", ("creative commons attribution",)),
-    "gpl-3.0": ("this work is licensed under the gnu general public license version 3", ("gnu general public license",)),
-    "isc": ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ("permission to use copy modify", "with or without fee")),
-    "mit": ("released under the mit license", ("mit license",)),
+    "cc-by-3.0": ("this work is licensed under a creative commons attribution 3 0 unported license", ("creative commons attribution 3 0",)),
+    "cc-by-4.0": ("this work is licensed under a creative commons attribution 4 0 international license", ("creative commons attribution 4 0",)),
+    "cc-by-sa-4.0": ("this work is licensed under a creative commons attribution sharealike 4 0 international license", ("creative commons attribution sharealike 4 0",)),
+    "cc0-1.0": ("to the extent possible under law the author has dedicated all copyright and related and neighboring rights to this software to the public domain worldwide", ("dedicated all copyright", "public domain worldwide")),
+    "epl-2.0": ("made available under the terms of the eclipse public license 2 0", ("eclipse public license 2 0",)),
+    "gpl-2.0": ("this work is licensed under the gnu general public license version 2", ("gnu general public license version 2",)),
+    "gpl-2.0-header": ("under the terms of the gnu general public license as published by the free software foundation either version 2 of the license", ("gnu general public license", "version 2 of the license")),
+    "gpl-3.0": ("this work is licensed under the gnu general public license version 3", ("gnu general public license version 3",)),
+    "gpl-3.0-header": ("under the terms of the gnu general public license as published by the free software foundation either version 3 of the license", ("gnu general public license", "version 3 of the license")),
+    "isc": ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ("permission to use copy modify and or distribute", "with or without fee")),
+    "isc-first": ("permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted", ("permission to use copy modify and distribute", "with or without fee")),
+    "lgpl-2.1": ("under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license", ("gnu lesser general public license", "version 2 1 of the license")),
+    "lgpl-3.0": ("under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license", ("gnu lesser general public license", "version 3 of the license")),
+    "mit": ("released under the mit license", ("the mit license",)),
     "mit-grant": ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted", "free of charge")),
-    "mpl-2.0": ("this source code form is subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
+    "mpl-1.1": ("the contents of this file are subject to the mozilla public license version 1 1", ("mozilla public license version 1 1",)),
+    "mpl-2.0": ("this source code form is subject to the terms of the mozilla public license v 2 0", ("mozilla public license v 2 0",)),
+    "unlicense": ("this is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
 }
+#: Identifiers of a tag in a file's head, in words; the tag must stand as it is.
+TAGS = ("0bsd", "agpl 3 0", "apache 2 0", "bsd 2 clause", "bsd 3 clause", "cc by 4 0", "cc0 1 0", "epl 2 0", "gpl 2 0", "gpl 3 0", "isc", "lgpl 2 1", "lgpl 3 0", "mit", "mpl 1 1", "mpl 2 0", "unlicense")
+TEMPLATES |= {f"tag:{t.replace(' ', '-')}": (f"spdx license identifier {t}", (f"spdx license identifier {t}",)) for t in TAGS}
 #: How many of a file's rarest licence words are looked up, votes that a place needs, share of words that must agree.
 RAREST, VOTES, SHARE = 6, 2, 0.8
 

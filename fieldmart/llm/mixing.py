@@ -58,17 +58,21 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     return ranked.select("source", "source_size", F.least("cap", F.coalesce(F.col("weight") * first, F.col("cap"))).alias("target"))
 
 
-def mix(docs: DataFrame, weight: Column | None = None, ranges: int = RANGES, seed: str = SEED) -> DataFrame:
+MIXED = ("size", "source_size", "target", "epochs", "taken")
+
+
+def mix(docs: DataFrame, weight: Column | None = None, ranges: int = RANGES, seed: str = SEED, whole: bool = False) -> DataFrame:
     """One row for each row of docs: doc_id, source, size, source_size, target, epochs, taken.
 
     The document in which a source's target is reached gives its first words only, so that a source meets its target to
     the word. Null and empty texts have size 0 and give nothing; documents of a null source form a source of their own,
     which comes last; equal keys go by id and text. Repeated rows are documents of their own. weight: any column above 0,
-    such as a score of quality, in place of ``quality``. An empty table gives none. Further columns are ignored.
+    such as a score of quality, in place of ``quality``. An empty table gives none. Further columns are ignored; with whole, all columns
+    of docs come, and size to taken beside them, in place of columns of these names.
     """
     text = F.col("text").cast("string")
     source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), source.alias("source"), n_space_words(text).alias("size"), F.xxhash64(text).alias("text_key"), (quality(text) if weight is None else weight).alias("w"))
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), source.alias("source"), n_space_words(text).alias("size"), F.xxhash64(text).alias("text_key"), (quality(text) if weight is None else weight).alias("w"), *([F.struct(*[c for c in docs.columns if c not in MIXED]).alias("row")] if whole else []))
     base = base.withColumn("key", -F.log(uniform(F.col("doc_id"), seed)) / F.col("w"))
     # rises with the key, and spreads the keys of weights from 1 down to 1 / 2 ** SCALES evenly
     spread = sum((1.0 - F.exp(-F.col("key") / float(1 << i)) for i in range(SCALES + 1)), F.lit(0.0)) / (SCALES + 1)
@@ -87,4 +91,4 @@ def mix(docs: DataFrame, weight: Column | None = None, ranges: int = RANGES, see
     left = goal_words - F.col("epochs") * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), left - (F.col("upto") - F.col("size"))))
     taken = (F.col("epochs") * F.col("size") + part).cast("long")
-    return joined.select("doc_id", "source", "size", "source_size", "target", F.col("epochs").cast("long").alias("epochs"), taken.alias("taken"))
+    return joined.select(*(["row.*"] if whole else ["doc_id", "source"]), "size", "source_size", "target", F.col("epochs").cast("long").alias("epochs"), taken.alias("taken"))

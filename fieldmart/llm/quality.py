@@ -171,8 +171,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
                 lists = pa.ListArray.from_arrays(pa.array(found["lines"], pa.int32()), pa.array(found["mask"], pa.int32()))
                 yield pa.record_batch([batch.column("doc_id").slice(chunk.lo, chunk.hi - chunk.lo), batch.column("quality").slice(chunk.lo, chunk.hi - chunk.lo), lists], ["doc_id", "quality", "lines"])
 
-    table = rows.mapInArrow(lines, "doc_id long, quality int, lines array<int>").filter(F.size("lines") <= SAMPLE_LINES).toArrow()
-    got = sorted(zip(table["doc_id"].to_pylist(), table["quality"].to_pylist(), table["lines"].to_pylist(), strict=True))[:sample]
+    table = rows.mapInArrow(lines, "doc_id long, quality int, lines array<int>").filter(F.size("lines") <= SAMPLE_LINES)
+    table = table.orderBy("doc_id", "quality", "lines").limit(sample).toArrow()  # ids may repeat; ``sample`` rows at most come here
+    got = list(zip(table["doc_id"].to_pylist(), table["quality"].to_pylist(), table["lines"].to_pylist(), strict=True))
     if len({q for _, q, _ in got}) < 2:
         return PRIOR
     return fit([np.array(m, np.int32) for _, _, m in got], np.array([q for _, q, _ in got]))

@@ -127,6 +127,8 @@ class _Whole:
 def classified(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
     """page_id, url, payload, refers_to (null for a response): the largest page_id of equal payloads is the response.
 
+    A row without page_id revisits it too; if none of equal payloads has one, all are responses.
+
     The rows of one payload meet in parts, by digest and a salt of the id: a payload that a third of all
     pages have spreads over SALTS groups, and only the digest and id of each part go on.
     """
@@ -136,7 +138,7 @@ def classified(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
     whole = parts.groupBy("digest").agg(F.max("most").alias("largest"), F.collect_list("salt").alias("salts"))
     whole = whole.select("digest", "largest", F.explode("salts").alias("salt"))
     joined = rows.join(whole, ["digest", "salt"], "left")
-    refers = F.when(F.col("page_id") != F.col("largest"), F.col("largest"))
+    refers = F.when(~F.col("page_id").eqNullSafe(F.col("largest")), F.col("largest"))
     return joined.select("page_id", "url", "payload", refers.alias("refers_to"))
 
 
@@ -144,7 +146,9 @@ def write_monolithic(rows: DataFrame, folder: str, roll: int = ROLL, date: str =
     """Writes the rows of each partition as archives, each a single gzip stream of about ``roll`` bytes at most: path, n_records."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, out, n, number = TaskContext.get().partitionId(), None, 0, 0
+        context, out, n, number = TaskContext.get(), None, 0, 0
+        # an attempt's archives are its own: only those of the one that ends are listed, and a late one replaces none of them
+        task = f"{context.partitionId():06d}-{context.taskAttemptId():08d}"
 
         def ended() -> pa.RecordBatch:
             out.write(pack.flush())
@@ -154,7 +158,7 @@ def write_monolithic(rows: DataFrame, folder: str, roll: int = ROLL, date: str =
         for batch in batches:
             for i in range(batch.num_rows):
                 if out is None:
-                    path, pack = f"{folder}/pages-{task:06d}-{number:06d}.warc.gz", zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
+                    path, pack = f"{folder}/pages-{task}-{number:06d}.warc.gz", zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
                     out, n, number = _Whole(path), 0, number + 1
                 page_id, url, payload, refers_to = (batch.column(c)[i].as_py() for c in range(4))
                 out.write(pack.compress(record(page_id, url, payload, payload_digest(payload), refers_to, date)))
@@ -169,9 +173,9 @@ def write_monolithic(rows: DataFrame, folder: str, roll: int = ROLL, date: str =
 
 
 def _each_path(archives: DataFrame) -> DataFrame:
-    """One archive in each task."""
+    """One archive in each task: ranges of so few names are cut exactly, where a hash would put several into one."""
     n = archives.count()
-    return archives.select("path").repartition(max(n, 1), "path")
+    return archives.select("path").repartitionByRange(max(n, 1), "path")
 
 
 def normalise(archives: DataFrame) -> DataFrame:
@@ -247,7 +251,7 @@ def read_back(archives: DataFrame) -> DataFrame:
 def archive(pages: DataFrame, least: int = LEAST_BYTES, roll: int = ROLL, date: str = DATE) -> DataFrame:
     """Writes all pages, normalises the archives and reads them back: the columns of ``read_back``.
 
-    A null html is an empty payload. Rows that repeat a page_id are records of their own; equal ones of the same id are all
+    A null html is an empty payload. A row without page_id revisits the response of its payload, or is one. Rows that repeat a page_id are records of their own; equal ones of the same id are all
     responses, and share a Record-ID. Payloads of any length are written and read whole, one at a time. An empty table gives
     no archive and no rows. Further columns are ignored.
     """

@@ -10,6 +10,9 @@ import zlib
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
+from fieldmart.llm.common import shared_dir
 from fieldmart.llm import chat, decontaminate, jaccard, licenses, mixing, passages, quality, registry, scoring, toxicity, warc
 from fieldmart.llm.text import ALNUM, SPACED, chunks, hash_of
 
@@ -131,7 +134,8 @@ def test_licenses_of_files_with_several_notices(spark):
         for t, mandatory in licenses.TEMPLATES.values():
             w = t.split()
             at = [i for i in range(len(w)) if all(m in " ".join([*w[:i], "x", *w[i + 1 :]]) for m in mandatory)]
-            w[rng.choice(at)] = "x"
+            if at and len(w) >= 5:  # a tag or a bare name must stand as it is
+                w[rng.choice(at)] = "x"
             changed.append(" ".join(w))
         texts.append((set(notices), " filler words ".join(changed)))
     df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
@@ -139,6 +143,64 @@ def test_licenses_of_files_with_several_notices(spark):
         assert texts[r.doc_id][0] <= set(r.labels.split(","))
 
 
+@pytest.mark.parametrize(
+    ("text", "gets", "not_"),
+    [
+        ("this work is licensed under the GNU General Public License version 2", {"gpl-2.0", "gpl"}, {"gpl-3.0", "gpl-3.0-header"}),
+        ("this work is licensed under the GNU General Public License version 3", {"gpl-3.0", "gpl"}, {"gpl-2.0"}),
+        ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", {"gpl-3.0-header"}, {"gpl-2.0-header", "lgpl-3.0", "agpl-3.0"}),
+        ("under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License", {"lgpl-2.1"}, {"gpl-2.0-header", "lgpl-3.0"}),
+        ("Licensed under the Apache License, Version 2.0", {"apache-2.0", "apache-2.0-name"}, set()),
+        ("Apache License, Version 2.0", {"apache-2.0-name"}, set()),
+        ("Licensed under the Apache License, Version 2.1", set(), {"apache-2.0", "apache-2.0-name"}),
+        ("the contents of this file are subject to the Mozilla Public License version 1.1", {"mpl-1.1"}, {"mpl-2.0"}),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1", set(), {"mpl-2.0"}),
+        ("This work is licensed under a Creative Commons Attribution 3.0 Unported License", {"cc-by-3.0"}, {"cc-by-4.0"}),
+        ("Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted", {"isc-first"}, {"isc", "0bsd"}),
+        ("// SPDX-License-Identifier: Apache-2.0", {"tag:apache-2-0"}, {"tag:mit"}),
+        ("SPDX-License-Identifier: GPL-3.0-or-later", {"tag:gpl-3-0"}, {"tag:gpl-2-0", "tag:lgpl-3-0"}),
+        ("this public work is free and the software is under license version 2 of the year", set(), set(licenses.TEMPLATES)),
+    ],
+)
+def test_names_and_versions_of_licences(spark, text, gets, not_):
+    row = licenses.scan(spark.createDataFrame([(1, "some words. " + text + " and more words")], "doc_id long, text string")).first()
+    got = set(row.labels.split(",")) - {""}
+    assert gets <= got and not got & not_
+
+
+def test_field_gradient_is_that_of_all_labellings():
+    """Sums over all labellings of two short documents, step by step as the fit takes them."""
+    masks, labels, rate, l2 = [np.array([1, 3, 5, 2]), np.array([4, 1])], np.array([1, 0]), 0.5, 1e-3
+    weights, pairs = np.zeros(len(quality.FEATURES)), np.zeros((2, 2))
+    for step in range(3):
+        gained, both, total = np.zeros_like(weights), np.zeros((2, 2)), 0.0
+        for m, label in zip(masks, labels, strict=True):
+            x = ((m[:, None] >> np.arange(len(weights))) & 1).astype(float)
+            every = list(itertools.product((0, 1), repeat=len(m)))
+            score = np.array([sum((2 * y - 1) * (x[i] @ weights) / 2 for i, y in enumerate(ys)) + sum(pairs[a, b] for a, b in itertools.pairwise(ys)) for ys in every])
+            chance = np.exp(score - score.max())
+            chance /= chance.sum()
+            content = np.array([sum(p for p, ys in zip(chance, every, strict=True) if ys[i]) for i in range(len(m))])
+            gained += ((label - content)[:, None] * x).sum(0)
+            for a, b in itertools.product((0, 1), repeat=2):
+                found = sum(p * sum((u, v) == (a, b) for u, v in itertools.pairwise(ys)) for p, ys in zip(chance, every, strict=True))
+                both[a, b] += (len(m) - 1) * (a == b == label) - found
+            total += len(m)
+        speed = rate * 20 / (1 + step / 20)
+        weights, pairs = weights + speed * (gained / total - l2 * weights), pairs + speed * 0.1 * (both / total - l2 * pairs)
+        got = quality.fit(masks, labels, steps=step + 1)
+        assert np.allclose(got[0], weights) and np.allclose(got[1], pairs)
+
+
+def test_field_is_fitted_on_a_bounded_sample_though_ids_repeat(spark):
+    line = "Some content of a line with words."
+    docs = spark.createDataFrame([(i % 3, f"{line}\n{line} {i}") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1)], "doc_id long, quality int")
+    assert all(np.isfinite(x).all() for x in quality.train(docs, labels, sample=25))
+    kept = {r.doc_id: (r.content_share, r.kept) for r in quality.judge(docs, quality.PRIOR, share=0.0).collect()}
+    assert all(share >= 0 and not k for share, k in kept.values())  # under fifty words
+
+
 def test_quality(docs, labels):
     rows, texts = quality.report(docs, labels).collect(), {r[0]: r[1] or "" for r in ROWS}
     assert len(rows) == len(ROWS)
@@ -194,6 +256,18 @@ def test_warc(spark):
     assert {r.page_id: tuple(r)[1:] for r in rolled} == kind and len(rolled) == 6
     with_null = warc.report(spark.createDataFrame([(None, "u", "x"), (1, "u", "y")], "page_id long, url string, html string"))
     assert sorted((r.page_id or 0, r.record_type) for r in with_null.collect()) == [(0, "response"), (1, "response")]
+    shared = warc.report(spark.createDataFrame([(None, "u", "x"), (None, "v", "x"), (1, "u", "x"), (2, "u", "x"), (None, "u", "y"), (None, "w", "y")], "page_id long, url string, html string"))
+    assert sorted((r.page_id or 0, r.record_type, r.refers_to or 0) for r in shared.collect()) == [(0, "response", 0), (0, "response", 0), (0, "revisit", 2), (0, "revisit", 2), (1, "revisit", 2), (2, "response", 0)]
+
+
+def test_archives_have_tasks_and_attempts_of_their_own(spark):
+    listed = spark.createDataFrame([(f"/a/pages-{i:06d}-{i:08d}-000000.warc.gz",) for i in range(64)], "path string")
+    sizes = warc._each_path(listed).groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in sizes) <= 2 and len(sizes) > 48
+    rows = warc.classified(spark.createDataFrame([(i, "u", f"x{i}") for i in range(4)], "page_id long, url string, html string"))
+    folder = shared_dir(spark, "warc")
+    names = [{r.path for r in warc.write_monolithic(rows, folder).collect()} for _ in range(2)]
+    assert not names[0] & names[1]
 
 
 def test_compact_windows_against_brute_force():

@@ -99,4 +99,8 @@ def test_stages_against_brute_force(spark):
         assert 0 < r.taken <= 2 * r.size
     goals = {r.source: r.target for r in kept[4][1]}
     assert by == {s: math.floor(t) for s, t in goals.items()} and sum(goals.values()) <= 1.5 * total + 1e-6
-    assert {tuple(r) for r in mixing.mix(spark.createDataFrame(kept[3][1], docs.schema)).filter("taken > 0").collect()} == {tuple(r) for r in kept[4][1]}
+    mixed = mixing.mix(spark.createDataFrame(kept[3][1], docs.schema)).filter("taken > 0")
+    assert {tuple(r) for r in mixed.collect()} == {tuple(r[c] for c in mixed.columns) for r in kept[4][1]}
+    # with the text that the stages left, and all other columns
+    texts = {r.doc_id: (r.text, r.lang, r.n_chars) for r in kept[3][1]}
+    assert all((r.text, r.lang, r.n_chars) == texts[r.doc_id] for r in kept[4][1])
