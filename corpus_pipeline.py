@@ -29,8 +29,8 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes words of, with how many."""
-    return mixing.mix(docs).filter("taken > 0")
+    """The documents that the mix takes words of, as they are by now, with how many and in how many whole epochs."""
+    return mixing.mix(docs, whole=True).filter("taken > 0")
 
 
 STAGES = [
@@ -47,10 +47,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents of sf_dir, each stored in the shared folder before the next reads it.
 
-    Rows of what ``mixing.mix`` takes words of: doc_id, source, size, source_size, target, epochs, taken. Null, empty and
+    Rows of the documents that ``mixing.mix`` takes words of, with their columns, the text as the stages left it, and size, source_size, target, epochs, taken. Null, empty and
     wordless texts pass the first four stages and give nothing to the mix; texts of any length are read whole; repeated
     rows with words leave one in the second stage; of ties the stages' docstrings tell; an empty table gives no rows.
-    Further columns stay up to the mix, whatever their names.
+    Further columns stay, whatever their names; the mix's own replace some of the same names.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
