@@ -69,8 +69,8 @@ OP11 = rf"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, hash(array_to_string(w[i + 1:i + 3], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 2, 1))) AS i FROM d WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
-l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * both >= 85 * (nx.n + ny.n - both)),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * shared >= 85 * (nx.n + ny.n - shared)),
 e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
 r AS (SELECT x AS doc_id, x AS other FROM e UNION SELECT r.doc_id, e.y FROM r JOIN e ON r.other = e.x),
 c AS (SELECT doc_id, min(other) AS least FROM r GROUP BY doc_id)
@@ -87,7 +87,7 @@ f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) A
 c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
 u AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
 s AS (SELECT u.*, x.f AS l, y.f AS r, 1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f) AS score
-      FROM u JOIN f x ON x.lang = u.lang AND x.phrase = array_to_string(u.w[1:cut], ' ') JOIN f y ON y.lang = u.lang AND y.phrase = array_to_string(u.w[cut + 1:k], ' ')),
+      FROM u JOIN f x ON x.lang = u.lang AND x.phrase = array_to_string(u.w[1:cut], ' ') JOIN f y ON y.lang = u.lang AND y.phrase = array_to_string(u.w[cut + 1:u.k], ' ')),
 b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
 h AS (SELECT lang, part, max(a) AS more FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM c WHERE k = 3) GROUP BY ALL),
 g AS (SELECT b.* FROM b LEFT JOIN h ON h.lang = b.lang AND h.part = b.phrase AND b.k = 2 WHERE more IS NULL OR 100 * more < 50 * a)
