@@ -259,26 +259,35 @@ def _rare_letters(name: Column, share: Column) -> Column:
     return F.slice(F.sort_array(counted, asc=False), F.lit(1), F.length(name) - F.ceil(F.round(share * F.length(name), 6)) + 1)
 
 
-def similar_names(rows: DataFrame, has_dob: bool = True, least: float = SIMILAR) -> DataFrame:
-    """A row for each pair of rows with similar, not equal names, not the same subject, and the same date of birth if there is such a column.
+def similar_name_pairs(rows: DataFrame, has_dob: bool = True, least: float = SIMILAR) -> DataFrame:
+    """Distinct names of a site, and of one date of birth if there is such a column, that are similar and not equal: name_a < name_b, similarity, and the rows of each (n_a, n_b).
 
     Names meet by country, site, date of birth and their rarest letters, so many that no similar pair is missed and a
     date that many share is split. Lengths, then the edit distance, which is never above that of insertions and
-    deletions, leave out nearly all pairs before the common subsequence is measured.
+    deletions, leave out nearly all pairs before the common subsequence is measured. Two names that very many rows have are one pair
+    here, where ``similar_names`` has one for each two rows.
     """
-    named = rows.filter("name is not null").select(*SCOPE, "row_id", "name", "born", "subject", "tablet", "screening_text")
+    tasks_import_here(rows.sparkSession)
     keys = [*SCOPE, *(["born"] if has_dob else [])]
-    distinct = named.filter("born is not null") if has_dob else named
+    named = rows.filter("name is not null")
+    distinct = (named.filter("born is not null") if has_dob else named).groupBy(*keys, "name").agg(F.count("*").alias("n"))
     # the common subsequence has least / 2 of both lengths, and the other name at most (2 - least) / least of this one's
     share = F.lit(least / 2) * (1 + F.lit(least / (2 - least)))
-    distinct = distinct.select(*keys, "name").distinct().withColumn("letter", F.explode_outer(_rare_letters(F.col("name"), share)))
+    distinct = distinct.withColumn("letter", F.explode_outer(_rare_letters(F.col("name"), share)))
     a, b = distinct.alias("a"), distinct.alias("b")
     la, lb = F.length("a.name"), F.length("b.name")
     on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in SCOPE] + [F.col(f"a.{c}") == F.col(f"b.{c}") for c in keys[2:]]
     on += [F.col("a.letter") == F.col("b.letter"), F.col("a.name") < F.col("b.name"), F.lit(2.0) * F.least(la, lb) >= least * (la + lb)]
     on.append(F.levenshtein(F.col("a.name"), F.col("b.name")) <= F.floor(F.round((1 - least) * (la + lb), 6)))
-    names = a.join(b, reduce(Column.__and__, on)).select(*[F.col(f"a.{c}") for c in keys], F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b")).distinct()
-    names = names.withColumn("similarity", similarity.name_similarity(F.col("name_a"), F.col("name_b"))).filter(F.col("similarity") >= least)
+    names = a.join(b, reduce(Column.__and__, on)).select(*[F.col(f"a.{c}") for c in keys], F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b")).distinct()
+    return names.withColumn("similarity", similarity.name_similarity(F.col("name_a"), F.col("name_b"))).filter(F.col("similarity") >= least)
+
+
+def similar_names(rows: DataFrame, has_dob: bool = True, least: float = SIMILAR) -> DataFrame:
+    """A row for each pair of rows with similar, not equal names (``similar_name_pairs``), but of one subject."""
+    keys = [*SCOPE, *(["born"] if has_dob else [])]
+    named = rows.filter("name is not null").select(*SCOPE, "row_id", "name", "born", "subject", "tablet", "screening_text")
+    names = similar_name_pairs(rows, has_dob, least)
     side = lambda x: named.select(*keys, F.col("name").alias(f"name_{x}"), *[F.col(c).alias(f"{c}_{x}") for c in ("row_id", "subject", "tablet", "screening_text")])
     pairs = names.join(side("a"), [*keys, "name_a"]).join(side("b"), [*keys, "name_b"])
     pairs = pairs.filter(~F.coalesce(F.col("subject_a") == F.col("subject_b"), F.lit(False)))
@@ -301,7 +310,6 @@ def sparse_columns(df: DataFrame, share: float = 0.5) -> DataFrame:
 def check(df: DataFrame, code: str, as_of: datetime.date, most: int | None = None) -> DataFrame:
     """The report rows of one check."""
     rows = prepared(df, as_of)
-    tasks_import_here(df.sparkSession)
     special = {"missing_column": lambda: missing_columns(rows, df.columns), "similar_phone": lambda: _reported(_phones_as_reported(rows)), "similar_name": lambda: similar_names(rows, "dob" in df.columns), "sparse_column": lambda: sparse_columns(df)}
     if code in special:
         return special[code]()
@@ -316,7 +324,6 @@ def report(df: DataFrame, as_of: datetime.date) -> DataFrame:
     The parsed rows, which every check reads, and the phone pairs are stored once in the shared folder. All that is counted by row, key or phone is added up
     together, in two sums.
     """
-    tasks_import_here(df.sparkSession)
     rows = stored(prepared(df, as_of), "prepared")
     flagged = _as_reported(row_issues(rows, df.columns), None, None, F.col("row_id"))
     long = flagged.unionByName(_keyed_as_reported(keyed_issues(rows, df.columns))).unionByName(_phones_as_reported(rows))
@@ -333,7 +340,6 @@ def issue_rows(df: DataFrame, as_of: datetime.date) -> DataFrame:
     The report's counts and ids as a table that grows with the rows and gathers no group. Columns that are absent or
     sparse have no rows here.
     """
-    tasks_import_here(df.sparkSession)
     rows = stored(prepared(df, as_of), "prepared")
     out = row_issues(rows, df.columns).select(*_LONG).unionByName(keyed_issues(rows, df.columns).select(*_LONG))
     alike = similar_names(rows, "dob" in df.columns).select(*SCOPE, F.explode(F.array("row_a", "row_b")).alias("row_id")).distinct()

@@ -173,18 +173,18 @@ NAMES = f"SELECT 'duplicate_name' AS \"check\", 'WARNING' AS severity, country,
 _PHONES = "ph AS (SELECT country, site, phone, count(*) AS n FROM prepared WHERE phone IS NOT NULL GROUP BY ALL), pp AS (SELECT a.country, a.site, a.phone AS pa, b.phone AS pb, a.n AS na, b.n AS nb, a.n * b.n AS n FROM ph a JOIN ph b ON a.country = b.country AND a.site = b.site AND a.phone < b.phone AND length(a.phone) = length(b.phone) AND hamming(a.phone, b.phone) = 1), hit AS (SELECT DISTINCT country, site, unnest([pa, pb]) AS phone FROM pp)"
 PHONES = f"SELECT 'similar_phone' AS \"check\", 'WARNING' AS severity, country, site, 'mobile_number' AS field, record_count, detail, affected_subjids, affected_tablets FROM (SELECT country, site, CAST(sum(n) AS BIGINT) AS record_count, array_to_string(list_sort(list(pa || ' / ' || pb))[1:5], '; ') AS detail FROM pp GROUP BY ALL) JOIN (SELECT country, site, {_IDS} FROM prepared SEMI JOIN hit USING (country, site, phone) GROUP BY ALL) USING (country, site)"
 _LCS = "list_reduce(range(1, length(na) + 1), lambda row_, i: list_reduce(range(1, length(nb) + 1), lambda new_, j: list_append(new_, CASE WHEN nb[j] = na[i] THEN row_[j] + 1 ELSE greatest(row_[j + 1], new_[j]) END), [0::BIGINT]), list_transform(range(0, length(nb) + 1), lambda z: 0::BIGINT))[-1]"
-_NAME_PAIRS = f"nm AS (SELECT DISTINCT country, site, born, name FROM prepared WHERE name IS NOT NULL AND born IS NOT NULL), np AS (SELECT a.country, a.site, a.born, a.name AS na, b.name AS nb FROM nm a JOIN nm b ON a.country = b.country AND a.site = b.site AND a.born = b.born AND a.name < b.name), ns AS (SELECT *, 2.0::DOUBLE * {_LCS} / (length(na) + length(nb)) AS similarity FROM np)"
+NAME_PAIRS = f"nm AS (SELECT DISTINCT country, site, born, name FROM prepared WHERE name IS NOT NULL AND born IS NOT NULL), np AS (SELECT a.country, a.site, a.born, a.name AS na, b.name AS nb FROM nm a JOIN nm b ON a.country = b.country AND a.site = b.site AND a.born = b.born AND a.name < b.name), ns AS (SELECT *, 2.0::DOUBLE * {_LCS} / (length(na) + length(nb)) AS similarity FROM np)"
 SIMILAR = "SELECT 'similar_name' AS \"check\", 'WARNING' AS severity, ns.country, ns.site, 'participants_name' AS field, 2 AS record_count, '''' || na || ''' / ''' || nb || ''' (' || printf('%.2f', similarity) || ')' AS detail, coalesce(nullif(array_to_string(list_sort(list_distinct([a.subject, b.subject])), '; '), ''), array_to_string(list_sort(list_distinct([nullif(a.screening_text, ''), nullif(b.screening_text, '')])), '; '), '') AS affected_subjids, array_to_string(list_sort(list_distinct([a.tablet, b.tablet])), ', ') AS affected_tablets, na AS name_a, nb AS name_b, a.row_id AS row_a, b.row_id AS row_b, similarity FROM ns JOIN prepared a ON a.country = ns.country AND a.site = ns.site AND a.born = ns.born AND a.name = na JOIN prepared b ON b.country = ns.country AND b.site = ns.site AND b.born = ns.born AND b.name = nb WHERE similarity >= 0.85 AND NOT coalesce(a.subject = b.subject, false)"
 DEVICES = f"SELECT 'low_tablet_record_count' AS \"check\", 'WARNING' AS severity, country, site, '_source_db' AS field, CAST(sum(n) AS BIGINT) AS record_count, array_to_string(list_sort(list(device))[1:5], ', ') AS detail, '' AS affected_subjids, '' AS affected_tablets FROM (SELECT country, site, string_split(_source_db, '/')[-2] AS device, count(*) AS n FROM prepared GROUP BY ALL HAVING n <= 2) GROUP BY country, site"
 _SPARSE_COLUMNS = ("row_id", "uniqueid", "subjid", "screening_id", "country", "countrycode", "tabletnum", "interviewer_id", "starttime", "stoptime", "dob", "respondants_age", "client_sex", "consent", "health_facility_ke", "health_facility_ug", "mobile_number", "participants_name", "next_appt_3m", "next_appt_6m", "remarks", "extracted_at")
 SPARSE = " UNION ALL ".join(f"SELECT 'sparse_column' AS \"check\", 'WARNING' AS severity, country, site, '{c}' AS field, count(*) - count({c}) AS record_count, {_NONE} FROM prepared GROUP BY country, site HAVING count(*) - count({c}) > 0.5 * count(*)" for c in _SPARSE_COLUMNS)
 
 _REPORT = ", ".join(["\"check\"", "severity", "country", "site", "field", "record_count", "detail", "affected_subjids", "affected_tablets"])
-REPORT = f"{PREPARED}, {_PHONES}, {_NAME_PAIRS}, report AS (" + " UNION ALL ".join([*_each(_part), MISSING, NAMES, PHONES, f"SELECT {_REPORT} FROM ({SIMILAR})", DEVICES, SPARSE]) + ")"
+REPORT = f"{PREPARED}, {_PHONES}, {NAME_PAIRS}, report AS (" + " UNION ALL ".join([*_each(_part), MISSING, NAMES, PHONES, f"SELECT {_REPORT} FROM ({SIMILAR})", DEVICES, SPARSE]) + ")"
 
 
 _IN_SITE = "h.country = p.country AND h.site = p.site"
-LONG = f"{PREPARED}, {_PHONES}, {_NAME_PAIRS}, long_ AS (" + " UNION ALL ".join([
+LONG = f"{PREPARED}, {_PHONES}, {NAME_PAIRS}, long_ AS (" + " UNION ALL ".join([
     *_each(_long),
     _long("duplicate_name", "WARNING", "participants_name", f"prepared p WHERE EXISTS (SELECT 1 FROM ({NAMES}) h WHERE {_IN_SITE} AND h.detail = p.name)"),
     _long("similar_phone", "WARNING", "mobile_number", f"prepared p WHERE EXISTS (SELECT 1 FROM hit h WHERE {_IN_SITE} AND h.phone = p.phone)"),
@@ -196,7 +196,7 @@ LONG = f"{PREPARED}, {_PHONES}, {_NAME_PAIRS}, long_ AS (" + " UNION ALL ".join(
 def check_sql(code: str) -> str:
     special = {"missing_column": MISSING, "duplicate_name": NAMES, "similar_phone": PHONES, "similar_name": SIMILAR, "low_tablet_record_count": DEVICES, "sparse_column": SPARSE}
     body = special.get(code) or " UNION ALL ".join(_each(_part, code))
-    return f"WITH {PREPARED}, {_PHONES}, {_NAME_PAIRS} {body}"
+    return f"WITH {PREPARED}, {_PHONES}, {NAME_PAIRS} {body}"
 
 
 def _day(n: str) -> str:

@@ -171,6 +171,7 @@ QUERIES: dict[str, Query] = {
     "affected_ids": _prepared(lambda p: p.groupBy("country", "site").agg(quality.ids().alias("affected_subjids"), quality.tablets().alias("affected_tablets"))),
     "issue_rows": _visits(lambda v: quality.issue_rows(v, demo.AS_OF)),
     "similar_phone_pairs": _prepared(quality.similar_phone_pairs),
+    "similar_name_pairs": _prepared(quality.similar_name_pairs),
     "issue_examples": _visits(lambda v: quality.issue_examples(v, demo.AS_OF)),
     **{code: _check(code) for code in dict.fromkeys(c[0] for c in [*quality.ROW_CHECKS, *quality.COUNT_CHECKS])},
     **{code: _check(code) for code in ("missing_column", "duplicate_name", "similar_phone", "similar_name", "low_tablet_record_count", "sparse_column")},

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from fieldmart.plans.oracle import ORACLE_SQL as BASE
-from fieldmart.plans.oracle import PREPARED, SILVER, VISITS
+from fieldmart.plans.oracle import NAME_PAIRS, PREPARED, SILVER, VISITS
 
 FORMS = f"""{VISITS}, form AS (SELECT row_id, CAST(row_id AS VARCHAR) AS id_text, country, tabletnum, CAST(tabletnum AS INT) AS t, 'Tablet' || tabletnum AS label,
   CASE WHEN CAST(tabletnum AS INT) % 4 = 2 AND row_id % 50 = 0 THEN 'unknown' ELSE respondants_age END AS age, coalesce(dob, '') AS dob, coalesce(remarks, '') AS remarks FROM visits),
@@ -54,6 +54,7 @@ WRITTEN_SQL: dict[str, str] = {
     "delivery_linelist_ordered": _ordered("delivery_linelist", "site_code, week, sent_at_local, subjid, arm_text, language, mobile_number, scheduled_date, delivery_status"),
     "messages_sent_ordered": _ordered("messages_sent", "sent_at DESC, log_id"),
     "similar_name_ordered": _ordered("similar_name", "similarity DESC, row_a, row_b"),
+    "similar_name_pairs": f"WITH {PREPARED}, {NAME_PAIRS}, c AS (SELECT country, site, born, name, count(*) AS n FROM prepared GROUP BY ALL) SELECT country, site, born, na AS name_a, nb AS name_b, similarity, a.n AS n_a, b.n AS n_b FROM ns JOIN c a USING (country, site, born) JOIN c b USING (country, site, born) WHERE a.name = na AND b.name = nb AND similarity >= 0.85",
     "report_export": BASE["delivery_linelist"],
     "affected_id_parts": f"WITH {PREPARED} {_parts('prepared', 'country, site', 'subject', '; ')}",
     "resend_list_parts": _parts(f"({BASE['flagged_messages']})", "week", "subjid", ", "),
