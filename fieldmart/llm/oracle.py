@@ -64,20 +64,27 @@ SELECT page_id, payload_bytes,
 FROM p JOIN b USING (hex)
 """
 
-# shingles as text; the documents that links reach by growing each one's least reachable id
-OP11 = rf"""
+
+
+def _near(words: int, percent: int, more: str = "") -> str:
+    """Shingles as text; each document's least id that links reach, by growing what it reaches."""
+    return rf"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
-s AS (SELECT DISTINCT doc_id, hash(array_to_string(w[i + 1:i + 3], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 2, 1))) AS i FROM d WHERE len(w) > 0)),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + {words}], ' ') AS g FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - {words - 1}, 1))) AS i FROM d WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
-l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * shared >= 85 * (nx.n + ny.n - shared)),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * shared >= {percent} * (nx.n + ny.n - shared)),
 e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
 r AS (SELECT x AS doc_id, x AS other FROM e UNION SELECT r.doc_id, e.y FROM r JOIN e ON r.other = e.x),
 c AS (SELECT doc_id, min(other) AS least FROM r GROUP BY doc_id)
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least, d.doc_id) AS component_id, coalesce(least, d.doc_id) = d.doc_id AS kept
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least, d.doc_id) AS component_id{more}
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 """
 
+
+OP10 = _near(5, 75)
+OP11 = _near(3, 85, ", coalesce(least, d.doc_id) = d.doc_id AS kept")
+
 OP12 = rf"""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
 w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),

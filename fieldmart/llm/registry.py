@@ -88,6 +88,7 @@ ORACLE_SQL = {
     "op6_warc": oracle.OP6,
     "op8_decontamination": oracle.OP8,
     "op9_chat": oracle.OP9,
+    "op10_jaccard": oracle.OP10,
     "op11_minhash": oracle.OP11,
     "op12_collocations": oracle.OP12,
 }
