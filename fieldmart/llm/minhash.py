@@ -1,7 +1,7 @@
 """Near-duplicates by bottom-k sketches of one hash function.
 
 A document's set of shingles is sketched by its KEPT least hash values; a smaller set is its own sketch. Documents with equal
-sets form one class. The retained values are indexed by inverted lists, in one global order with those that many documents retain last:
+sets form one class. The retained values are indexed by inverted lists, in one global order with those that many classes retain last:
 two sketches with as many values in common as a link needs have one among the first of either (a prefix), so only prefixes are
 listed. What the lists of two classes have in common is estimated from the union's own sketch: the least KEPT values of both together, of which the
 share that both retain estimates their similarity. Pairs that pass are confirmed by their full sets.
@@ -9,11 +9,10 @@ share that both retain estimates their similarity. Pairs that pass are confirmed
 A link needs NEEDED values of a full union sketch in common; a pair that reaches the threshold has fewer once in 10^9 times. Where both
 sets are their own sketches nothing is estimated, and sizes alone say how many values they must share.
 
-Lists of many near copies stay linear: each list meets only one class at a time, the purest (whose listed value comes first in its own order: of
-near copies, the original). Links are closed to components; lists whose classes all are in one component are done. In the others that
-class leaves, and the list is divided by the next value that two of its classes may share, so that unlike classes fall apart
-without ever being compared. A list whose classes share so much that its division would multiply it stays whole, and its classes meet, more
-of them each round. Nothing is capped: rounds end when no list is left.
+Lists of many near copies stay linear: each list first meets only one class, the purest (whose listed value comes first in its own order: of
+near copies, the original). Links are closed to components; lists whose classes all are in one component are done. In the others those
+classes leave, and more meet the list each round. Two classes whose first shared value leaves too few behind it can't link and don't meet, and
+what can't link with any size in its list leaves it. Nothing is capped: rounds end when no list is left.
 """
 
 from __future__ import annotations
@@ -35,13 +34,11 @@ WORDS = 3
 #: 100 * intersection >= PERCENT * union.
 PERCENT = 85
 #: Values of a sketch.
-KEPT = 64
-#: A value that so many documents of one batch retain is counted as common; the most common COMMON of them come last in the
-#: order. That bounds what goes to every task; the result doesn't depend on it.
-SEEN, COMMON = 3, 1 << 18
+KEPT = 256
+#: The global order goes by how many classes retain a value: less than the first of these, less than the second, and so on; then by hash. A bitmap tells
+#: for each of them; values that fall into one slot of it count as retained by as many, which moves them in the order for all.
+LEVELS = (2, 4, 16, 64, 512)
 MISSED = 1e-9
-#: A list stays whole if its division has more than so many times its rows.
-MULTIPLIED = 2
 
 
 @cache
@@ -85,47 +82,25 @@ def _heads(begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n, k1, k2 (of the set) and sketch of each document; and, with -count and value as n and k1, values common in a batch."""
+    """doc_id, n, k1, k2 (of the set) and sketch of each document; of equal sets in a batch the first has it, the others none."""
     names = ["doc_id", "n", "k1", "k2", "sketch"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            retained = []
+            seen: set[tuple[int, int]] = set()
             for lo, hi, got, begin in _sets(batch.column("text")):
-                n = np.diff(begin)
-                at, bounds = _heads(begin, np.minimum(n, KEPT))
+                n, (k1, k2) = np.diff(begin), _keys(got, begin)
+                new = np.zeros(len(n), bool)
+                for i, key in enumerate(zip(k1.tolist(), k2.tolist(), strict=True)):
+                    new[i] = key not in seen
+                    seen.add(key)
+                at, bounds = _heads(begin, np.where(new, np.minimum(n, KEPT), 0))
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(got[at].view(np.int64)))
-                yield pa.record_batch([batch.column("doc_id").slice(lo, hi - lo), pa.array(n, pa.int64()), *map(pa.array, _keys(got, begin)), lists], names)
-                retained.append(got[at])
-            value, count = np.unique(np.concatenate(retained) if retained else np.zeros(0, np.uint64), return_counts=True)
-            value, count = value[count >= SEEN].view(np.int64), count[count >= SEEN]
-            none = pa.nulls(len(value), pa.int64())
-            yield pa.record_batch([none, pa.array(-count, pa.int64()), pa.array(value), none, pa.nulls(len(value), pa.list_(pa.int64()))], names)
+                yield pa.record_batch([batch.column("doc_id").slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(k1), pa.array(k2), lists], names)
 
     return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, sketch array<long>")
 
 
-def ordered(classes: DataFrame, common: np.ndarray, places: np.ndarray) -> DataFrame:
-    """c, n, sketch in the global order, and prefix, how many of its first values are listed."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists, n = batch.column("sketch"), batch.column("n").to_numpy()
-            values, begin = lists.flatten().to_numpy().view(np.uint64), lists.offsets.to_numpy().astype(np.int64)
-            begin = begin - begin[0]
-            place = np.zeros(len(values), np.int64)
-            if len(common):
-                at = np.minimum(np.searchsorted(common, values), len(common) - 1)
-                place = np.where(common[at] == values, places[at], 0)
-            order = np.lexsort((values, place, np.repeat(np.arange(len(n)), np.diff(begin))))
-            out = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(values[order].view(np.int64)))
-            prefix = np.diff(begin) - least_shared(n) + 1
-            yield pa.record_batch([batch.column("k1"), batch.column("k2"), batch.column("n"), out, pa.array(prefix.astype(np.int32))], ["k1", "k2", "n", "sketch", "prefix"])
-
-    rows = classes.mapInArrow(run, "k1 long, k2 long, n long, sketch array<long>, prefix int")
-    return rows.select(F.struct("k1", "k2").alias("c"), "n", "sketch", "prefix")
-
-
 def full_sets(docs: DataFrame, slots: np.ndarray) -> DataFrame:
     """k1, k2, grams of the sets whose slot is set, a class once for each batch."""
 
@@ -170,12 +145,15 @@ def _unsigned(value: Column) -> Column:
     return value.bitwiseXOR(F.lit(-(1 << 63)))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b, na, nb) whose full sets reach the threshold."""
-    ends = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
-    ends = stored(ends.select("c.k1", "c.k2"), "ends")
+def sets_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """c, grams of the given classes (k1, k2), stored: one pass over the texts."""
+    ends = stored(classes, "ends")
     sets = full_sets(docs, slot_bitmap(ends.select("k1"))).join(ends, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
-    sets = stored(sets.select(F.struct("k1", "k2").alias("c"), "grams"), "full")
+    return stored(sets.select(F.struct("k1", "k2").alias("c"), "grams"), "full")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b, na, nb) whose full sets reach the threshold."""
     both = pairs.join(sets.select(F.col("c").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("c").alias("b"), F.col("grams").alias("gb")), "b")
     return both.filter((100 + PERCENT) * F.size(F.array_intersect("ga", "gb")) >= PERCENT * (F.col("na") + F.col("nb"))).select("a", "b")
 
@@ -187,86 +165,75 @@ def _several(lists: DataFrame, of: str) -> DataFrame:
     return lists.join(mixed_, "list")
 
 
-def first_lists(known: DataFrame) -> DataFrame:
-    """list, c, n, place: the listed values that several classes retain; a bitmap of values seen twice leaves out most others."""
-    heads = known.select(F.explode(F.slice("sketch", F.lit(1), F.col("prefix"))).alias("list"))
-    twice = stored(heads.groupBy("list").count().filter("count > 1").select("list"), "twice")
-    pieces = slot_bitmap(twice)
+def inverted_lists(classes: DataFrame) -> DataFrame:
+    """list, c, n, rest, own: of each sketch, in the global order, the first values, so far as a link needs them, with how many there are from each on; lists of several classes only.
+
+    A class that several batches have counts for each of them, which moves its values in the order for all.
+    """
+    counts = classes.select(F.explode("sketch").alias("value")).groupBy("value").count().filter(F.col("count") >= LEVELS[0])
+    counts = stored(counts, "counts")
+    bitmaps = classes.sparkSession.sparkContext.broadcast([slot_bitmap(counts.filter(F.col("count") >= least).select("value")) for least in LEVELS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists, prefix = batch.column("sketch"), batch.column("prefix").to_numpy().astype(np.int64)
+            lists, n = batch.column("sketch"), batch.column("n").to_numpy()
             values, begin = lists.flatten().to_numpy(), lists.offsets.to_numpy().astype(np.int64)
-            at, bounds = _heads(begin - begin[0], prefix)
-            owner = np.repeat(np.arange(len(prefix)), prefix)
-            kept = in_slots(pieces, values[at])
-            own = pa.array(owner[kept])
-            place = (np.arange(len(at)) - np.repeat(bounds[:-1], prefix) + 1)[kept]
-            yield pa.record_batch([pa.array(values[at][kept]), batch.column("k1").take(own), batch.column("k2").take(own), batch.column("n").take(own), pa.array(place.astype(np.int32))], ["list", "k1", "k2", "n", "place"])
-
-    rows = known.select("c.k1", "c.k2", "n", "sketch", "prefix").mapInArrow(run, "list long, k1 long, k2 long, n long, place int")
-    rows = rows.select("list", F.struct("k1", "k2").alias("c"), "n", "place")
-    return stored(_several(rows, "c").select(*_LISTED[:4], F.col("c").alias("own"), F.lit(1).alias("depth"), F.lit(False).alias("whole")), "lists")
-
-
-_LISTED = ("list", "c", "n", "place", "own", "depth", "whole")
+            begin = begin - begin[0]
+            level = sum((in_slots(b, values).astype(np.int64) for b in bitmaps.value), np.zeros(len(values), np.int64))
+            order = np.lexsort((values.view(np.uint64), level, np.repeat(np.arange(len(n)), np.diff(begin))))
+            prefix = np.diff(begin) - least_shared(n) + 1
+            at, bounds = _heads(begin, prefix)
+            rest = np.repeat(np.diff(begin) + bounds[:-1], prefix) - np.arange(len(at))
+            kept = level[order[at]] > 0
+            own = pa.array(np.repeat(np.arange(len(n)), prefix)[kept])
+            yield pa.record_batch([pa.array(values[order[at][kept]]), batch.column("k1").take(own), batch.column("k2").take(own), batch.column("n").take(own), pa.array(rest[kept].astype(np.int32))], ["list", "k1", "k2", "n", "rest"])
 
+    rows = classes.mapInArrow(run, "list long, k1 long, k2 long, n long, rest int").select("list", F.struct("k1", "k2").alias("c"), "n", "rest").distinct()
+    return stored(_several(rows, "c").withColumn("own", F.col("c")), "lists")
 
-def _divided(lists: DataFrame, known: DataFrame) -> DataFrame:
-    """Lists divided by the next value that their classes may share; a list stays whole if its classes share so much that division would multiply its rows.
 
-    lists also has need: the values that its classes must share. A list whose classes share as many as that stays whole too.
-    """
-    open_ = lists.filter(~F.col("whole") & (F.col("need") > F.col("depth")))
-    later = open_.join(known.select("c", "sketch", "prefix"), "c")
-    values = F.slice("sketch", F.col("place") + 1, F.greatest(F.lit(0), F.col("prefix") + F.col("depth") - F.col("place")))
-    rows = later.select(F.col("list").alias("parent"), "c", "n", "own", "depth", "place", F.posexplode(values).alias("i", "value"))
-    rows = rows.select("parent", F.xxhash64("parent", "value").alias("list"), "c", "n", (F.col("place") + F.col("i") + 1).alias("place"), "own", (F.col("depth") + 1).alias("depth"), F.lit(False).alias("whole"))
-    parts = stored(_several(rows, "own"), "parts")
-    more = parts.groupBy("parent").agg(F.count("*").alias("after")).join(open_.groupBy(F.col("list").alias("parent")).agg(F.count("*").alias("before")), "parent").filter(F.col("after") > MULTIPLIED * F.col("before")).select("parent")
-    more = stored(more, "more")
-    split = parts.join(more, "parent", "left_anti").select(*_LISTED)
-    kept = lists.join(more.withColumnRenamed("parent", "list"), "list", "left_semi")
-    kept = kept.unionByName(lists.filter(F.col("whole") | (F.col("need") <= F.col("depth")))).withColumn("whole", F.lit(True)).select(*_LISTED)
-    return stored(split.unionByName(kept), "divided")
+def _to_share(na: Column, nb: Column) -> Column:
+    """The least number of retained values that two classes of these sizes share if they link."""
+    return F.when(F.greatest(na, nb) <= KEPT, F.ceil(PERCENT * (na + nb) / (100 + PERCENT))).otherwise(F.lit(needed()))
 
 
-def _least_shared(n: Column) -> Column:
-    own = F.ceil(PERCENT * n / 100)
-    return F.when(100 * n > PERCENT * KEPT, F.least(own, F.lit(needed()))).otherwise(own)
+def _promising(lists: DataFrame) -> DataFrame:
+    """The rows of lists that some partner of their list's sizes may link with from here on, in lists that hold several components."""
+    least = lists.groupBy("list").agg(F.min("n").alias("fewest"))
+    smallest = F.greatest("fewest", F.ceil(PERCENT * F.col("n") / 100))
+    return _several(lists.join(least, "list").filter(_to_share(F.col("n"), smallest) <= F.col("rest")).drop("fewest"), "own")
 
 
 def join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, n, k1, k2) and the root of every class that is linked to another (k1, k2, root)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = stored(sketches(texts), "sketches")
-    rows = found.filter("k2 is not null").select("doc_id", "n", "k1", "k2")
-    counted = found.filter("k2 is null").groupBy("k1").agg(F.sum(-F.col("n")).alias("count"))
-    most = counted.orderBy(F.desc("count"), "k1").limit(COMMON).toArrow()  # COMMON rows at most
-    common = most["k1"].to_numpy().view(np.uint64)
-    order = np.argsort(common)
-    common, places = common[order], np.arange(len(common), 0, -1)[order]
-    classes = found.filter("k2 is not null and n > 0").dropDuplicates(["k1", "k2"]).select("k1", "k2", "n", "sketch")
-    known = stored(ordered(classes, common, places), "classes")
-    waiting, roots, turn = first_lists(known), None, 0
+    rows = found.select("doc_id", "n", "k1", "k2")
+    classes = found.filter(F.size("sketch") > 0).select("k1", "k2", "n", "sketch")
+    waiting, roots, sets, turn = inverted_lists(classes), None, None, 0
+    waiting = stored(_promising(waiting), "promising")
+    listed = waiting.select("c.k1", "c.k2").distinct()
+    known = stored(classes.join(listed, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select(F.struct("k1", "k2").alias("c"), "n", "sketch"), "known")
     while waiting.head(1):
         # in the first round one class meets each list, then four times as many each time: those that are left in a list are few or much alike
         waiting = waiting.withColumn("share", F.pmod(F.xxhash64("c"), F.lit(4 ** min(turn, 15))))
-        purest = F.min(F.struct("place", F.col("c").alias("pc"), F.col("n").alias("pn"), F.col("own").alias("pown"))).alias("p")
-        first = stored(waiting.groupBy("list", "share").agg(purest, F.min(_least_shared(F.col("n"))).alias("need")).select("list", "share", "p.pc", "p.pn", "p.pown", "need"), "purest")
-        pairs = waiting.join(first.drop("share"), "list").filter(_may_link(F.col("n"), F.col("pn")) & (F.col("own") != F.col("pown")))
+        purest = F.max(F.struct((F.col("rest") - F.least(F.col("n"), F.lit(KEPT))).alias("place"), F.col("c").alias("pc"), F.col("n").alias("pn"), F.col("own").alias("pown"), F.col("rest").alias("prest"))).alias("p")
+        first = stored(waiting.groupBy("list", "share").agg(purest).select("list", "share", "p.pc", "p.pn", "p.pown", "p.prest"), "purest")
+        meets = _may_link(F.col("n"), F.col("pn")) & (F.least("rest", "prest") >= _to_share(F.col("n"), F.col("pn"))) & (F.col("own") != F.col("pown"))
+        pairs = waiting.join(first.drop("share"), "list").filter(meets)
         pairs = pairs.select(F.least("c", "pc").alias("a"), F.greatest("c", "pc").alias("b")).distinct()
         close = stored(estimated(pairs, known), "close")
-        new = stored(confirmed(close, texts), "links")
+        if turn < 2:  # the sets of the first pairs; then those of all classes that are left in lists, which later rounds take their pairs from
+            ends = close.select("a.k1", "a.k2").unionByName(close.select("b.k1", "b.k2")) if turn == 0 else waiting.select("c.k1", "c.k2")
+            sets = sets_of(texts, ends.distinct())
+        new = stored(confirmed(close, sets), "links")
         if roots is None:
             roots = stored(components(new), "roots")
         elif new.head(1):
             roots = stored(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new)), "roots")
-        need = first.groupBy("list").agg(F.min("need").alias("need"))
         left = waiting.drop("own").join(first.select("list", "share", "pc"), ["list", "share"]).filter("c != pc")
-        left = left.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("own", F.coalesce("root", "c")).select(*_LISTED)
-        waiting = _divided(stored(_several(left, "own").join(need, "list"), "left"), known)
-        turn += 1
+        left = left.join(roots.withColumnRenamed("node", "c"), "c", "left").select("list", "c", "n", "rest", F.coalesce("root", "c").alias("own"))
+        waiting, turn = stored(_promising(stored(left, "others")), "left"), turn + 1
     if roots is None:
         return rows, rows.limit(0).select("k1", "k2", F.struct("k1", "k2").alias("root"))
     return rows, roots.select("node.k1", "node.k2", "root")

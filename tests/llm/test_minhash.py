@@ -49,7 +49,7 @@ def test_equals_all_pairs(spark):
     """Sets below and above the sketch, around the threshold, with groups, chains, short and empty texts."""
     rng = random.Random(3)
     texts = ["", None, " \t", "one", "One", "one two", "two one", "one two three"]
-    for size in (4, 30, 55, 62, 66, 90, 900):
+    for size in (4, 30, 120, 250, 262, 350, 900):
         for _ in range(3):
             base = [f"w{rng.randrange(10**6)}" for _ in range(size)]
             chain = base
@@ -66,12 +66,12 @@ def test_lists_of_unlike_sets(spark):
     """A hundred documents hold one long passage without being alike, each with a copy; and thirty pairs lie around one text, few of them alike."""
     rng = random.Random(4)
     words = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
-    shared, base, texts = words(120), words(100), []
+    shared, base, texts = words(240), words(300), []
     for _ in range(100):
-        own = [*shared, *words(60)]
+        own = [*shared, *words(120)]
         texts += [" ".join(own), " ".join([*own, "more"])]
     for _ in range(30):
-        own = edited(rng, base, 7)
+        own = edited(rng, base, 20)
         texts += [" ".join(own), " ".join(edited(rng, own, 1))]
     rows = list(enumerate(texts))
     assert run(spark, rows) == sorted(plain(rows))
@@ -89,12 +89,12 @@ def test_rows_without_or_with_repeated_ids(spark):
 
 def test_needed_values():
     """A pair at the threshold falls below the bound once in 10^9 times, and the bound is the largest such one."""
-    below = lambda m: sum(comb(64, x) * 0.85**x * 0.15 ** (64 - x) for x in range(m))
+    below = lambda m: sum(comb(256, x) * 0.85**x * 0.15 ** (256 - x) for x in range(m))
     assert below(minhash.needed()) <= 1e-9 < below(minhash.needed() + 1)
 
 
 def test_least_shared():
-    for n in range(1, 80):
+    for n in range(1, 310):
         got = int(minhash.least_shared(np.array([n]))[0])
         assert 1 <= got <= min(n, minhash.KEPT)
         for m in range(-(-85 * n // 100), 100 * n // 85 + 1):
