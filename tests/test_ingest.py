@@ -138,3 +138,19 @@ def test_templates(spark):
     sheet = spark.createDataFrame([(" Arm ", "Hi   there", "On [date here]"), (" ", "x", "y"), ("B", None, "z")], "arm string, week_8 string, week_11 string")
     got = sorted(tuple(r) for r in ingest.templates_long(sheet, "English").collect())
     assert got == [("Arm", "English", 8, "Hi there", False), ("Arm", "English", 11, "On [date here]", True), ("B", "English", 11, "z", False)]
+
+
+def test_new_files_by_ledger_rows_of_other_events(spark, tmp_path):
+    """Two events of a device in one second have one path: the later's ledger row, a step older, is the earlier file's."""
+    import duckdb
+
+    from fieldmart.plans import registry
+
+    at = datetime.datetime(2024, 1, 1, 10, 0, 0)
+    events = spark.createDataFrame([(20, at, 5), (21, at, 5), (24, at, 6)], "event_id long, ts timestamp_ntz, user_id long")
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    found = {r.last_modified for r in registry.QUERIES["incremental_new_files"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    stated = {r[1] for r in con.execute(registry.ORACLE_SQL["incremental_new_files"]).fetchall()}
+    assert found == stated == {21}
