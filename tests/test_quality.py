@@ -142,3 +142,21 @@ def test_no_pair_check_is_a_nested_loop(spark):
     for pairs in (quality.similar_phone_pairs(rows), quality.similar_names(rows)):
         plan = pairs._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_rows_are_judged_once_and_stored_narrow(spark):
+    """What every check reads again has the true checks as numbers, and none of the survey's text that only they need."""
+    df = frame(spark, [("1", "07/01/2026 10:00:00", "2"), ("150", "07/01/2026 10:00:00", "9")], respondants_age=1, starttime=1, client_sex=1)
+    rows = quality.judged(df, AS_OF)
+    assert not {"starttime", "respondants_age", "client_sex", "start", "minutes"} & set(rows.columns)
+    of = lambda r: sorted((x.check, x.row_id) for x in quality.row_issues(r, df.columns).collect())
+    assert of(rows) == of(quality.prepared(df, AS_OF)) != []
+
+
+def test_first_examples_of_groups_of_any_size(spark):
+    rows = [(g, None if g == "none" else "s", i) for g, ids in {"one": [7], "same": [4] * 9, "many": range(3000, 0, -1), "none": range(10, 20)}.items() for i in ids]
+    df = spark.createDataFrame(rows, "check string, site string, row_id long")
+    found = quality._first(df, ["check", "site"], 5).collect()
+    by = {g: sorted(r.row_id for r in found if r.check == g) for g in ("one", "same", "many", "none")}
+    assert by == {"one": [7], "same": [4] * 5, "many": [1, 2, 3, 4, 5], "none": [10, 11, 12, 13, 14]}
+    assert sorted(r.place for r in found if r.check == "many") == [1, 2, 3, 4, 5]
