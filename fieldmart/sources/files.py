@@ -53,45 +53,88 @@ class Landing:
         return self.rows.select("file_path", *[cell(c) for c in (self.names() if columns is None else columns)])
 
 
+class Kind:
+    """What the type of a column of text is taken from, batch by batch."""
+
+    def __init__(self) -> None:
+        self.blank, self.some, self.whole, self.number, self.truth = False, False, True, True, True
+
+    def see(self, values: pa.ChunkedArray | pa.Array) -> None:
+        text = pc.utf8_trim_whitespace(values)
+        some = text.filter(pc.not_equal(text, ""))
+        self.blank |= len(some) < len(text)
+        if len(some):
+            self.some = True
+            self.whole = self.whole and pc.all(pc.match_substring_regex(some, _WHOLE)).as_py()
+            self.number = self.number and pc.all(pc.match_substring_regex(some, _NUMBER)).as_py()
+            self.truth = self.truth and pc.all(pc.is_in(some, pa.array(["True", "False", "TRUE", "FALSE", "true", "false"]))).as_py()
+
+    def name(self) -> str:
+        if not self.some:
+            return "float64"
+        if self.whole:
+            return "float64" if self.blank else "int64"
+        if self.number:
+            return "float64"
+        return "bool" if self.truth and not self.blank else "object"
+
+
 def inferred(values: pa.ChunkedArray | pa.Array) -> str:
     """The type of a column of text: int64, float64 (numbers with fractions or blanks, and blanks alone), bool or object."""
-    text = pc.utf8_trim_whitespace(values)
-    some = text.filter(pc.not_equal(text, ""))
-    if not len(some):
-        return "float64"
-    if pc.all(pc.match_substring_regex(some, _WHOLE)).as_py():
-        return "int64" if len(some) == len(text) else "float64"
-    if pc.all(pc.match_substring_regex(some, _NUMBER)).as_py():
-        return "float64"
-    return "bool" if len(some) == len(text) and pc.all(pc.is_in(some, pa.array(["True", "False", "TRUE", "FALSE", "true", "false"]))).as_py() else "object"
+    kind = Kind()
+    kind.see(values)
+    return kind.name()
 
 
-def parsed(content: bytes) -> pa.Table:
-    """All columns as text, blanks as ''. Raises on rows of another length than the header, bad text, an empty file and repeated names."""
-    names = csv.open_csv(io.BytesIO(content), parse_options=csv.ParseOptions(newlines_in_values=True)).schema.names
+def _parts(content: bytes | pa.Buffer) -> tuple[list[str], Iterator[pa.RecordBatch]]:
+    """Names, and all columns as text, blanks as '', block by block. Either raises on what ``parsed`` says."""
+    parse = csv.ParseOptions(newlines_in_values=True)
+    # no threads: they read ahead of what is taken
+    one = csv.ReadOptions(use_threads=False, block_size=BLOCK)
+    names = csv.open_csv(pa.BufferReader(content), read_options=one, parse_options=parse).schema.names
     if len(set(names)) != len(names):
         raise ValueError("repeated column names")
     options = csv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()), strings_can_be_null=False)
-    return csv.read_csv(io.BytesIO(content), parse_options=csv.ParseOptions(newlines_in_values=True), convert_options=options)
+    return names, iter(csv.open_csv(pa.BufferReader(content), read_options=one, parse_options=parse, convert_options=options))
+
+
+def parsed(content: bytes) -> pa.Table:
+    """All columns as text, blanks as ''. Raises on rows of another length than the header, bad text, an empty file and repeated names."""
+    names, parts = _parts(content)
+    return pa.Table.from_batches(list(parts), pa.schema([(c, pa.string()) for c in names]))
+
+
+#: Bytes that are parsed at a time; a row must fit.
+BLOCK = 1 << 20
+
+
 
 
-def _batches(path: str, modified: pa.Scalar, content: bytes, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _batches(path: str, modified: pa.Scalar, content: bytes | pa.Buffer, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """A file's head, then its rows. It is gone through twice, block by block: whether it loads is known at its end, and its rows are never held together."""
+    n_rows, kinds, error = 0, None, None
     try:
-        table, error = parsed(content), None
+        names, parts = _parts(content)
+        seen = [Kind() for _ in names]
+        for part in parts:
+            n_rows += part.num_rows
+            for kind, column in zip(seen, part.columns, strict=True):
+                kind.see(column)
+        kinds = [{"column": c, "dtype": kind.name()} for c, kind in zip(names, seen, strict=True)]
     except (pa.ArrowException, ValueError) as problem:
-        table, error = None, f"{type(problem).__name__}: {problem}"
-    kinds = None if table is None else [{"column": c, "dtype": inferred(table.column(c))} for c in table.column_names]
-    head = {"file_path": path, "last_modified": modified.as_py(), "error": error, "n_rows": 0 if table is None else table.num_rows, "columns": kinds, "line": None, "cells": None}
+        n_rows, error = 0, f"{type(problem).__name__}: {problem}"
+    head = {"file_path": path, "last_modified": modified.as_py(), "error": error, "n_rows": n_rows, "columns": kinds, "line": None, "cells": None}
     yield pa.RecordBatch.from_pylist([head], schema)
     at = 0
-    for part in [] if table is None else table.to_batches(max_chunksize=10_000):
-        n, width = part.num_rows, part.num_columns
-        by_row = pa.array((np.arange(n)[:, None] + n * np.arange(width)).ravel())
-        keys = pa.array(part.schema.names, pa.string()).take(pa.array(np.tile(np.arange(width), n)))
-        cells = pa.MapArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), keys, pa.concat_arrays(part.columns).take(by_row))
-        none = [pa.nulls(n, schema.field(i).type) for i in range(1, 5)]
-        yield pa.RecordBatch.from_arrays([pa.array([path] * n, pa.string()), *none, pa.array(np.arange(at + 1, at + n + 1)), cells], schema=schema)
-        at += n
+    for block in () if error else _parts(content)[1]:
+        for part in (block.slice(i, 10_000) for i in range(0, block.num_rows, 10_000)):
+            n, width = part.num_rows, part.num_columns
+            by_row = pa.array((np.arange(n)[:, None] + n * np.arange(width)).ravel())
+            keys = pa.array(part.schema.names, pa.string()).take(pa.array(np.tile(np.arange(width), n)))
+            cells = pa.MapArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), keys, pa.concat_arrays(part.columns).take(by_row))
+            none = [pa.nulls(n, schema.field(i).type) for i in range(1, 5)]
+            yield pa.RecordBatch.from_arrays([pa.array([path] * n, pa.string()), *none, pa.array(np.arange(at + 1, at + n + 1)), cells], schema=schema)
+            at += n
 
 
 #: The columns of files that ``landing_of`` takes, as Spark's reader of whole files gives them.
@@ -133,7 +176,7 @@ def landing_of(found: DataFrame, opened: Accumulator | None = None, listed: Data
             for path, modified, content in zip(*batch.columns, strict=True):
                 if opened is not None:
                     opened.add(1)
-                yield from _batches(path.as_py(), modified, content.as_py() or b"", schema)
+                yield from _batches(path.as_py(), modified, content.as_buffer() or b"", schema)
 
     folder = shared_folder(spark, "landing")
     landed = found.mapInArrow(run, _LANDED).withColumn("kind", F.when(F.col("line").isNull(), "file").otherwise("row"))

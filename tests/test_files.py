@@ -133,3 +133,24 @@ def test_template_folder(spark, tmp_path):
     write(tmp_path / "in", "Luganda.csv", "Arm name,8,11\nB,,z\n")
     got = sorted(tuple(r) for r in ingest.templates_long(files.template_sheets(spark, str(tmp_path / "in"))).collect())
     assert got == [("A", "English", 8, "Hi there", False), ("A", "English", 11, "On [date here]", True), ("B", "Luganda", 11, "z", False)]
+
+
+def test_rows_of_a_file_are_never_held_together():
+    """Arrow's memory at its peak stays the same for a file of ten times the rows."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = """
+import sys
+import pyarrow as pa
+from fieldmart.sources import files
+text = ("id,name\\n" + "".join(f"{i},some name of a row\\n" for i in range(int(sys.argv[1])))).encode()
+fields = [("file_path", pa.string()), ("last_modified", pa.timestamp("us", "UTC")), ("error", pa.string()), ("n_rows", pa.int64()), ("columns", pa.list_(pa.struct([("column", pa.string()), ("dtype", pa.string())]))), ("line", pa.int64()), ("cells", pa.map_(pa.string(), pa.string()))]
+rows = sum(b.num_rows for b in files._batches("p", pa.scalar(None, fields[1][1]), text, pa.schema(fields)))
+print(rows, pa.default_memory_pool().max_memory())
+"""
+    run = lambda n: [int(x) for x in subprocess.run([sys.executable, "-c", code, str(n)], cwd=Path(__file__).parents[1], capture_output=True, text=True, check=True).stdout.split()]
+    (few, least), (many, most) = run(100_000), run(1_000_000)
+    assert (few, many) == (100_001, 1_000_001)
+    assert most < 2 * least
