@@ -5,31 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldmart.llm import decontaminate, jaccard, mixing, passages, toxicity
-from fieldmart.llm.common import stored
+from fieldmart.llm.common import small_batches, stored
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go."""
+    small_batches(spark)
     return toxicity.clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that n-gram Jaccard links join, the one with the least doc_id stays."""
+    small_batches(spark)
     return jaccard.clean(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that other documents hold are cut from all but one."""
+    small_batches(spark)
     return passages.clean(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
+    small_batches(spark)
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes words of, as they are by now, with how many and in how many whole epochs."""
+    small_batches(spark)
     return mixing.mix(docs, whole=True).filter("taken > 0")
 
 

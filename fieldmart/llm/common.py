@@ -69,6 +69,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a batch of rows that goes to a Python worker at most, one row if it is longer.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches for Python of this session from now on end at BATCH_BYTES, unless it has a bound of its own.
+
+    By rows alone a batch of long texts has tens of MB, which every copy in the executor and in each worker multiplies.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.conf.get(name, None):
+        spark.conf.set(name, BATCH_BYTES)
+
+
 def documents_only(docs: DataFrame) -> DataFrame:
     """doc_id, text and source (null where absent) of a table with any further columns."""
     source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")

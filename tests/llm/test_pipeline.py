@@ -6,6 +6,7 @@ import math
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fieldmart.llm import mixing, toxicity
@@ -51,6 +52,22 @@ def test_fit_equals_a_plain_ftrl():
     assert dict(zip(at.tolist(), weights.tolist(), strict=True)) == pytest.approx(expected)
 
 
+def test_batches_for_python_are_bounded(spark):
+    """By rows alone 1,000 texts of 30 KB would be one batch of 30 MB."""
+    import corpus_pipeline
+    from fieldmart.llm.common import BATCH_BYTES
+
+    docs = spark.range(1000).selectExpr("id AS doc_id", "repeat('word ', 6000) AS text").coalesce(1)
+    corpus_pipeline.near_copies(spark, docs.limit(0), FOLDER)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], ["n"])
+
+    found = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) >= 30_000_000 and max(found) <= BATCH_BYTES + 100_000
+
+
 def test_stages_against_brute_force(spark):
     import corpus_pipeline
 
