@@ -59,6 +59,23 @@ def test_marts_are_built_in_order(spark, tmp_path):
         publish.build_marts({"no name": silver}, folder)
 
 
+def test_marts_derive_silver_once(spark, monkeypatch):
+    """Three marts are written, but every landed row is read once."""
+    from fieldmart.plans import written
+
+    rows = written.demo.landed(spark, "/root/testdata/sf0.001")
+    seen, n = spark.sparkContext.accumulator(0), rows.count()
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(written.demo, "landed", lambda *_: rows.mapInArrow(counted, rows.schema))
+    assert written.QUERIES["marts_with_audit"](spark, "/root/testdata/sf0.001").count() == 3
+    assert seen.value == n
+
+
 def test_run_audit_appends(spark, tmp_path):
     folder, at = str(tmp_path / "audit"), datetime.datetime(2026, 3, 1, 12)
     publish.run_audit(spark, "r1", "silver", 7, at, folder)
