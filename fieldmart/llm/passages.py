@@ -142,6 +142,8 @@ def shingles(texts: DataFrame, slots: np.ndarray) -> DataFrame:
 
 def _longest(match: np.ndarray, least: int, cost: int) -> tuple[int, int] | None:
     """The longest range of at least ``least`` places with ``cost`` matches or more for every place without."""
+    if np.count_nonzero(match) * (cost + 1) < least * cost:
+        return None
     total = np.concatenate([[0], np.cumsum(np.where(match, 1, -cost))])
     lowest = np.minimum.accumulate(total)
     begin = np.searchsorted(-lowest, -total, "left")
@@ -156,23 +158,33 @@ _COSTS = (2 * PERCENT // (100 - PERCENT), 9, 15, 30, 1 << 30)
 def alike(a: np.ndarray, b: np.ndarray, least: int) -> list[tuple[int, int, int, int]]:
     """Ranges (a0, a1, b0, b1) of shingles with PERCENT in common, long ones first, then what is left on either side."""
     out: list[tuple[int, int, int, int]] = []
-    waiting = [(0, len(a))] if len(b) >= least else []
+    if min(len(a), len(b)) < least:
+        return out
+    # small numbers in place of hashes: sorted once, then all sets are tables
+    value, code = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = code[: len(a)], code[len(a) :]
+
+    def table(codes: np.ndarray) -> np.ndarray:
+        has = np.zeros(len(value), bool)
+        has[codes] = True
+        return has
+
+    matches, waiting = table(b)[a], [(0, len(a))]
     while waiting:
         low, high = waiting.pop()
         if high - low < least:
             continue
-        match = np.isin(a[low:high], b)
         for cost in _COSTS:
-            found = _longest(match, least, cost)
+            found = _longest(matches[low:high], least, cost)
             if found is None:
                 continue
             a0, a1 = low + found[0], low + found[1]
-            inside = _longest(np.isin(b, a[a0:a1]), least, cost)
+            x = table(a[a0:a1])
+            inside = _longest(x[b], least, cost)
             if inside is None:
                 continue
-            x, y = np.unique(a[a0:a1]), np.unique(b[slice(*inside)])
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * both >= PERCENT * (len(x) + len(y) - both):
+            y = table(b[slice(*inside)])
+            if 100 * np.count_nonzero(x & y) >= PERCENT * np.count_nonzero(x | y):
                 out.append((a0, a1, *inside))
                 waiting += [(low, a0), (a1, high)]
                 break
@@ -181,9 +193,8 @@ def alike(a: np.ndarray, b: np.ndarray, least: int) -> list[tuple[int, int, int,
 
 def _merged(hits: np.ndarray) -> list[tuple[int, int, int, int, list[int]]]:
     """Intervals (a0, a1, b0, b1) of windows that overlap at about the same offset, with the places that they met at in b."""
-    hits = np.unique(hits, axis=0)
     out: list[list] = []
-    for a0, a1, b0, b1, ca, cb in hits[np.lexsort((hits[:, 0], hits[:, 5] - hits[:, 4]))].tolist():
+    for a0, a1, b0, b1, ca, cb in hits[np.lexsort((*hits.T[::-1], hits[:, 5] - hits[:, 4]))].tolist():
         last = out[-1] if out else None
         if last and cb - ca - last[4] <= DRIFT and a0 <= last[1] + DRIFT and a1 >= last[0] - DRIFT:
             out[-1] = [min(a0, last[0]), max(a1, last[1]), min(b0, last[2]), max(b1, last[3]), cb - ca, [*last[5], cb]]

@@ -418,3 +418,22 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, folder)
     assert out.count() > 50 and len(corpus_pipeline.STAGES) == 5
     assert set(registry.ORACLE_SQL) <= set(registry.QUERIES)
+
+
+def test_alike_sorts_the_shingles_of_a_pair_once(monkeypatch):
+    """However many passages two texts share, their shingles are sorted once; likeness is as counted with Python's sets."""
+    import numpy as np
+
+    from fieldmart.llm import passages
+
+    rng, calls, unique = np.random.default_rng(6), [], np.unique
+    fresh = lambda n: rng.integers(0, 1 << 62, n)
+    parts = [fresh(60) for _ in range(4)]
+    a = np.concatenate([x for p in parts for x in (p, fresh(90))])
+    b = np.concatenate([x for p in parts[::-1] for x in (fresh(70), p)])
+    monkeypatch.setattr(np, "unique", lambda *x, **y: calls.append(1) or unique(*x, **y))
+    found = passages.alike(a, b, 46)
+    assert len(calls) == 1 and len(found) == 4
+    for a0, a1, b0, b1 in found:
+        x, y = set(a[a0:a1].tolist()), set(b[b0:b1].tolist())
+        assert 100 * len(x & y) >= 75 * len(x | y)
