@@ -10,8 +10,9 @@ A link needs NEEDED values of a full union sketch in common; a pair that reaches
 sets are their own sketches nothing is estimated, and sizes alone say how many values they must share.
 
 Lists of many near copies stay linear: each list first meets only one class, the purest (whose listed value comes first in its own order: of
-near copies, the original). Links are closed to components; lists whose classes all are in one component are done. In the others those
-classes leave, and more meet the list each round. Two classes whose first shared value leaves too few behind it can't link and don't meet, and
+near copies, the original). Links are closed to components; lists whose classes all are in one component are done. The classes of the others are listed
+anew by their whole sets, counted among themselves: there a link leaves out no more than its share of a set, where a sketch must allow for chance, so that sets
+which have more than that to themselves meet nobody. In these lists the purest classes leave, and more meet the list each round. Two classes whose first shared value leaves too few behind it can't link and don't meet, and
 what can't link with any size in its list leaves it. Nothing is capped: rounds end when no list is left.
 """
 
@@ -52,9 +53,11 @@ def needed(kept: int = KEPT) -> int:
     return kept
 
 
-def least_shared(n: np.ndarray) -> np.ndarray:
-    """Of the sketch of a set of n shingles, how many values a partner at the threshold shares at least."""
+def least_shared(n: np.ndarray, whole: bool = False) -> np.ndarray:
+    """Of the sketch of a set of n shingles, or of the whole set, how many values a partner at the threshold shares at least."""
     own = -(-PERCENT * n // 100)
+    if whole:
+        return own
     return np.where(100 * n > PERCENT * KEPT, np.minimum(own, needed()), own)
 
 
@@ -165,10 +168,10 @@ def _several(lists: DataFrame, of: str) -> DataFrame:
     return lists.join(mixed_, "list")
 
 
-def inverted_lists(classes: DataFrame) -> DataFrame:
+def inverted_lists(classes: DataFrame, whole: bool = False) -> DataFrame:
     """list, c, n, rest, own: of each sketch, in the global order, the first values, so far as a link needs them, with how many there are from each on; lists of several classes only.
 
-    A class that several batches have counts for each of them, which moves its values in the order for all.
+    A class that several batches have counts for each of them, which moves its values in the order for all. whole: the sketches are whole sets.
     """
     counts = classes.select(F.explode("sketch").alias("value")).groupBy("value").count().filter(F.col("count") >= LEVELS[0])
     counts = stored(counts, "counts")
@@ -181,7 +184,7 @@ def inverted_lists(classes: DataFrame) -> DataFrame:
             begin = begin - begin[0]
             level = sum((in_slots(b, values).astype(np.int64) for b in bitmaps.value), np.zeros(len(values), np.int64))
             order = np.lexsort((values.view(np.uint64), level, np.repeat(np.arange(len(n)), np.diff(begin))))
-            prefix = np.diff(begin) - least_shared(n) + 1
+            prefix = np.diff(begin) - least_shared(n, whole) + 1
             at, bounds = _heads(begin, prefix)
             rest = np.repeat(np.diff(begin) + bounds[:-1], prefix) - np.arange(len(at))
             kept = level[order[at]] > 0
@@ -192,16 +195,23 @@ def inverted_lists(classes: DataFrame) -> DataFrame:
     return stored(_several(rows, "c").withColumn("own", F.col("c")), "lists")
 
 
-def _to_share(na: Column, nb: Column) -> Column:
-    """The least number of retained values that two classes of these sizes share if they link."""
-    return F.when(F.greatest(na, nb) <= KEPT, F.ceil(PERCENT * (na + nb) / (100 + PERCENT))).otherwise(F.lit(needed()))
+def _to_share(na: Column, nb: Column, whole: bool) -> Column:
+    """The least number of retained values, or of all, that two classes of these sizes share if they link."""
+    exact = F.ceil(PERCENT * (na + nb) / (100 + PERCENT))
+    return exact if whole else F.when(F.greatest(na, nb) <= KEPT, exact).otherwise(F.lit(needed()))
 
 
-def _promising(lists: DataFrame) -> DataFrame:
+def _placed(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """The lists with the component of each class, stored."""
+    placed = lists.join(roots.withColumnRenamed("node", "c"), "c", "left").select("list", "c", "n", "rest", F.coalesce("root", "c").alias("own"))
+    return stored(placed, "placed")
+
+
+def _promising(lists: DataFrame, whole: bool) -> DataFrame:
     """The rows of lists that some partner of their list's sizes may link with from here on, in lists that hold several components."""
     least = lists.groupBy("list").agg(F.min("n").alias("fewest"))
     smallest = F.greatest("fewest", F.ceil(PERCENT * F.col("n") / 100))
-    return _several(lists.join(least, "list").filter(_to_share(F.col("n"), smallest) <= F.col("rest")).drop("fewest"), "own")
+    return _several(lists.join(least, "list").filter(_to_share(F.col("n"), smallest, whole) <= F.col("rest")).drop("fewest"), "own")
 
 
 def join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -211,29 +221,33 @@ def join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = found.select("doc_id", "n", "k1", "k2")
     classes = found.filter(F.size("sketch") > 0).select("k1", "k2", "n", "sketch")
     waiting, roots, sets, turn = inverted_lists(classes), None, None, 0
-    waiting = stored(_promising(waiting), "promising")
+    waiting = stored(_promising(waiting, False), "promising")
     listed = waiting.select("c.k1", "c.k2").distinct()
     known = stored(classes.join(listed, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select(F.struct("k1", "k2").alias("c"), "n", "sketch"), "known")
     while waiting.head(1):
+        whole = turn > 0
         # in the first round one class meets each list, then four times as many each time: those that are left in a list are few or much alike
         waiting = waiting.withColumn("share", F.pmod(F.xxhash64("c"), F.lit(4 ** min(turn, 15))))
-        purest = F.max(F.struct((F.col("rest") - F.least(F.col("n"), F.lit(KEPT))).alias("place"), F.col("c").alias("pc"), F.col("n").alias("pn"), F.col("own").alias("pown"), F.col("rest").alias("prest"))).alias("p")
+        purest = F.max(F.struct((F.col("rest") - (F.col("n") if whole else F.least(F.col("n"), F.lit(KEPT)))).alias("place"), F.col("c").alias("pc"), F.col("n").alias("pn"), F.col("own").alias("pown"), F.col("rest").alias("prest"))).alias("p")
         first = stored(waiting.groupBy("list", "share").agg(purest).select("list", "share", "p.pc", "p.pn", "p.pown", "p.prest"), "purest")
-        meets = _may_link(F.col("n"), F.col("pn")) & (F.least("rest", "prest") >= _to_share(F.col("n"), F.col("pn"))) & (F.col("own") != F.col("pown"))
+        meets = _may_link(F.col("n"), F.col("pn")) & (F.least("rest", "prest") >= _to_share(F.col("n"), F.col("pn"), whole)) & (F.col("own") != F.col("pown"))
         pairs = waiting.join(first.drop("share"), "list").filter(meets)
         pairs = pairs.select(F.least("c", "pc").alias("a"), F.greatest("c", "pc").alias("b")).distinct()
         close = stored(estimated(pairs, known), "close")
-        if turn < 2:  # the sets of the first pairs; then those of all classes that are left in lists, which later rounds take their pairs from
-            ends = close.select("a.k1", "a.k2").unionByName(close.select("b.k1", "b.k2")) if turn == 0 else waiting.select("c.k1", "c.k2")
-            sets = sets_of(texts, ends.distinct())
+        if not whole:
+            sets = sets_of(texts, close.select("a.k1", "a.k2").unionByName(close.select("b.k1", "b.k2")).distinct())
         new = stored(confirmed(close, sets), "links")
         if roots is None:
             roots = stored(components(new), "roots")
         elif new.head(1):
             roots = stored(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new)), "roots")
         left = waiting.drop("own").join(first.select("list", "share", "pc"), ["list", "share"]).filter("c != pc")
-        left = left.join(roots.withColumnRenamed("node", "c"), "c", "left").select("list", "c", "n", "rest", F.coalesce("root", "c").alias("own"))
-        waiting, turn = stored(_promising(stored(left, "others")), "left"), turn + 1
+        waiting, turn = stored(_promising(_placed(left, roots), whole), "left"), turn + 1
+        if not whole and waiting.head(1):
+            # whoever may still link is in one of these lists; later rounds take their pairs from these classes
+            sets = sets_of(texts, waiting.select("c.k1", "c.k2").distinct())
+            lists = inverted_lists(sets.select("c.k1", "c.k2", F.size("grams").cast("long").alias("n"), F.col("grams").alias("sketch")), True)
+            waiting = stored(_promising(_placed(lists.drop("own"), roots), True), "left")
     if roots is None:
         return rows, rows.limit(0).select("k1", "k2", F.struct("k1", "k2").alias("root"))
     return rows, roots.select("node.k1", "node.k2", "root")

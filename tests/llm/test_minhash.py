@@ -100,3 +100,21 @@ def test_least_shared():
         for m in range(-(-85 * n // 100), 100 * n // 85 + 1):
             if max(n, m) <= minhash.KEPT:
                 assert got <= min(x for x in range(min(n, m) + 1) if 185 * x >= 85 * (n + m))
+
+
+def test_variants_around_one_text(spark, monkeypatch):
+    """Variants of one text that share enough of their sketches to meet, but none enough to link: they are not compared with one another."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**9)}" for _ in range(400)]
+    texts = []
+    for _ in range(60):
+        own = list(base)
+        for i in rng.sample(range(0, 400, 5), 26):
+            own[i] = f"e{rng.randrange(10**9)}"
+        texts.append(" ".join(own))
+    compared, estimated = [], minhash.estimated
+    monkeypatch.setattr(minhash, "estimated", lambda pairs, known: compared.append(pairs.count()) or estimated(pairs, known))
+    rows = list(enumerate(texts))
+    assert run(spark, rows) == sorted(plain(rows))
+    # all pairs are 1770
+    assert sum(compared) < 300
