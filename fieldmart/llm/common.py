@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -69,6 +70,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Collects the driver's garbage after a round.
+
+    Only then does Spark delete the shuffle files and broadcasts of what nobody holds any more, and the heap shrink again,
+    which many small jobs would otherwise let grow to its bound.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: Bytes of a batch of rows that goes to a Python worker at most, one row if it is longer.
 BATCH_BYTES = 4 << 20
 

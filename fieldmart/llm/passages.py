@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_slots, slot_bitmap, stored
+from .common import in_slots, let_go, maybe_in, slot_bitmap, stored
 from .text import ALNUM, U, chunks, grams, mixed
 
 SHINGLE = 5
@@ -37,6 +37,8 @@ PERCENT = 75
 DRIFT = 16
 #: One in so many of a group's shingles, by a hash of both, may form a new group of what its least member is unlike.
 ONE_IN = 4
+#: Windows or runs that a task packs together.
+BLOCKS = 1 << 19
 _LEVELS = 6
 
 
@@ -90,13 +92,67 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"))
 
 
-def windows(texts: DataFrame, least: int) -> DataFrame:
-    """bucket, k1, k2, c, before, after of the windows of every text, once for each batch that holds it."""
+def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """values cut at ends, a binary for each piece."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+#: Rows packed by _blocks; a row has some ints, each byte of which has a column of its own.
+_BINARIES = ["keys", "counts", "buckets"]
+
+
+def _packed_type(ints: int) -> str:
+    return "part int, " + ", ".join(f"{x} binary" for x in (*_BINARIES, *(f"b{i}" for i in range(4 * ints))))
+
+
+def _blocks(parts: int, keys: np.ndarray, bucket: np.ndarray, owner: np.ndarray, ints: np.ndarray) -> pa.RecordBatch:
+    """Rows packed by the part of their bucket: keys of their texts with the number of rows, buckets, and the bytes of the ints one by one, so that they compress."""
+    part = (bucket >> U(32)) % U(parts)
+    order = np.argsort((part << U(32)) | owner.astype(np.uint64), kind="stable")
+    part, owner = part[order], owner[order]
+    cut = lambda x: np.concatenate([[0], np.flatnonzero(x[1:] != x[:-1]) + 1, [len(x)]])
+    ends = cut(part)
+    texts = np.union1d(ends, cut(owner))
+    at = np.searchsorted(texts, ends)
+    columns = [_binary(keys[owner[texts[:-1]]].view(np.void(16).dtype).ravel(), at), _binary(np.diff(texts).astype(np.int32), at), _binary(bucket[order], ends)]
+    planes = [_binary(x, ends) for x in np.ascontiguousarray(ints[order].astype(np.int32).view(np.uint8).T)]
+    return pa.record_batch([pa.array(part[ends[:-1]].astype(np.int32)), *columns, *planes], ["part", *_BINARIES, *(f"b{i}" for i in range(len(planes)))])
+
+
+def _met_again(batches: Iterator[pa.RecordBatch], ints: int) -> tuple[np.ndarray, np.ndarray]:
+    """The packed rows (bucket, k1, k2, ints) whose bucket several texts have, each once and in order, and the row of the least of its bucket."""
+    blocks = list(batches)
+    joined = lambda name, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for b in blocks for x in b.column(name).to_pylist())])
+    bucket = joined("buckets", np.int64)
+    order = np.argsort(bucket)
+    same = bucket[order[1:]] == bucket[order[:-1]]
+    order = order[np.append(False, same)[: len(order)] | np.append(same, False)[: len(order)]]
+    if not len(order):
+        return np.zeros((3 + ints, 0), np.int64), np.zeros(0, np.int64)
+    count = joined("counts", np.int32)
+    k1, k2 = joined("keys", np.int64).reshape(-1, 2)[np.repeat(np.arange(len(count)), count)[order]].T
+    values = np.stack([joined(f"b{i}", np.uint8)[order] for i in range(4 * ints)], 1).view(np.int32)
+    rows = np.stack([bucket[order], k1, k2, *values.T])
+    # a text and a place in it have one row of a bucket
+    rows = rows[:, np.lexsort(rows[3::-1])]
+    differ = rows[:4, 1:] != rows[:4, :-1]
+    first = np.append(True, differ[0])
+    group = np.cumsum(first) - 1
+    several = np.zeros(group[-1] + 1, bool)
+    several[group[1:][differ[1:3].any(0) & ~differ[0]]] = True
+    keep = np.flatnonzero(np.append(True, differ.any(0)) & several[group])
+    place = np.full(rows.shape[1], -1)
+    place[keep] = np.arange(len(keep))
+    return rows[:, keep], place[np.flatnonzero(first)[group[keep]]]
+
+
+def windows(texts: DataFrame, least: int, parts: int) -> DataFrame:
+    """The windows of every text, once for each batch that holds it, in blocks (see _blocks) of at most about BLOCKS windows together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, n, total = [], 0, 0
         for batch in batches:
-            k1, k2 = (batch.column(c).to_numpy() for c in ("k1", "k2"))
-            keys = np.stack([k1, k2], 1)
+            keys = np.stack([batch.column(c).to_numpy() for c in ("k1", "k2")], 1)
             new = np.zeros(len(keys), bool)
             new[np.unique(keys, axis=0, return_index=True)[1]] = True
             for chunk in chunks(batch.column("text").filter(pa.array(new))):
@@ -104,21 +160,55 @@ def windows(texts: DataFrame, least: int) -> DataFrame:
                 words = chunk.words(ALNUM)
                 got, _, begin = grams(words.hashes(), words.first, SHINGLE)
                 owner = np.repeat(np.arange(len(rows)), np.diff(begin))
-                out = []
                 for f in range(FUNCTIONS):
                     c, left, right = compact_windows(mixed(got ^ U(0x9E3779B97F4A7C15 * (f + 1) & (1 << 64) - 1)), begin, least)
                     for beside in (-ANCHOR, ANCHOR):
                         at = c + beside
                         ok = (at >= left) & (at <= right)
+                        mid, at, doc = c[ok], at[ok], owner[c[ok]]
                         with np.errstate(over="ignore"):
-                            bucket = mixed(got[c[ok]] + got[at[ok]] * U(3) + U(beside > 0))
-                        bucket = ((bucket >> U(2) << U(2)) | U(f)).view(np.int64)
-                        out.append((bucket, owner[c[ok]], c[ok], left[ok], right[ok]))
-                bucket, doc, c, left, right = (np.concatenate(x) for x in zip(*out, strict=True))
-                arrays = [bucket, k1[rows[doc]], k2[rows[doc]], (c - begin[doc]).astype(np.int32), (c - left).astype(np.int32), (right - c).astype(np.int32)]
-                yield pa.record_batch([pa.array(x) for x in arrays], ["bucket", "k1", "k2", "c", "before", "after"])
+                            bucket = mixed(got[mid] + got[at] * U(3) + U(beside > 0))
+                        places = np.stack([mid - begin[doc], mid - left[ok], right[ok] - mid], 1).astype(np.int32)
+                        waiting.append((bucket >> U(2) << U(2) | U(f), doc + n, places))
+                        total += len(mid)
+                waiting.append(keys[rows])
+                n += len(rows)
+                if total >= BLOCKS:
+                    yield packed(waiting)
+                    waiting, n, total = [], 0, 0
+        if total:
+            yield packed(waiting)
+
+    def packed(waiting: list) -> pa.RecordBatch:
+        keys = np.concatenate([x for x in waiting if not isinstance(x, tuple)])
+        return _blocks(parts, keys, *(np.concatenate(x) for x in zip(*(x for x in waiting if isinstance(x, tuple)), strict=True)))
+
+    return texts.select("text", "k1", "k2").mapInArrow(run, _packed_type(3))
+
+
+def _parts(df: DataFrame) -> int:
+    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 << 16)
+
+
+def shared_windows(texts: DataFrame, least: int) -> DataFrame:
+    """bucket, c, w, p of the windows whose bucket several texts have, each once; p has c and w of the bucket's least.
 
-    return texts.select("text", "k1", "k2").mapInArrow(run, "bucket long, k1 long, k2 long, c int, before int, after int")
+    A task has all windows of its buckets, packed; only those of buckets that hold several windows are unpacked.
+    """
+    names = ["bucket", "k1", "k2", "at", "before", "after", "p1", "p2", "pat", "pbefore", "pafter"]
+    kinds = ["int" if x.endswith(("at", "before", "after")) else "long" for x in names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, least_of = _met_again(batches, 3)
+        for lo in range(0, rows.shape[1], 1 << 16):
+            own = slice(lo, lo + (1 << 16))
+            columns = [*rows[:, own], *rows[1:, least_of[own]]]
+            yield pa.record_batch([pa.array(x, pa.int64()).cast(pa.int32() if k == "int" else pa.int64()) for x, k in zip(columns, kinds, strict=True)], names)
+
+    packed = windows(texts, least, _parts(texts)).repartitionById(_parts(texts), F.col("part"))
+    got = packed.mapInArrow(run, ", ".join(map(" ".join, zip(names, kinds, strict=True))))
+    side = lambda k1, k2, at, before, after: [F.struct(F.col(k1).alias("k1"), F.col(k2).alias("k2")).alias("c"), F.struct(F.col(at).alias("c"), F.col(before).alias("before"), F.col(after).alias("after")).alias("w")]
+    return got.select("bucket", *side(*names[1:6]), F.struct(*side(*names[6:])).alias("p"))
 
 
 def shingles(texts: DataFrame, slots: np.ndarray) -> DataFrame:
@@ -194,10 +284,14 @@ def alike(a: np.ndarray, b: np.ndarray, least: int) -> list[tuple[int, int, int,
 def _merged(hits: np.ndarray) -> list[tuple[int, int, int, int, list[int]]]:
     """Intervals (a0, a1, b0, b1) of windows that overlap at about the same offset, with the places that they met at in b."""
     out: list[list] = []
-    for a0, a1, b0, b1, ca, cb in hits[np.lexsort((*hits.T[::-1], hits[:, 5] - hits[:, 4]))].tolist():
+    hits = hits[np.lexsort((*hits.T[::-1], hits[:, 5] - hits[:, 4]))]
+    # a hit that several buckets gave counts once
+    hits = hits[np.append(True, (hits[1:] != hits[:-1]).any(1))[: len(hits)]]
+    for a0, a1, b0, b1, ca, cb in hits.tolist():
         last = out[-1] if out else None
         if last and cb - ca - last[4] <= DRIFT and a0 <= last[1] + DRIFT and a1 >= last[0] - DRIFT:
-            out[-1] = [min(a0, last[0]), max(a1, last[1]), min(b0, last[2]), max(b1, last[3]), cb - ca, [*last[5], cb]]
+            last[:5] = min(a0, last[0]), max(a1, last[1]), min(b0, last[2]), max(b1, last[3]), cb - ca
+            last[5].append(cb)
         else:
             out.append([a0, a1, b0, b1, cb - ca, [cb]])
     return sorted(((*x[:4], x[5]) for x in out), key=lambda x: x[0] - x[1])
@@ -238,7 +332,7 @@ def verified(pairs: DataFrame, arrays: DataFrame, least: int) -> DataFrame:
 
 
 def exact_runs(found: DataFrame, arrays: DataFrame, least: int) -> DataFrame:
-    """bucket, c, start of every run of ``least`` shingles whose min-hash stands at a found window's place: equal buckets are equal runs.
+    """Packed (see _blocks): bucket, text and start of every run of ``least`` shingles whose min-hash stands at a found window's place: equal buckets are equal runs.
 
     The windows of one function will do: each run has one place, and equal runs have the same shingle and anchor there.
     """
@@ -247,8 +341,12 @@ def exact_runs(found: DataFrame, arrays: DataFrame, least: int) -> DataFrame:
     first = found.filter(F.col("bucket").bitwiseAND(F.lit(3)) == 0)
     rows = first.groupBy("c").agg(F.collect_set("w").alias("at")).join(arrays, "c").select("c.k1", "c.k2", "at", "grams")
 
+    parts = _parts(rows)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, total = [], 0
         for batch in batches:
+            k1, k2 = (batch.column(k).to_numpy() for k in ("k1", "k2"))
             for i in range(batch.num_rows):
                 got = batch.column("grams")[i].values.to_numpy().view(np.uint64)
                 c, before, after = (batch.column("at")[i].values.field(x).to_numpy().astype(np.int64) for x in ("c", "before", "after"))
@@ -257,11 +355,19 @@ def exact_runs(found: DataFrame, arrays: DataFrame, least: int) -> DataFrame:
                 start = np.unique(np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum()))
                 with np.errstate(over="ignore"):
                     key = mixed((got[start[:, None] + np.array(places)] * odd).sum(1, dtype=np.uint64))
-                k1, k2 = (pa.array(np.full(len(start), batch.column(k)[i].as_py())) for k in ("k1", "k2"))
-                yield pa.record_batch([pa.array(key.view(np.int64)), k1, k2, pa.array(start.astype(np.int32))], ["bucket", "k1", "k2", "start"])
+                waiting.append((k1[i], k2[i], key, start))
+                total += len(start)
+                if total >= BLOCKS:
+                    yield packed(waiting)
+                    waiting, total = [], 0
+        if total:
+            yield packed(waiting)
+
+    def packed(waiting: list) -> pa.RecordBatch:
+        k1, k2, key, start = zip(*waiting, strict=True)
+        return _blocks(parts, np.stack([k1, k2], 1), np.concatenate(key), np.repeat(np.arange(len(key)), [len(x) for x in key]), np.concatenate(start)[:, None])
 
-    runs = rows.mapInArrow(run, "bucket long, k1 long, k2 long, start int")
-    return runs.select("bucket", F.struct("k1", "k2").alias("c"), "start")
+    return rows.mapInArrow(run, _packed_type(1))
 
 
 def _spans(start: np.ndarray, off: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -297,11 +403,21 @@ def exact_passages(runs: DataFrame, least: int) -> DataFrame:
 
     Runs that follow one another at the same offset are one passage. The least text's further places have it as a and b.
     """
-    runs = runs.repartition("bucket")
-    own = F.struct("c", "start")
-    first = runs.groupBy("bucket").agg(F.min(own).alias("p"), F.max("c").alias("last")).filter("p.c != last").select("bucket", "p")
-    met = runs.join(first, "bucket").filter(own != F.col("p")).select(F.col("p.c").alias("a"), F.col("c").alias("b"), F.struct("start", (F.col("start") - F.col("p.start")).alias("off")).alias("at"))
-    met = met.groupBy("a", "b").agg(F.collect_list("at").alias("at")).select("a.k1", "a.k2", F.col("b.k1").alias("b1"), F.col("b.k2").alias("b2"), "at")
+
+    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The runs with their bucket's least, by their two texts."""
+        (_, *rows), least_of = _met_again(batches, 1)
+        rows = np.stack([*(x[least_of] for x in rows), *rows])[:, least_of != np.arange(len(least_of))]
+        rows = rows[:, np.lexsort(rows[[4, 3, 1, 0]])]
+        ends = np.concatenate([[0], np.flatnonzero((rows[[0, 1, 3, 4], 1:] != rows[[0, 1, 3, 4], :-1]).any(0)) + 1, [rows.shape[1]]])
+        for lo in range(0, len(ends) - 1 if rows.shape[1] else 0, 1 << 12):
+            cuts = ends[lo : lo + (1 << 12) + 1]
+            own = rows[:, cuts[0] : cuts[-1]]
+            at = pa.StructArray.from_arrays([pa.array(x.astype(np.int32)) for x in (own[5], own[5] - own[2])], ["start", "off"])
+            yield pa.record_batch([*(pa.array(rows[i, cuts[:-1]]) for i in (0, 1, 3, 4)), pa.ListArray.from_arrays(pa.array((cuts - cuts[0]).astype(np.int32)), at)], ["k1", "k2", "b1", "b2", "at"])
+
+    met = runs.repartitionById(_parts(runs), F.col("part")).mapInArrow(grouped, "k1 long, k2 long, b1 long, b2 long, at array<struct<start: int, off: int>>")
+    met = met.groupBy("k1", "k2", "b1", "b2").agg(F.flatten(F.collect_list("at")).alias("at"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -320,6 +436,44 @@ def exact_passages(runs: DataFrame, least: int) -> DataFrame:
     return spans.select(*_pair(), "a0", "a9", "b0", "b9")
 
 
+def _hits(met: DataFrame) -> DataFrame:
+    """a, b, hits (a0, a1, b0, b1, ca, cb) of windows that met their bucket's least; the rows that a task reads together have one for each pair of texts."""
+    names = ["a1", "a2", "b1", "b2"]
+    places = ["a0", "a1", "b0", "b1", "ca", "cb"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, total = [], 0
+        for batch in batches:
+            waiting.append(batch)
+            total += batch.num_rows
+            if total >= BLOCKS:
+                yield from together(waiting)
+                waiting, total = [], 0
+        if total:
+            yield from together(waiting)
+
+    def together(waiting: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = np.stack([np.concatenate([b.column(i).to_numpy() for b in waiting]).astype(np.int64) for i in range(10)])
+        own, least = rows[:5], rows[5:]
+        swap = (own[0] < least[0]) | ((own[0] == least[0]) & (own[1] < least[1]))
+        a, b = np.where(swap, own, least), np.where(swap, least, own)
+        span = lambda x: (x[2] - x[3], x[2] + x[4])
+        rows = np.stack([*a[:2], *b[:2], *span(a), *span(b), a[2], b[2]])
+        rows = rows[:, np.lexsort(rows[::-1])]
+        differ = rows[:, 1:] != rows[:, :-1]
+        new, pair = np.append(True, differ.any(0)), np.append(True, differ[:4].any(0))[: rows.shape[1]]
+        rows, pair = rows[:, new], pair[new]
+        ends = np.append(np.flatnonzero(pair), rows.shape[1])
+        for lo in range(0, len(ends) - 1, 1 << 12):
+            cuts = ends[lo : lo + (1 << 12) + 1]
+            at = pa.StructArray.from_arrays([pa.array(x.astype(np.int32)) for x in rows[4:, cuts[0] : cuts[-1]]], places)
+            yield pa.record_batch([*(pa.array(x) for x in rows[:4, cuts[:-1]]), pa.ListArray.from_arrays(pa.array((cuts - cuts[0]).astype(np.int32)), at)], [*names, "hits"])
+
+    flat = met.select(*[F.col(f"{x}{y}").alias(f"{n}{i}") for n, x in (("x", ""), ("y", "p.")) for i, y in enumerate(("c.k1", "c.k2", "w.c", "w.before", "w.after"))])
+    found = flat.mapInArrow(run, ", ".join(f"{x} long" for x in names) + ", hits array<struct<" + ", ".join(f"{x}: int" for x in places) + ">>")
+    return found.select(*_pair(), "hits")
+
+
 def _several(df: DataFrame, key: str, k1: str, k2: str, *more: Column) -> DataFrame:
     """The keys of rows that differ in (k1, k2)."""
     ends = [f(k).alias(f"{f.__name__}{i}") for i, k in enumerate((k1, k2)) for f in (F.min, F.max)]
@@ -374,44 +528,39 @@ def repeated(docs: DataFrame, least_words: int = LEAST_WORDS) -> tuple[DataFrame
     """
     least = least_words - SHINGLE + 1
     texts = _texts(docs)
-    index = windows(texts, least).repartition("bucket")
     text = F.struct("k1", "k2")
-    shared = _several(index, "bucket", "k1", "k2")
-    found = index.join(shared, "bucket", "left_semi").select("bucket", text.alias("c"), F.struct("c", "before", "after").alias("w"))
-    found = stored(found.distinct(), "windows")
+    met = stored(shared_windows(texts, least), "windows")
+    found = met.select("bucket", "c", "w")
     needed = stored(found.select("c.k1", "c.k2").distinct(), "needed")
     arrays = shingles(texts, slot_bitmap(needed.select("k1"))).join(needed, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     arrays = stored(arrays.select(text.alias("c"), "grams"), "shingles")
-    parts = []
-    rows = found.withColumn("open", F.lit(True))
+    parts, near = [], arrays
+    let_go(docs.sparkSession)
+    met = met.withColumn("open", F.lit(True))
     while True:
-        pivots = rows.filter("open").groupBy("bucket").agg(F.min(F.struct("c", "w")).alias("p"))
-        # who has settled is still a partner: only what is not settled needs another
-        met = stored(rows.join(pivots, "bucket"), "met")
-        pivot_first = F.col("p.c") < F.col("c")
-        wa, wb = F.when(pivot_first, F.col("p.w")).otherwise(F.col("w")), F.when(pivot_first, F.col("w")).otherwise(F.col("p.w"))
-        sides = met.filter("c != p.c").select(F.when(pivot_first, F.col("p.c")).otherwise(F.col("c")).alias("a"), F.when(pivot_first, F.col("c")).otherwise(F.col("p.c")).alias("b"), wa.alias("wa"), wb.alias("wb"))
-        hit = F.struct(
-            (F.col("wa.c") - F.col("wa.before")).alias("a0"), (F.col("wa.c") + F.col("wa.after")).alias("a1"), (F.col("wb.c") - F.col("wb.before")).alias("b0"),
-            (F.col("wb.c") + F.col("wb.after")).alias("b1"), F.col("wa.c").alias("ca"), F.col("wb.c").alias("cb"),
-        )
-        pairs = sides.groupBy("a", "b").agg(F.collect_set(hit).alias("hits"))
-        part = stored(verified(pairs, arrays, least), "passages")
+        hits = _hits(met.filter("c != p.c"))
+        pairs = hits.groupBy("a", "b").agg(F.flatten(F.collect_list("hits")).alias("hits"))
+        part = stored(verified(pairs, near, least), "passages")
         parts.append(part)
-        settled = part.select(F.col("a").alias("s"), F.col("b").alias("t"), F.col("b0").alias("t0"), F.col("b9").alias("t9")).unionByName(part.select(F.col("b").alias("s"), F.col("a").alias("t"), F.col("a0").alias("t0"), F.col("a9").alias("t9")))
-        inside = (F.col("w.c") >= F.col("t0")) & (F.col("w.c") + SHINGLE <= F.col("t9"))
+        settled = part.select("a", "b", "b0", "b9").unionByName(part.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("a0").alias("b0"), F.col("a9").alias("b9")))
+        settled = settled.groupBy(F.col("a").alias("s"), F.col("b").alias("t")).agg(F.collect_list(F.struct("b0", "b9")).alias("at"))
+        inside = F.exists("at", lambda x: (F.col("w.c") >= x["b0"]) & (F.col("w.c") + SHINGLE <= x["b9"]))
         pivot = (F.col("c") == F.col("p.c")) & (F.col("w") == F.col("p.w"))
-        left = met.filter("open").filter(~pivot).join(settled, (F.col("p.c") == F.col("s")) & (F.col("c") == F.col("t")) & inside, "left_anti").select("bucket", "c", "w", "p")
-        left = stored(left, "left")
-        if not left.head(1):
-            break
+        marked = met.join(settled, (F.col("p.c") == F.col("s")) & (F.col("c") == F.col("t")), "left")
+        marked = marked.select("bucket", "c", "w", pivot.alias("pivot"), (F.col("open") & ~pivot & ~F.coalesce(inside, F.lit(False))).alias("open")).repartition("bucket")
         # all of a bucket that has something left: what is left, what has settled and the pivot
-        whose = left.select("bucket").distinct()
-        rest = met.join(whose, "bucket", "left_semi").select("bucket", "c", "w", pivot.alias("pivot"))
-        rest = rest.join(left.select("bucket", "c", "w", F.lit(True).alias("open")), ["bucket", "c", "w"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
-        rows = _regrouped(rest, arrays, least)
+        rest = stored(marked.join(marked.groupBy("bucket").agg(F.max("open").alias("left")).filter("left").select("bucket"), "bucket"), "rest")
+        if not rest.head(1):
+            break
+        # further rounds have no other texts
+        near = stored(maybe_in(near, "c.k1", rest.select("c.k1").distinct()), "shingles")
+        rows = _regrouped(rest, near, least)
         if not rows.head(1):
             break
+        pivots = rows.filter("open").groupBy("bucket").agg(F.min(F.struct("c", "w")).alias("p"))
+        # who has settled is still a partner: only what is not settled needs another
+        met = stored(rows.join(pivots, "bucket"), "met")
+        let_go(docs.sparkSession)
     exact = stored(exact_passages(exact_runs(found, arrays, least), least), "exact")
     passages = exact.limit(0)
     for part in parts:

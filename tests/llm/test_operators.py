@@ -437,3 +437,43 @@ def test_alike_sorts_the_shingles_of_a_pair_once(monkeypatch):
     for a0, a1, b0, b1 in found:
         x, y = set(a[a0:a1].tolist()), set(b[b0:b1].tolist())
         assert 100 * len(x & y) >= 75 * len(x | y)
+
+
+def test_packed_rows_meet_as_plain_ones():
+    """Rows packed by part and unpacked again: those of buckets that several texts have, each once, with their bucket's least."""
+    import pyarrow as pa
+
+    from fieldmart.llm import passages
+
+    rng, parts = np.random.default_rng(7), 5
+    keys = rng.integers(-9, 9, (40, 2)) * 3
+    owner = rng.integers(0, 40, 3000)
+    bucket = passages.mixed(rng.integers(0, 900, 3000).astype(np.uint64))
+    at = rng.integers(0, 3, 3000)
+    ints = np.stack([at, at * 300 + 1, at + 70000], 1)
+    blocks = [passages._blocks(parts, keys, bucket[s], owner[s], ints[s]) for s in (slice(0, 1700), slice(1700, 3000))]
+    plain = collections.defaultdict(set)
+    for b, k, x in zip(bucket.view(np.int64).tolist(), keys[owner].tolist(), ints.tolist(), strict=True):
+        plain[b].add((*k, *x))
+    expected = {(b, *x, *min(xs)) for b, xs in plain.items() if len({x[:2] for x in xs}) > 1 for x in xs}
+    got = []
+    for part in range(parts):
+        mine = [b.filter(pa.compute.equal(b.column("part"), part)) for b in blocks]
+        rows, least = passages._met_again(iter(mine), 3)
+        got += list(zip(*rows.tolist(), *rows[1:, least].tolist(), strict=True))
+    assert len(got) == len(set(got)) and set(got) == expected
+    rows, least = passages._met_again(iter([b.slice(0, 0) for b in blocks]), 3)
+    assert rows.shape == (6, 0) and not len(least)
+
+
+def test_passages_unpack_only_what_meets(spark):
+    """The windows of texts are made in one stage, and unlike texts give no row beyond their blocks."""
+    from fieldmart.llm import passages
+
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(300)) for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate([*texts, texts[0] + " more"])), "doc_id long, text string")
+    got = passages.shared_windows(passages._texts(df), 46)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and plan.count("Exchange") == 1
+    assert {tuple(r.c) for r in got.collect()} == {tuple(r) for r in passages._texts(df).filter("doc_id in (0, 20)").select("k1", "k2").collect()}
